@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.config import Controls
+from riskweave.functions.numbers import fixed_point
 from riskweave.operators.rules import rule_evidence
 
 NO_RULE = "MODEL_THRESHOLD"
@@ -81,12 +82,12 @@ def payment_scores(
 def summary_text() -> Column:
     rules = F.coalesce(F.nullif(F.col("rules_triggered"), F.lit("")), F.lit(NO_RULE))
     return F.format_string(
-        "Transaction %s has amount / expected baseline ratio %.2f [amount_ratio], synthetic "
-        "reference similarity %.1f/100 [screening_score], and %d prior payments in one hour "
+        "Transaction %s has amount / expected baseline ratio %s [amount_ratio], synthetic "
+        "reference similarity %s/100 [screening_score], and %d prior payments in one hour "
         "[velocity_1h]. Triggered controls: %s [rules_triggered]. Human review required.",
         F.col("transaction_id"),
-        F.col("evidence.amount_ratio"),
-        F.col("evidence.screening_score"),
+        fixed_point(F.col("evidence.amount_ratio"), 2),
+        fixed_point(F.col("evidence.screening_score"), 1),
         F.col("evidence.velocity_1h"),
         rules,
     )

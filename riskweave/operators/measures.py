@@ -285,7 +285,7 @@ def page_visuals(tables: dict[str, DataFrame], page: str, filters: Filters | Non
 def amount_risk_points(transactions: DataFrame) -> DataFrame:
     """Scatter of amount against rule score, summed per payment."""
     return transactions.groupBy("transaction_id").agg(
-        F.sum("amount").cast("double").alias("amount"), F.sum("risk_score").alias("risk_score")
+        F.sum("amount").cast("double").alias("amount"), F.sum("risk_score").cast("double").alias("risk_score")
     )
 
 
