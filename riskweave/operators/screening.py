@@ -25,9 +25,11 @@ SLICE_ROWS = 20_000
 MATRIX_CELLS = 2_000_000
 NAME_WEIGHT, COUNTRY_POINTS, TYPE_POINTS = 0.9, 5, 5
 
+_KEYS = ["normal", "country", "entity_type"]
 _BEST = (
-    "normal string, country string, entity_type string, entity_id long, alias_match boolean,"
-    " name_position int, candidate_length int, lcs int, score double"
+    "normal string, country string, entity_type string, entity_id long, matched_entity string,"
+    " alias_match boolean, country_match boolean, type_match boolean, name_position int,"
+    " candidate_length int, lcs int, score double"
 )
 
 
@@ -105,7 +107,7 @@ def _scorer(slice_frame: pd.DataFrame):
     listed = ordered["normal"].tolist()
     country, kind = ordered["country"].to_numpy(object), ordered["entity_type"].to_numpy(object)
     entity, alias = ordered["entity_id"].to_numpy(), ordered["alias_match"].to_numpy(bool)
-    position = ordered["name_position"].to_numpy("int32")
+    position, title = ordered["name_position"].to_numpy("int32"), ordered["canonical_name"].to_numpy(object)
     step = max(1, MATRIX_CELLS // len(listed))
 
     def best_of(names: pd.DataFrame) -> pd.DataFrame:
@@ -147,8 +149,10 @@ def _scorer(slice_frame: pd.DataFrame):
         bound[rows, first] = -1.0
         consider(*np.nonzero(bound >= best[:, None]))
         return names.assign(
-            entity_id=entity[where], alias_match=alias[where], name_position=position[where],
-            candidate_length=lb[where].astype("int32"), lcs=common.astype("int32"), score=best,
+            entity_id=entity[where], matched_entity=title[where], alias_match=alias[where],
+            country_match=same_country[rows, where], type_match=same_kind[rows, where],
+            name_position=position[where], candidate_length=lb[where].astype("int32"),
+            lcs=common.astype("int32"), score=best,
         )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,21 +168,20 @@ def best_matches(requests: DataFrame, listed: DataFrame, slice_rows: int = SLICE
 
     The first candidate in list order (entity, then name position) wins ties.
     """
-    requests = requests.select("normal", "country", "entity_type").distinct()
-    keep = listed.select("entity_id", "country", "entity_type", "alias_match", "name_position", "normal")
-    slices = _slices(keep, slice_rows)
+    # Scoring costs time per row, not per byte: spread the names evenly whatever their size.
+    tasks = max(int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                listed.sparkSession.sparkContext.defaultParallelism)
+    requests = requests.select(*_KEYS).distinct().repartition(tasks, *_KEYS)
+    slices = _slices(listed.drop("listed_name"), slice_rows)
     scored = None
     for slice_frame in slices:
         part = requests.mapInPandas(_scorer(slice_frame), _BEST)
         scored = part if scored is None else scored.unionByName(part)
     if len(slices) == 1:
         return scored
-    rest = ["entity_id", "alias_match", "candidate_length", "lcs"]
-    return (
-        scored.groupBy("normal", "country", "entity_type")
-        .agg(F.max_by(F.struct(*rest, "score"), F.struct("score", -F.col("entity_id"), -F.col("name_position"))).alias("b"))
-        .select("normal", "country", "entity_type", "b.*")
-    )
+    rest = F.struct(*[c for c in scored.columns if c not in _KEYS])
+    first_best = F.struct("score", -F.col("entity_id"), -F.col("name_position"))
+    return scored.groupBy(*_KEYS).agg(F.max_by(rest, first_best).alias("b")).select(*_KEYS, "b.*")
 
 
 def reason_codes(alias_match: Column, name_similarity: Column, country_match: Column) -> Column:
@@ -214,29 +217,15 @@ def screen(
     )
     listed = candidates(watchlist)
     matches = best_matches(keyed, listed, slice_rows)
-    entities = watchlist.select(
-        "entity_id",
-        F.col("canonical_name").alias("matched_entity"),
-        F.col("country").alias("listed_country"),
-        F.col("entity_type").alias("listed_type"),
-    )
     name_similarity = similarity(F.col("lcs"), F.length("normal"), F.col("candidate_length"))
-    country_match = F.col("country") == F.col("listed_country")
     verdicts = (
-        matches.drop("name_position", "score")
-        .join(entities, "entity_id")
-        .select(
-            "normal", "country", "entity_type", "matched_entity",
-            F.col("entity_id").alias("matched_entity_id"),
-            "alias_match",
-            country_match.alias("country_match"),
-            name_similarity.alias("similarity"),
-            context_score(
-                name_similarity, country_match, F.col("entity_type") == F.col("listed_type")
-            ).alias("score"),
+        matches.withColumnRenamed("entity_id", "matched_entity_id")
+        .withColumn("similarity", name_similarity)
+        .withColumn(
+            "score", context_score(F.col("similarity"), F.col("country_match"), F.col("type_match"))
         )
         .select(
-            "normal", "country", "entity_type", "matched_entity", "matched_entity_id",
+            *_KEYS, "matched_entity", "matched_entity_id",
             F.round("similarity", 3).alias("name_similarity_score"),
             "alias_match", "country_match",
             F.round("score", 3).alias("screening_score"),
@@ -246,7 +235,7 @@ def screen(
             .alias("reason_codes"),
         )
     )
-    return keyed.join(verdicts, ["normal", "country", "entity_type"]).drop("normal")
+    return keyed.join(verdicts, _KEYS).drop("normal")
 
 
 def screen_counterparties(

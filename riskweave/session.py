@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A side already spread by some of the join keys is not shuffled again for all of them.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
