@@ -152,10 +152,10 @@ def learner(name: str, settings: Settings, total_weight: float):
     )
 
 
-def side_by_side(function, items: list) -> list:
+def side_by_side(spark: SparkSession, function, items: list) -> list:
     """Run independent Spark jobs from several driver threads, as Spark's own tuning does."""
     with ThreadPool(min(PARALLEL_FITS, len(items))) as pool:
-        return pool.map(inheritable_thread_target(function), items)
+        return pool.map(inheritable_thread_target(spark)(function), items)
 
 
 def fit_models(train: DataFrame, names: list[str], settings: Settings) -> dict[str, PipelineModel]:
@@ -177,7 +177,7 @@ def fit_models(train: DataFrame, names: list[str], settings: Settings) -> dict[s
         return PipelineModel(stages=[*prepared.stages, model])
 
     try:
-        return dict(zip(names, side_by_side(fit, names), strict=True))
+        return dict(zip(names, side_by_side(train.sparkSession, fit, names), strict=True))
     finally:
         vectors.unpersist()
 
@@ -229,7 +229,9 @@ def cross_validate(train: DataFrame, names: list[str], settings: Settings) -> Da
     """(model, cv_pr_auc_ap_mean, cv_pr_auc_ap_std): expanding windows, population std."""
     edges = fold_edges(train, settings.folds)
     folds = list(range(settings.folds))
-    fitted = side_by_side(lambda k: fit_models(train.where(edges[k]), names, settings), folds)
+    fitted = side_by_side(
+        train.sparkSession, lambda k: fit_models(train.where(edges[k]), names, settings), folds
+    )
     groups = []
     for k in folds:
         test = train.where(~edges[k] & edges[k + 1])
