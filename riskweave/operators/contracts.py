@@ -171,15 +171,15 @@ class Constraint:
         return f"{self.kind}:{self.table}.{self.column}{target}"
 
     def violations(self, tables: dict[str, DataFrame]) -> DataFrame:
+        """One row: the number of violations. Keys are merged before they are shuffled."""
         frame = tables[self.table]
         if self.kind == "foreign":
-            bad = orphans(
-                frame.where(F.col(self.column).isNotNull()), tables[self.parent],
-                self.column, self.parent_column,
+            used = (
+                frame.where(F.col(self.column).isNotNull())
+                .groupBy(self.column).agg(F.count(F.lit(1)).alias("n"))
             )
-            count = bad.agg(F.count(F.lit(1)).alias("violations"))
-        elif self.kind == "not_null":
-            count = frame.agg(F.count_if(F.col(self.column).isNull()).alias("violations"))
+            lost = orphans(used, tables[self.parent], self.column, self.parent_column)
+            count = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
         else:
             nulls = F.col("null_keys") if self.kind == "primary" else F.lit(0)
             count = key_problems(frame, self.column).select(
@@ -188,6 +188,25 @@ class Constraint:
         return count.select(F.lit(self.name).alias("constraint"), F.col("violations").cast("bigint"))
 
 
+def _null_violations(frame: DataFrame, constraints: list[Constraint]) -> DataFrame:
+    """All not-null constraints of one table in one pass."""
+    counts = frame.agg(
+        F.array(
+            *[
+                F.struct(F.lit(c.name).alias("constraint"), F.count_if(F.col(c.column).isNull()).alias("violations"))
+                for c in constraints
+            ]
+        ).alias("checks")
+    )
+    return counts.select(F.explode("checks").alias("c")).select("c.constraint", "c.violations")
+
+
 def check_constraints(tables: dict[str, DataFrame], constraints: list[Constraint]) -> DataFrame:
     """(constraint, violations) for every constraint."""
-    return reduce(DataFrame.unionByName, [c.violations(tables) for c in constraints])
+    by_table: dict[str, list[Constraint]] = {}
+    for c in constraints:
+        if c.kind == "not_null":
+            by_table.setdefault(c.table, []).append(c)
+    parts = [_null_violations(tables[t], cs) for t, cs in by_table.items()]
+    parts += [c.violations(tables) for c in constraints if c.kind != "not_null"]
+    return reduce(DataFrame.unionByName, parts)

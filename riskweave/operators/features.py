@@ -169,16 +169,15 @@ def build_features(
     check_keys: bool = True,
 ) -> DataFrame:
     """Payments joined to their three dimensions, with every feature of ``FEATURES``."""
-    history = history_features(payments, controls)
+    join = join_many_to_one if check_keys else DataFrame.join
     names = counterparties.select(
         "counterparty_id", "counterparty_name", "synthetic_sanctions_flag"
     )
-    verdicts = screened.drop("counterparty")
-    joined = history
-    for dimension, key in ((customers, "customer_id"), (names, "counterparty_id"), (verdicts, "counterparty_id")):
-        joined = (
-            join_many_to_one(joined, dimension, key) if check_keys else joined.join(dimension, key)
-        )
+    # Both counterparty sides meet first, so that payments are moved once for the two.
+    beneficiaries = join(names, screened.drop("counterparty"), "counterparty_id")
+    joined = history_features(payments, controls)
+    for dimension, key in ((customers, "customer_id"), (beneficiaries, "counterparty_id")):
+        joined = join(joined, dimension, key)
     return (
         row_features(joined, controls)
         .withColumn(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskweave.plans import analysis, basics, learning, reporting, risk, streams, workflow  # noqa: F401
+from riskweave.plans import analysis, basics, learning, reporting, risk, storage, streams, workflow  # noqa: F401
 from riskweave.plans.registry import REGISTRY, Query
 
 
