@@ -23,6 +23,7 @@ from riskweave.functions.text import LcsTable, normalise_name, symbol_counts
 
 SLICE_ROWS = 20_000
 MATRIX_CELLS = 2_000_000
+LEADERS = 32
 NAME_WEIGHT, COUNTRY_POINTS, TYPE_POINTS = 0.9, 5, 5
 
 _KEYS = ["normal", "country", "entity_type"]
@@ -108,7 +109,7 @@ def _scorer(slice_frame: pd.DataFrame):
     country, kind = ordered["country"].to_numpy(object), ordered["entity_type"].to_numpy(object)
     entity, alias = ordered["entity_id"].to_numpy(), ordered["alias_match"].to_numpy(bool)
     position, title = ordered["name_position"].to_numpy("int32"), ordered["canonical_name"].to_numpy(object)
-    step = max(1, MATRIX_CELLS // len(listed))
+    step, leaders = max(1, MATRIX_CELLS // len(listed)), min(LEADERS, len(listed))
 
     def best_of(names: pd.DataFrame) -> pd.DataFrame:
         table = LcsTable(names["normal"].tolist(), listed)
@@ -144,9 +145,9 @@ def _scorer(slice_frame: pd.DataFrame):
             i, j = i[better], j[better]
             best[i], where[i], common[i] = got[better], j, lcs[better]
 
-        first = bound.argmax(axis=1)
-        consider(rows, first)
-        bound[rows, first] = -1.0
+        likely = np.argpartition(bound, -leaders, axis=1)[:, -leaders:]
+        consider(np.repeat(rows, leaders), likely.ravel())
+        bound[rows[:, None], likely] = -1.0
         consider(*np.nonzero(bound >= best[:, None]))
         return names.assign(
             entity_id=entity[where], matched_entity=title[where], alias_match=alias[where],

@@ -74,7 +74,7 @@ def run_manifest_full(v: Views) -> DataFrame:
 
 
 @query("SNK6", """
-SELECT 'customers' AS "table", count(*) AS rows, 13 AS columns FROM customers
+SELECT 'customers' AS "table", count(*) AS rows, 13::BIGINT AS columns FROM customers
 UNION ALL SELECT 'counterparties', count(*), 7 FROM counterparties
 UNION ALL SELECT 'payments', count(*), 18 FROM payments
 """, "customers", "counterparties", "payments")

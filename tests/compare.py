@@ -16,6 +16,8 @@ TABLES = (
     " benchmark labels conversations"
 ).split()
 
+SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 
 def connect(folder: str):
     con = duckdb.connect()
@@ -43,6 +45,10 @@ def difference(name, run, sql, spark, con, folder) -> str | None:
     want = result.fetchall()
     if sorted(columns) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} != {sorted(columns)}"
+    types = {c[0]: str(c[1]) for c in result.description}
+    for field in frame.schema.fields:
+        if SQL_TYPES.get(field.dataType.simpleString()) != types[field.name]:
+            return f"type of {field.name}: {field.dataType.simpleString()} != {types[field.name]}"
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
     left, right = rows_of(frame.columns, got), rows_of(columns, want)
