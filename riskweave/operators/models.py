@@ -29,8 +29,8 @@ from riskweave.session import materialise
 LABEL = "investigation_label"
 LOGISTIC, FOREST, BOOSTED = "LogisticRegression", "RandomForest", "GradientBoosting"
 KEY = "transaction_id"
-ROWS_PER_TASK = 25_000
-PARALLEL_FITS = 4
+ROWS_PER_TASK = 10_000
+PARALLEL_FITS = 8
 
 
 @dataclass(frozen=True)
@@ -158,28 +158,50 @@ def side_by_side(spark: SparkSession, function, items: list) -> list:
         return pool.map(inheritable_thread_target(spark)(function), items)
 
 
-def fit_models(train: DataFrame, names: list[str], settings: Settings) -> dict[str, PipelineModel]:
-    """Fit the named learners on one shared preprocessing of the training rows."""
-    columns = [*NUMERIC, *CATEGORICAL, LABEL]
-    rows = train.select(*columns)
-    prepared = Pipeline(stages=preprocessing(modes(rows))).fit(rows)
-    negatives, positives = class_counts(rows)
-    # Every round of a learner is a job over these rows: no more tasks than the rows fill.
-    parts = -(-(negatives + positives) // ROWS_PER_TASK)
-    vectors = prepared.transform(rows).select("features", LABEL)
-    vectors = vectors.coalesce(max(parts, 1)).persist()
+@dataclass
+class Prepared:
+    """Training rows as vectors, with the preprocessing that made them."""
+
+    stages: list
+    vectors: DataFrame
+    negatives: int
+    positives: int
 
-    def fit(name: str) -> PipelineModel:
+    def fit(self, name: str, settings: Settings) -> PipelineModel:
+        negatives, positives = self.negatives, self.positives
         balanced = name != BOOSTED
         weight = (balanced_weight if balanced else boosting_weight)(negatives, positives)
         total = float(negatives + positives) if balanced else 2.0 * negatives
-        model = learner(name, settings, total).fit(vectors.withColumn("weight", weight))
-        return PipelineModel(stages=[*prepared.stages, model])
+        model = learner(name, settings, total).fit(self.vectors.withColumn("weight", weight))
+        return PipelineModel(stages=[*self.stages, model])
+
+
+def prepare(train: DataFrame) -> Prepared:
+    rows = train.select(*NUMERIC, *CATEGORICAL, LABEL)
+    stages = Pipeline(stages=preprocessing(modes(rows))).fit(rows).stages
+    negatives, positives = class_counts(rows)
+    # Every round of a learner is a job over these rows: no more tasks than the rows fill.
+    parts = max(-(-(negatives + positives) // ROWS_PER_TASK), 1)
+    vectors = PipelineModel(stages).transform(rows).select("features", LABEL).coalesce(parts)
+    return Prepared(stages, vectors.persist(), negatives, positives)
 
+
+def fit_models(trains: list[DataFrame], names: list[str], settings: Settings) -> list[dict[str, PipelineModel]]:
+    """For each set of training rows, the named learners on one shared preprocessing.
+
+    All fits are independent jobs and run next to each other, the slowest learner first.
+    """
+    spark = trains[0].sparkSession
+    prepared = side_by_side(spark, prepare, trains)
+    slow_first = sorted(names, key=[BOOSTED, FOREST, LOGISTIC].index)
+    jobs = [(k, name) for name in slow_first for k in range(len(trains))]
     try:
-        return dict(zip(names, side_by_side(train.sparkSession, fit, names), strict=True))
+        fitted = side_by_side(spark, lambda job: prepared[job[0]].fit(job[1], settings), jobs)
     finally:
-        vectors.unpersist()
+        for p in prepared:
+            p.vectors.unpersist()
+    found = dict(zip(jobs, fitted, strict=True))
+    return [{name: found[k, name] for name in names} for k in range(len(trains))]
 
 
 def probability() -> Column:
@@ -225,18 +247,18 @@ def fold_edges(train: DataFrame, folds: int) -> list[Column]:
     return [*edges, F.lit(True)]
 
 
-def cross_validate(train: DataFrame, names: list[str], settings: Settings) -> DataFrame:
-    """(model, cv_pr_auc_ap_mean, cv_pr_auc_ap_std): expanding windows, population std."""
-    edges = fold_edges(train, settings.folds)
-    folds = list(range(settings.folds))
-    fitted = side_by_side(
-        train.sparkSession, lambda k: fit_models(train.where(edges[k]), names, settings), folds
-    )
+def cross_validate(
+    train: DataFrame, edges: list[Column], fitted: list[dict[str, PipelineModel]]
+) -> DataFrame:
+    """(model, cv_pr_auc_ap_mean, cv_pr_auc_ap_std): expanding windows, population std.
+
+    ``fitted[k]`` holds the models fitted on the rows before edge k.
+    """
     groups = []
-    for k in folds:
-        test = train.where(~edges[k] & edges[k + 1])
-        for name, model in fitted[k].items():
-            scored = score(model, test.select(*NUMERIC, *CATEGORICAL, LABEL), "p")
+    for k, models in enumerate(fitted):
+        test = train.where(~edges[k] & edges[k + 1]).select(*NUMERIC, *CATEGORICAL, LABEL)
+        for name, model in models.items():
+            scored = score(model, test, "p")
             groups.append(
                 evaluation.score_groups(scored, LABEL, "p").select(
                     F.lit(name).alias("model"), F.lit(k).alias("fold"), "score", "pos", "neg"
@@ -263,7 +285,10 @@ def train_and_compare(
     labelled = evaluation.with_split(kept, times=times)
     train = labelled.where("evaluation_split = 'train'")
     rest = labelled.where("evaluation_split <> 'train'")
-    models = fit_models(train, names, settings)
+    edges = fold_edges(train, settings.folds) if validate else []
+    models, *fold_models = fit_models(
+        [train, *[train.where(e) for e in edges[:-1]]], names, settings
+    )
     groups = reduce(
         DataFrame.unionByName,
         [
@@ -292,7 +317,7 @@ def train_and_compare(
     ]
     comparison = reduce(DataFrame.unionByName, tested)
     if validate:
-        comparison = comparison.join(cross_validate(train, names, settings), "model")
+        comparison = comparison.join(cross_validate(train, edges, fold_models), "model")
     comparison = materialise(comparison)
     best = evaluation.choose_model(comparison).first()
     return Training(
