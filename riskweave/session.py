@@ -1,9 +1,10 @@
-"""Session settings, and the one way this package cuts lineage."""
+"""Session settings, and the one way this package cuts lineage: tables in the shared folder."""
 
 from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for checkpoints and staged tables: the cluster's, or a scratch one in local mode."""
+    """Folder for kept and staged tables: the cluster's, or a scratch one in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
@@ -68,9 +69,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once and keep in reliable storage, so that a lost executor loses nothing."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Compute once into a table in the shared folder and go on from there.
+
+    Lineage ends at the table, so a lost executor costs nothing that is already written; and,
+    unlike an RDD checkpoint, later readers still prune columns and see the table's size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/riskweave-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
