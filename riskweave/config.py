@@ -94,6 +94,9 @@ def controls_digest(controls: Controls) -> str:
 
 
 def run_key(rows: int, seed: int, controls: Controls) -> str:
-    """Key that isolates the case state of one run configuration from another's."""
+    """Key that isolates the case state of one run configuration from another's.
+
+    Fixed value: the layout of the hashed text and the 12 digits kept.
+    """
     text = f"features-v2:{rows}:{seed}:{json.dumps(asdict(controls), sort_keys=True)}"
     return hashlib.sha256(text.encode()).hexdigest()[:12]

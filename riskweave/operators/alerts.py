@@ -80,6 +80,7 @@ def payment_scores(
 
 
 def summary_text() -> Column:
+    """The one accepted summary of a case. Fixed value: its wording."""
     rules = F.coalesce(F.nullif(F.col("rules_triggered"), F.lit("")), F.lit(NO_RULE))
     return F.format_string(
         "Transaction %s has amount / expected baseline ratio %s [amount_ratio], synthetic "

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from riskweave.config import Controls
 from riskweave.operators.contracts import join_many_to_one
 
+# Names and order of the model features.
 NUMERIC = [
     "amount_ratio", "high_risk_geo", "night", "velocity_1h", "new_counterparty_high_value",
     "adjacent_prior_24h", "screening_score", "account_age_days", "pep_flag",

@@ -80,6 +80,7 @@ def _boosted(column: str) -> Measure:
 
 BOOSTED = "GradientBoosting"
 
+# Names and definitions of the 38 measures.
 MEASURES: dict[str, Measure] = {
     "Transactions Screened": _rows(TRANSACTIONS),
     "Review Alerts": _rows(ALERTS),
@@ -233,7 +234,7 @@ _AVERAGED = {
     "Average Case Age at Cutoff": "age_at_data_cutoff_days",
 }
 
-# Grouped visuals per report page: name -> (measure, table, column).
+# Grouped visuals per report page: name -> (measure, table, column).
 VISUALS: dict[str, dict[str, tuple[str, str, str]]] = {
     "executive": {
         "alerts_by_day": ("Review Alerts", "dim_date", "calendar_date"),

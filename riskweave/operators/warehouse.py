@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.bands import RISK_CATEGORIES, risk_key
 from riskweave.operators.contracts import Constraint, ContractError, check_constraints, totals_differ
 
+# Columns of the customer dimension and of both facts, in order.
 CUSTOMER_COLUMNS = (
     "customer_key", "customer_id", "account_id", "customer_type", "residence_country",
     "account_age_days", "industry", "risk_segment", "kyc_status", "pep_flag",

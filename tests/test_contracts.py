@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators import contracts
+from riskweave.config import Controls
+from riskweave.operators import contracts, features
 from riskweave.operators.features import prepare_payments
 from riskweave.plans.views import Views
 from tests.conftest import TINY
@@ -53,6 +54,15 @@ def test_many_to_one_join_refuses_a_repeated_key(frames):
         contracts.join_one_to_one(payments, customers, "customer_id")
 
 
+def test_feature_joins_refuse_a_repeated_dimension_key(spark, frames):
+    customers, counterparties, payments = frames
+    screened = Views(spark, TINY).screened
+    kept = features.build_features(payments, customers, counterparties, screened, Controls())
+    assert kept.count() == payments.count()
+    with pytest.raises(contracts.ContractError, match="counterparty_id"):
+        features.build_features(payments, customers, counterparties, screened.union(screened), Controls())
+
+
 def test_parity_names_each_kind_of_difference(spark, at):
     source = spark.createDataFrame(
         [("a", 1.0, at(0)), ("b", 2.0, at(0)), ("c", 3.0, at(0)), ("d", 4.0, at(0)), ("e", 5.0, at(0))],
