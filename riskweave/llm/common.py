@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from riskweave.session import configure, materialise
 
 # Rows and bytes handed to a Python worker at a time; a worker cuts further by bytes.
-BATCH_ROWS = 2_000
+BATCH_ROWS = 50_000
+BATCH_BYTES = "8m"
 SLICE_BYTES = 12 << 20
 
 
@@ -21,6 +22,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings the operators rely on."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
@@ -28,21 +30,23 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Gather small batches and cut large ones, to about ``SLICE_BYTES`` of text; one row at least."""
-    held, size = [], 0
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Gather small batches and cut large ones, to about ``size`` bytes of text; one row at least."""
+    held, full = [], 0
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(False).astype(np.int64))
         begin = 0
         while begin < len(ends):
             done = ends[begin - 1] if begin else 0
-            stop = max(begin + 1, int(np.searchsorted(ends, done + SLICE_BYTES - size, "right")))
+            stop = max(begin + 1, int(np.searchsorted(ends, done + size - full, "right")))
             held.append(batch.slice(begin, stop - begin))
-            size += int(ends[stop - 1] - done)
+            full += int(ends[stop - 1] - done)
             begin = stop
-            if size >= SLICE_BYTES // 2:
+            if full >= size // 2:
                 yield joined(held)
-                held, size = [], 0
+                held, full = [], 0
     if held:
         yield joined(held)
 

@@ -6,12 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import packing, sharding, token_files, transducer
+from riskweave.llm import embedding_dedup, jaccard_join, packing, sharding, token_files, transducer
 from riskweave.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+# Classes of small tables: links, then the smallest id over walks along them.
+WALK = """
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+parts AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+"""
+ORACLE_SQL["op4_embedding_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.9), {WALK}
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(e.vec_id, p.b) AS component_id,
+  e.vec_id = least(e.vec_id, p.b) AS kept
+FROM embeddings e LEFT JOIN parts p ON p.a = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) d ON d.a = e.vec_id
+"""
+ORACLE_SQL["op6_jaccard_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: hash(w[i:i+4]))
+    WHEN len(w) > 0 THEN [hash(w)] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+{WALK}
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, p.b) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN parts p ON p.a = d.doc_id
+"""
+
 
 def query(function):
     QUERIES[function.__name__] = function
@@ -25,11 +59,21 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.load(spark, place, digests=True)
 
 
+@query
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, folder, "embeddings"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return transducer.count_tokens(read(spark, folder, "documents"))
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(read(spark, folder, "documents"))
+
+
 @query
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(read(spark, folder, "documents"))
