@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import embedding_dedup, jaccard_join, packing, sharding, token_files, transducer
+from riskweave.llm import embedding_dedup, jaccard_join, packing, quality, sharding, token_files, transducer
 from riskweave.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.load(spark, place, digests=True)
 
 
+@query
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 @query
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, folder, "embeddings"))
