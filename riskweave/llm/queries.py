@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskweave.llm import embedding_dedup, jaccard_join, packing, quality, sharding, token_files, transducer
+from riskweave.llm import decontamination, embedding_dedup, jaccard_join, language_id, packing, quality, sharding, surrogates, token_files, transducer
 from riskweave.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,32 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(e.vec_id, p.b) AS comp
 FROM embeddings e LEFT JOIN parts p ON p.a = e.vec_id
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) d ON d.a = e.vec_id
 """
+# Words and shingles as the texts' own lists; hash() only shortens them.
+LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SPLIT = f"list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+ORACLE_SQL["op10_decontamination"] = f"""
+WITH i0 AS (SELECT item_id, {SPLIT.format('text')} AS w FROM benchmark),
+i AS (SELECT item_id, len(w) AS n, least(len(w), 5) AS k, w FROM i0 WHERE len(w) > 0),
+si AS (SELECT item_id, n, k, h, count(*) AS y FROM (
+  SELECT item_id, n, k, unnest(list_transform(range(1, n - k + 2), lambda p: hash(w[p:p+k-1]))) AS h FROM i)
+  GROUP BY ALL),
+d AS (SELECT doc_id, {SPLIT.format('text')} AS w FROM documents),
+sd AS (SELECT doc_id, len(w) AS m, x.k, unnest(range(0, len(w) - x.k + 1)) AS p,
+  unnest(list_transform(range(1, len(w) - x.k + 2), lambda p: hash(w[p:p+x.k-1]))) AS h
+  FROM d JOIN (SELECT DISTINCT k FROM i) x ON len(w) >= x.k),
+hit AS (SELECT DISTINCT sd.doc_id, m, si.item_id, si.n, si.k FROM sd JOIN si ON sd.h = si.h AND sd.k = si.k),
+win AS (SELECT *, unnest(range(0, greatest(m - n, 0) + 1)) AS s FROM hit),
+c AS (SELECT win.doc_id, win.item_id, s, least(win.m, win.n) - win.k + 1 AS a, win.n - win.k + 1 AS b, sd.h, count(*) AS x
+  FROM win JOIN sd ON sd.doc_id = win.doc_id AND sd.k = win.k AND sd.p BETWEEN s AND s + win.n - win.k
+  GROUP BY ALL),
+v AS (SELECT doc_id, c.item_id, s, a, b, sum(least(x, y)) AS z FROM c JOIN si ON si.item_id = c.item_id AND si.h = c.h
+  GROUP BY ALL),
+f AS (SELECT doc_id, item_id, max(z / (a + b - z)) AS r FROM v WHERE 4 * z >= 3 * (a + b - z) GROUP BY ALL),
+g AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ' ' ORDER BY item_id) AS ids, max(r) AS r FROM f GROUP BY doc_id)
+SELECT documents.doc_id, g.n IS NOT NULL AS contaminated, coalesce(g.n, 0)::BIGINT AS n_items, coalesce(ids, '') AS item_ids,
+  coalesce(r, 0)::DOUBLE AS similarity
+FROM documents LEFT JOIN g ON g.doc_id = documents.doc_id
+"""
 ORACLE_SQL["op6_jaccard_join"] = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -52,6 +79,12 @@ def query(function):
     return function
 
 
+@query
+def op1_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs).withColumnRenamed("_entities", "n_entities")
+
+
 @query
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     place = token_files.scratch(spark)
@@ -87,3 +120,14 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), with_ids=False)
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(read(spark, folder, "pages"), read(spark, folder, "documents"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.mark(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.withColumn("item_ids", F.coalesce(F.array_join("item_ids", " "), F.lit("")))
