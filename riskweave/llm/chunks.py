@@ -1,33 +1,48 @@
 """Encoding texts with a public tokenizer by way of their distinct chunks.
 
-A chunk is a run of ASCII white space with the run of other bytes after it. Both supported
-vocabularies split text so that no token spans a place where white space follows something else,
-and special strings hold no white space; so a text's ids are its chunks' ids put together. Each
-distinct chunk is given to the library once per slice, and remembered up to a fixed number.
+A chunk begins where ASCII white space follows something else, and where one of a few signs follows
+an ASCII letter. The supported vocabularies split text so that no token spans such a place, and
+their special strings hold none; so a text's ids are its chunks' ids put together. Each distinct
+chunk is given to the library once per slice, and remembered up to a fixed number.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
 from riskweave.llm.common import byte_view
 
+#: Distinct chunks a worker remembers: those met since the last time so many had come, and before that.
 REMEMBERED = 400_000
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: White space, signs that end a word and are in no special string, letters.
+KINDS = np.zeros(256, np.uint8)
+KINDS[SPACE] = 1
+KINDS[list(b".,;:!?#$%&*")] = 2
+KINDS[[*range(65, 91), *range(97, 123)]] = 3
 
 
-def cut(column: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
+def starts_of(bounds: np.ndarray, data: np.ndarray, signs: bool = True) -> np.ndarray:
+    """Where the chunks of texts laid end to end begin; without ``signs``, at white space only."""
+    before, after = KINDS[data[:-1]], KINDS[data[1:]]
+    begins = np.zeros(len(data) + 1, bool)
+    begins[1:-1] = (after == 1) & (before != 1)
+    if signs:
+        begins[1:-1] |= (after == 2) & (before == 3)
+    begins[bounds] = True
+    return np.flatnonzero(begins[:-1])
+
+
+def cut(column: pa.Array, signs: bool = True) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
     """(index of each text's first chunk, with the end; chunks as dictionary codes; lengths in bytes)."""
     bounds, data = byte_view(column)
-    space = SPACE[data]
-    starts = np.flatnonzero(space[1:] & ~space[:-1]) + 1
-    texts = bounds[:-1][bounds[:-1] < bounds[1:]]
-    starts = np.union1d(starts, texts)
+    starts = starts_of(bounds, data, signs)
     offsets = np.append(starts, len(data)).astype(np.int64)
     chunks = pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))
@@ -35,27 +50,65 @@ def cut(column: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
     return np.searchsorted(starts, bounds), chunks.dictionary_encode(), np.diff(bounds)
 
 
-def library(path: str) -> Callable[[list[str]], list[list[int]]]:
-    """The tokenizers library for a vocabulary file, one thread a task."""
+#: Texts laid end to end for one call of the library.
+TOGETHER = 2_000
+
+
+def library(path: str):
+    """The tokenizers library's tokenizer of a vocabulary file, one thread a task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    known = Tokenizer.from_file(path)
-    return lambda texts: [e.ids for e in known.encode_batch_fast(texts, add_special_tokens=False)]
+    return Tokenizer.from_file(path)
+
+
+def ids_of(known, texts: list[str]) -> list[bytes]:
+    """Each text's ids as 4-byte numbers in native order.
+
+    Texts are laid end to end with a special string between them, at which the library cuts before
+    all else; texts that hold the string themselves, and all if there is none, go in one by one.
+    """
+    special = next(iter(known.get_added_tokens_decoder().items()), None)
+    between, mark = (special[1].content, special[0]) if special else ("", -1)
+    out: list[bytes] = [b""] * len(texts)
+    plain = [k for k, t in enumerate(texts) if between and between not in t]
+    for begin in range(0, len(plain), TOGETHER):
+        part = plain[begin : begin + TOGETHER]
+        joined = known.encode_batch_fast([between.join(texts[k] for k in part)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, np.uint32)
+        cuts = np.flatnonzero(ids == mark)
+        raw, starts, ends = ids.tobytes(), (4 * np.append(0, cuts + 1)).tolist(), (4 * np.append(cuts, len(ids))).tolist()
+        for k, a, b in zip(part, starts, ends, strict=True):
+            out[k] = raw[a:b]
+    rest = [k for k, t in enumerate(texts) if not between or between in t]
+    for k, e in zip(rest, known.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
+        out[k] = np.array(e.ids, np.uint32).tobytes()
+    return out
 
 
 class Remembering:
     """Values of distinct chunks, from a function on lists of them."""
 
     def __init__(self, function: Callable[[list[str]], list]):
-        self.function, self.known = function, {}
+        self.function, self.known, self.before = function, {}, {}
 
     def __call__(self, chunks: list[str]) -> list:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
-        self.known.update(zip(new, self.function(new), strict=True))
-        return [self.known[c] for c in chunks]
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = [c for c in chunks if c not in known]
+        if before:
+            known.update((c, before[c]) for c in new if c in before)
+            new = [c for c in new if c not in known]
+        known.update(zip(new, self.function(new), strict=True))
+        return [known[c] for c in chunks]
+
+
+@cache
+def packed_ids(path: str) -> Remembering:
+    """Ids of chunks as 4-byte numbers; kept by the worker from task to task."""
+    known = library(path)
+    return Remembering(lambda new: ids_of(known, new))
 
 
 def gather(codes: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -68,12 +121,12 @@ def gather(codes: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarr
     return flat[np.arange(ends[-1]) + np.repeat(begins[codes] - ends + size, size)]
 
 
-def encode(column: pa.Array, ids_of: Callable[[list[str]], list[list[int]]], end: int | None):
+def encode(column: pa.Array, path: str, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(offsets of each text's ids, all ids as uint32), ``end`` appended to every text if given."""
     first, chunks, _ = cut(column)
-    distinct = ids_of(chunks.dictionary.to_pylist())
-    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
-    flat = np.fromiter((i for ids in distinct for i in ids), np.uint32, int(lengths.sum()))
+    distinct = packed_ids(path)(chunks.dictionary.to_pylist())
+    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
+    flat = np.frombuffer(b"".join(distinct), np.uint32)
     codes = chunks.indices.to_numpy(False)
     ids = gather(codes, lengths, flat)
     offsets = np.concatenate(([0], np.cumsum(lengths[codes])))[first]

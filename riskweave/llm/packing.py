@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 
 from riskweave.llm import chunks
 from riskweave.llm.common import numbered, prepare, slices
+from riskweave.session import materialise
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
@@ -44,9 +45,8 @@ def pieces(
         raise ValueError("the longest piece must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = chunks.Remembering(chunks.library(vocabulary))
         for batch in slices(batches):
-            offsets, ids = chunks.encode(batch["text"], ids_of, end)
+            offsets, ids = chunks.encode(batch["text"], vocabulary, end)
             tokens = np.diff(offsets)
             plan = [lengths_of(int(n), longest) for n in tokens]
             count = np.fromiter(map(len, plan), np.int64, len(plan))
@@ -78,6 +78,6 @@ def np_take(column: pa.Array, index: np.ndarray) -> pa.Array:
 
 def pack(docs: DataFrame, with_ids: bool = True, **settings) -> DataFrame:
     """``pieces`` with ``sequence_id`` (from 0, longest first) and ``offset`` (always 0)."""
-    rows = pieces(docs, with_ids=with_ids, **settings)
+    rows = materialise(pieces(docs, with_ids=with_ids, **settings))
     out = numbered(rows, rows["length"].desc(), "doc_id", "start", name="sequence_id")
     return out.selectExpr("*", "0L AS offset")

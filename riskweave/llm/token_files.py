@@ -41,9 +41,9 @@ def encode_ids(docs: DataFrame, vocabulary: str, end: int | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, before = chunks.Remembering(chunks.library(vocabulary)), 0
+        before = 0
         for batch in slices(batches):
-            offsets, ids = chunks.encode(batch["text"], ids_of, end)
+            offsets, ids = chunks.encode(batch["text"], vocabulary, end)
             data = pa.py_buffer(ids.astype("<u4").tobytes())
             yield pa.RecordBatch.from_pydict({
                 "part": batch["part"],

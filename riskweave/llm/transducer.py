@@ -25,6 +25,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -208,12 +209,18 @@ class ChunkCounter:
         return total
 
 
+@cache
+def counts_of(path: str) -> chunks.Remembering:
+    """Counts of chunks; the compiled transducers are kept by the worker from task to task."""
+    counter = ChunkCounter(path)
+    return chunks.Remembering(lambda new: [counter.count(c) for c in new])
+
+
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = ChunkCounter(vocabulary)
-        of = chunks.Remembering(lambda new: [counter.count(c) for c in new])
+        of = counts_of(vocabulary)
         for batch in slices(batches):
             first, codes, size = chunks.cut(batch["text"])
             emitted = np.array(of(codes.dictionary.to_pylist()), np.int64)[codes.indices.to_numpy(False)]
