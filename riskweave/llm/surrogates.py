@@ -4,8 +4,9 @@ Entities are found by one pattern of all kinds: e-mail and IP addresses, telepho
 security numbers, access keys and other hexadecimal secrets, and names after a title. Each gets a
 replacement derived from the secret key, its kind and its canonical form, so that the same entity
 is replaced alike everywhere, however it is written: separators and case of the occurrence stay,
-a telephone number keeps "+" and its first digit, a card number its first digit and, if it had one,
-a valid check digit, an access key its prefix, an address its last label. Names keep their script,
+a telephone number keeps "+" and its first digit, a card number its first digit and a valid check
+digit (without one it is no card number, and stays), an access key its prefix, an address its last
+label. Names keep their script,
 and a given name the gender of its title; a surname alone and after a given name is the same one.
 
 Two entities must not share a replacement, and no replacement may be an entity found in the corpus.
@@ -129,7 +130,7 @@ def new_digits(kind: Column, known: Column, seeds: Column) -> Column:
     ))
     short = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
     check = ((10 - luhn(F.concat(short, F.lit("0")))) % 10).cast("string")
-    return F.when((kind == "card") & (luhn(digits) == 0), F.concat(short, check)).otherwise(drawn)
+    return F.when(kind == "card", F.concat(short, check)).otherwise(drawn)
 
 
 def fill(template: Column, digits: Column) -> Column:
@@ -178,7 +179,8 @@ def replacement(kind: Column, known: Column, attempt: Column, template: Column,
     )
     hexed = F.substring(seeds, F.lit(1), F.length(known))
     return (
-        F.when(kind == "email", email)
+        F.when(kind == "none", template)
+        .when(kind == "email", email)
         .when(kind == "ip", F.concat_ws(".", *octets))
         .when(kind.isin(*DIGITS), fill(template, new_digits(kind, known, seeds)))
         .when(kind == "key", access)
@@ -190,6 +192,7 @@ def replacement(kind: Column, known: Column, attempt: Column, template: Column,
 def parts_of(found: DataFrame) -> DataFrame:
     """(_row, _at, _part, kind, template, known): a name is as many parts as it has words after its title."""
     kind = kind_of(F.col("match"))
+    kind = F.when((kind == "card") & (luhn(F.regexp_replace("match", "[^0-9]", "")) != 0), "none").otherwise(kind)
     title = F.regexp_replace(F.substring_index("match", " ", 1), r"\.$", "")
     gender = F.when(title.isin(*MALE), "given_m").when(title.isin(*FEMALE), "given_f").otherwise("given")
     names = F.slice(F.split("match", " "), 2, 2)
@@ -230,11 +233,12 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     marked = materialise(docs.withColumn("_found", F.coalesce(found, none)).withColumn("_row", F.monotonically_increasing_id()))
     some = marked.filter(F.size("_found") > 0)
     parts = materialise(parts_of(some.select("_row", F.posexplode("_found").alias("_at", "match"))))
-    again = settled(parts.select("kind", "known").distinct(), key)
+    again = settled(parts.filter("kind <> 'none'").select("kind", "known").distinct(), key)
     parts = parts.join(again, ["kind", "known"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
     made = replacement(F.col("kind"), F.col("known"), F.col("attempt"), F.col("template"), key)
-    made = parts.select("_row", F.struct("_at", "_part", made.alias("made")).alias("x"))
-    made = materialise(made.groupBy("_row").agg(F.sort_array(F.collect_list("x")).alias("_made")))
+    made = parts.select("_row", "kind", F.struct("_at", "_part", made.alias("made")).alias("x"))
+    count = F.countDistinct(F.when(F.col("kind") != "none", F.col("x._at")))
+    made = materialise(made.groupBy("_row").agg(F.sort_array(F.collect_list("x")).alias("_made"), count.alias("_n")))
     rows = some.join(made, "_row")
     # A name's parts follow its title; other entities are one part.
     pieces = F.split("text", PATTERN, -1)
@@ -247,5 +251,5 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     rows = rows.withColumn("_pieces", pieces)
     text = F.concat(F.array_join(F.transform("_found", joined), ""), F.element_at("_pieces", -1))
     columns = [F.col(c) if c != "text" else text.alias("text") for c in docs.columns]
-    changed = rows.select(*columns, F.size("_found").cast("long").alias("_entities"))
+    changed = rows.select(*columns, F.col("_n").alias("_entities"))
     return marked.filter(F.size("_found") == 0).select(*docs.columns, F.lit(0).cast("long").alias("_entities")).union(changed)

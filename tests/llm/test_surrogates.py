@@ -63,7 +63,7 @@ def test_key_decides(spark):
 def test_plain_text_stays(spark):
     plain = [
         "Nothing here, 12 items at 3.50 on 2024-05-06.", "version 1.2.3.4.5 of 1234 5678", "a@b or @name, x = 5 @ 3", "Mr. and Mrs.",
-        "deadbeefdeadbeef", "AKIA", "1234567890123456789012", "pages 100-20-300", "", "\U0001f600 ü 語 9",
+        "deadbeefdeadbeef", "AKIA", "4111111111111112", "1234567890123456789012", "pages 100-20-300", "", "\U0001f600 ü 語 9",
     ]
     assert run(spark, plain) == plain
 
@@ -94,6 +94,9 @@ def test_registered(spark):
     links, seen = {}, 0
     for r in rows:
         old, new = known.findall(docs[r.doc_id]), known.findall(r.text)
+        # A number of 16 digits without a valid check digit is no card number.
+        new = [b for a, b in zip(old, new, strict=True) if not a.isdigit() or luhn(a)]
+        old = [a for a in old if not a.isdigit() or luhn(a)]
         assert r.n_entities == len(old) == len(new) and known.sub("", docs[r.doc_id]) == known.sub("", r.text)
         seen += len(old)
         for a, b in zip(old, new, strict=True):
