@@ -99,18 +99,21 @@ def line_hashes(bounds: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
     return [hashes[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, text statistics) of every row."""
+def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """(doc_id, text statistics) of every row; if ``whole``, also text, and its other columns in ``_row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=4 << 20):
-            found = statistics(batch["text"])
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch["doc_id"].cast(pa.int64())} | {k: pa.array(v) for k, v in found.items()}
-            )
+            found = {k: pa.array(v) for k, v in statistics(batch["text"]).items()}
+            carried = {c: batch[c] for c in ("text", "_row") if whole}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"].cast(pa.int64())} | found | carried)
 
+    others = [c for c in docs.columns if c not in ("doc_id", "text")] if whole else []
+    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_none"), *others).alias("_row"))
     schema = "doc_id long, " + ", ".join(f"{name} double" for name in STATISTICS)
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    if whole:
+        schema += f", text string, _row {rows.schema['_row'].dataType.simpleString()}"
+    return rows.mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -184,11 +187,27 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def trained(found: DataFrame, labels: DataFrame) -> Model:
+    """A model of the measured rows whose labels are not held out."""
+    labels = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("label"))
+    return fit(found.filter(~held_out()).join(materialise(labels), "doc_id"))
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, trained on the labels that are not held out."""
     prepare(docs.sparkSession)
     found = materialise(measured(docs))
-    labels = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("label"))
-    model = fit(found.filter(~held_out()).join(materialise(labels), "doc_id"))
+    model = trained(found, labels)
     scored = found.select("doc_id", held_out().alias("held_out"), model.score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows that the classifier does not reject, with all their columns.
+
+    Statistics ride along with the rows, so that no row is looked up again by its doc_id.
+    """
+    prepare(docs.sparkSession)
+    found = materialise(measured(docs, whole=True))
+    kept = found.filter(trained(found, labels).score() >= 0.5)
+    return kept.select(*(c if c in ("doc_id", "text") else F.col("_row")[c].alias(c) for c in docs.columns))
