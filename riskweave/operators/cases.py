@@ -1,21 +1,20 @@
 """Case workflow: idempotent creation, review actions folded into state, audit trail.
 
-Actions are applied in the order of their unique ``action_id``. Folding is a scan: an action
-maps a status to a status, so any run of actions is summed up by where it takes each of the
-four statuses. Runs are cut by ranges of ``action_id`` that hold a bounded number of actions
-(also of one alert), summed up in parallel, chained per alert, and then replayed from their
-true start. Rows stream through the fold in sorted order; no group is ever collected.
+Actions are applied in the order of their unique ``action_id``. An action maps a status to a
+status, so any run of actions is summed up by where it takes each of the four statuses, and runs
+of runs likewise. Actions are laid out by alert and id, summed up over groups of a bounded number,
+these again, until every alert is one group; then every group's start is handed down to what it
+holds. So an alert with very many actions is folded in parallel, and no array is longer than a
+group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.session import materialise
+
 # Allowed moves and closing dispositions.
 TRANSITIONS = {
     "OPEN": ("IN_REVIEW",),
@@ -25,10 +24,11 @@ TRANSITIONS = {
 }
 DISPOSITIONS = ("FALSE_POSITIVE", "FURTHER_REVIEW", "CLEARED")
 STATUSES = tuple(TRANSITIONS)
-# Nullable ids pass through pandas as text, which keeps all their digits.
 
-RUN_ROWS = 1_000_000
-MAX_RUNS = 10_000
+# Actions, or groups of them, that are summed up together.
+RUN_ROWS = 256
+# Actions laid out in one partition.
+PART_ROWS = 1_000_000
 STATE = ("status", "investigator_notes", "disposition", "reason_code", "reviewed_at")
 REVIEW_ACTION = "HUMAN_REVIEW"
 
@@ -71,7 +71,8 @@ def list_cases(cases: DataFrame, limit: int = 100, offset: int = 0, status: str
 
 
 def _blank(column: str) -> Column:
-    return F.trim(F.coalesce(F.col(column), F.lit(""))) == ""
+    """Null, empty, or nothing but white space of any kind."""
+    return ~F.coalesce(F.col(column), F.lit("")).rlike(r"(?U)\S")
 
 
 def action_problem() -> tuple[Column, Column]:
@@ -89,127 +90,112 @@ def action_problem() -> tuple[Column, Column]:
     return before, after
 
 
-def _with_runs(checked: DataFrame, actions: DataFrame, run_rows: int) -> tuple[DataFrame, int]:
-    """Adds ``run``: the range of ``action_id`` a row falls in, from approximate quantiles."""
-    runs = min(MAX_RUNS, -(-actions.count() // run_rows))
-    if runs <= 1:
-        return checked.withColumn("run", F.lit(0.0)), 1
-    probabilities = [k / runs for k in range(1, runs)]
-    bounds = sorted(set(actions.approxQuantile("action_id", probabilities, 0.2 / runs)))
-    splitter = Bucketizer(
-        splits=[float("-inf"), *bounds, float("inf")], inputCol="order_key", outputCol="run"
-    )
-    keyed = checked.withColumn("order_key", F.col("action_id").cast("double"))
-    return splitter.transform(keyed).drop("order_key"), runs
+def _maps() -> Column:
+    """An action as a map: for each status, the status after it, and its id if it is accepted there."""
+    sound = F.col("before_problem").isNull() & F.col("after_problem").isNull()
+
+    def image(status: str) -> Column:
+        moved = sound & F.coalesce(F.col("status").isin(*TRANSITIONS[status]), F.lit(False))
+        return F.struct(
+            F.when(moved, F.col("status")).otherwise(F.lit(status)).alias("status"),
+            F.when(moved, F.col("action_id")).alias("last"),
+        )
+
+    return F.array(*map(image, STATUSES))
+
+
+def _through(state: Column, image: Column) -> Column:
+    """A state (status, last accepted action) after a map."""
+    place = F.array_position(F.array(*map(F.lit, STATUSES)), state["status"]).cast("int")
+    reached = F.get(image, place - 1)
+    return F.struct(reached["status"].alias("status"), F.coalesce(reached["last"], state["last"]).alias("last"))
 
 
-def _moves(status: str, row) -> bool:
-    return row.before_problem is None and row.after_problem is None and row.status in TRANSITIONS[status]
+def _summed(items: DataFrame) -> DataFrame:
+    """Groups of items: (alert_id, at, image, items), an image being where a group takes each status."""
+    none = F.lit(None).cast("bigint")
+    same = F.array(*[F.struct(F.lit(s).alias("status"), none.alias("last")) for s in STATUSES])
+    groups = items.groupBy("alert_id", F.col("group").alias("at")).agg(
+        F.sort_array(F.collect_list(F.struct("at", "image"))).alias("items")
+    )
+    whole = F.aggregate("items", same, lambda state, item: F.transform(state, lambda x: _through(x, item["image"])))
+    return groups.withColumn("image", whole)
 
 
-def _sum_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per (alert, run): where each starting status ends, and the last accepted action on the way."""
-    current, ends, last = None, None, None
+def _started(groups: DataFrame, starts: DataFrame) -> DataFrame:
+    """(alert_id, at, start) of the items of groups whose starts are known."""
 
-    def emit():
-        return pd.DataFrame(
-            [(current[0], current[1], list(ends), list(last))],
-            columns=["alert_id", "run", "ends", "last_actions"],
+    def step(state: Column, item: Column) -> Column:
+        here = F.struct(item["at"].alias("at"), state["now"].alias("start"))
+        return F.struct(
+            _through(state["now"], item["image"]).alias("now"), F.concat(state["seen"], F.array(here)).alias("seen")
         )
 
-    for batch in batches:
-        batch = batch.astype(object).where(batch.notna(), None)
-        for row in batch.itertuples(index=False):
-            if (row.alert_id, row.run) != current:
-                if current is not None:
-                    yield emit()
-                current, ends, last = (row.alert_id, row.run), list(STATUSES), [None] * len(STATUSES)
-            for k, status in enumerate(ends):
-                if _moves(status, row):
-                    ends[k], last[k] = row.status, str(row.action_id)
-    if current is not None:
-        yield emit()
-
-
-def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per alert, in run order: the status and last accepted action each run starts from."""
-    alert, status, last = None, None, None
-    for batch in batches:
-        out = []
-        for row in batch.itertuples(index=False):
-            if row.alert_id != alert:
-                alert, status, last = row.alert_id, row.case_status, None
-            out.append((alert, row.run, status, last))
-            k = STATUSES.index(status)
-            moved = row.last_actions[k]
-            status = row.ends[k]
-            last = last if moved is None else moved
-        yield pd.DataFrame(out, columns=["alert_id", "run", "start_status", "start_action"])
-
-
-def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Accept or refuse every action, given the start of its run."""
-    current, status, last = None, None, None
-    for batch in batches:
-        batch = batch.astype(object).where(batch.notna(), None)
-        out = []
-        for row in batch.itertuples(index=False):
-            if (row.alert_id, row.run) != current:
-                current, status, last = (row.alert_id, row.run), row.start_status, row.start_action
-            problem = row.before_problem
-            if problem is None and row.status not in TRANSITIONS[status]:
-                problem = "INVALID_TRANSITION"
-            problem = problem or row.after_problem
-            out.append((row.action_id, status, last, problem))
-            if problem is None:
-                status, last = row.status, str(row.action_id)
-        yield pd.DataFrame(out, columns=["action_id", "status_before", "action_before", "problem"])
-
-
-def _sorted_by(frame: DataFrame, *keys: str) -> DataFrame:
-    return frame.repartition(*[k for k in keys if k != "action_id"]).sortWithinPartitions(*keys)
+    state = "struct<status:string,last:bigint>"
+    kind = f"struct<now:{state},seen:array<struct<at:bigint,start:{state}>>>"
+    begin = F.struct(F.col("start").alias("now"), F.array().alias("seen")).cast(kind)
+    rows = groups.join(starts, ["alert_id", "at"])
+    rows = rows.select("alert_id", F.explode(F.aggregate("items", begin, lambda s, i: step(s, i).cast(kind))["seen"]).alias("x"))
+    return rows.select("alert_id", "x.at", "x.start")
+
+
+def _folded(known: DataFrame, run_rows: int) -> DataFrame:
+    """(action_id, status_before, action_before, problem) of actions on known alerts."""
+    known = materialise(known)
+    parts = max(1, -(-known.count() // PART_ROWS))
+    laid = known.repartitionByRange(parts, "alert_id", "action_id").sortWithinPartitions("alert_id", "action_id")
+    laid = materialise(laid.withColumn("at", F.monotonically_increasing_id()))
+    levels, items = [], laid.select("alert_id", "at", _maps().alias("image"))
+    while True:
+        groups = materialise(_summed(items.withColumn("group", F.floor(F.col("at") / run_rows))))
+        levels.append(groups)
+        if groups.groupBy("alert_id").count().where("count > 1").isEmpty():
+            break
+        items = groups.drop("items")
+    first = F.struct(F.col("case_status").alias("status"), F.lit(None).cast("bigint").alias("last")).alias("start")
+    alerts = laid.select("alert_id", "case_status").distinct()
+    starts = levels[-1].select("alert_id", "at").join(alerts, "alert_id").select("alert_id", "at", first)
+    for groups in reversed(levels):
+        starts = _started(groups, starts)
+    rows = laid.join(starts, ["alert_id", "at"])
+    allowed = F.lit(False)
+    for status, targets in TRANSITIONS.items():
+        allowed = allowed | ((F.col("start.status") == status) & F.col("status").isin(*targets))
+    moved = F.when(~F.coalesce(allowed, F.lit(False)), "INVALID_TRANSITION")
+    return rows.select(
+        "action_id", F.col("start.status").alias("status_before"), F.col("start.last").alias("action_before"),
+        F.coalesce("before_problem", moved, "after_problem").alias("problem"),
+    )
 
 
 def apply_actions(cases: DataFrame, actions: DataFrame, run_rows: int = RUN_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(audit rows of accepted actions, refused actions with the reason)."""
+    """(audit rows of accepted actions, refused actions with the reason).
+
+    Actions that share an ``action_id`` have no order among them: all are refused.
+    """
     before, after = action_problem()
+    repeated = materialise(actions.groupBy("action_id").count().where("count > 1").select("action_id"))
+    single = actions.join(repeated, "action_id", "left_anti").select(actions.columns)
     checked = (
-        actions.join(
+        single.join(
             cases.select("alert_id", F.col("status").alias("case_status")), "alert_id", "left"
         )
         .withColumn("before_problem", before)
         .withColumn("after_problem", after)
     )
-    known, runs = _with_runs(checked.where("case_status is not null"), actions, run_rows)
-    small = known.select(
-        "alert_id", "run", "action_id", "status", "before_problem", "after_problem", "case_status"
+    known = checked.where("case_status is not null").select(
+        "alert_id", "action_id", "status", "before_problem", "after_problem", "case_status"
     )
-    if runs == 1:
-        started = small.withColumn("start_status", F.col("case_status")).withColumn(
-            "start_action", F.lit(None).cast("string")
-        )
-    else:
-        ends = _sorted_by(small, "alert_id", "run", "action_id").mapInPandas(
-            _sum_up,
-            "alert_id string, run double, ends array<string>, last_actions array<string>",
-        )
-        opened = ends.join(
-            cases.select("alert_id", F.col("status").alias("case_status")), "alert_id"
-        )
-        starts = opened.repartition("alert_id").sortWithinPartitions("alert_id", "run").mapInPandas(
-            _chain, "alert_id string, run double, start_status string, start_action string"
-        )
-        started = small.join(starts, ["alert_id", "run"])
-    verdicts = _sorted_by(started, "alert_id", "run", "action_id").mapInPandas(
-        _replay, "action_id bigint, status_before string, action_before string, problem string"
-    ).withColumn("action_before", F.col("action_before").cast("bigint"))
-    judged = actions.join(verdicts, "action_id")
+    judged = single.join(_folded(known, run_rows), "action_id")
     unknown = (
         checked.where("case_status is null")
         .select(*actions.columns, F.col("before_problem").alias("problem"))
     )
-    refused = judged.where("problem is not null").select(*actions.columns, "problem").unionByName(unknown)
-    return _audit(cases, judged.where("problem is null")), refused
+    again = actions.join(repeated, "action_id", "left_semi").select(
+        *actions.columns, F.lit("REPEATED_ACTION_ID").alias("problem")
+    )
+    refused = judged.where("problem is not null").select(*actions.columns, "problem")
+    return _audit(cases, judged.where("problem is null")), refused.unionByName(unknown).unionByName(again)
 
 
 def _state_after() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.ranking import at_rank, running_totals, value_counts_of
+from riskweave.operators.ranking import RANGE_VALUES, at_rank, running_totals, value_counts_of
 
 # The 17 thresholds of the sweep, as floating-point steps of 0.05 from 0.1.
 SWEEP_START, SWEEP_STEP, SWEEP_COUNT = 0.1, 0.05000000000000002, 17
@@ -46,9 +46,11 @@ def score_groups(frame: DataFrame, label: str, score: str, by: list[str] | None
     )
 
 
-def ranking_metrics(groups: DataFrame, by: list[str] | None = None) -> DataFrame:
+def ranking_metrics(
+    groups: DataFrame, by: list[str] | None = None, range_values: int = RANGE_VALUES
+) -> DataFrame:
     """Exact ROC-AUC (ties count half; null for one class) and average precision."""
-    ranked = running_totals(groups, "score", ["pos", "neg"], by)
+    ranked = running_totals(groups, "score", ["pos", "neg"], by, range_values)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     at_least_pos = F.col("pos_total") - F.col("pos_before")
     at_least = at_least_pos + F.col("neg_total") - F.col("neg_before")

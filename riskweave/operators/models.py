@@ -94,11 +94,17 @@ def modes(train: DataFrame) -> dict[str, str]:
     return found
 
 
+def _quoted(text: str) -> str:
+    """A text as a literal of the transformer's SQL."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def preprocessing(fill: dict[str, str]) -> list:
     """Median-imputed, standardised numbers and one-hot categories; unknown ones become zeros."""
     assert_no_leak(NUMERIC + CATEGORICAL)
     casts = ", ".join(f"cast({c} AS DOUBLE) AS {c}_raw" for c in NUMERIC)
-    filled = ", ".join(f"coalesce({c}, '{fill[c]}') AS {c}_filled" for c in CATEGORICAL)
+    filled = ", ".join(f"coalesce({c}, {_quoted(fill[c])}) AS {c}_filled" for c in CATEGORICAL)
     return [
         SQLTransformer(statement=f"SELECT *, {casts}, {filled} FROM __THIS__"),
         Imputer(

@@ -1,63 +1,58 @@
 """Exact ranks, running totals and percentiles without a global window over rows.
 
-Rows are first merged to distinct values, which also dissolves hot values. Up to
-``ONE_BUCKET`` distinct values are ranked in one sorted partition. Beyond that the values
-are cut into ranges by approximate quantiles, every range is ranked on its own, and the
-totals of the earlier ranges (one row per range, at most ``MAX_BUCKETS``) are added. The cut
-only balances the work: results do not depend on how good the approximation is.
+Rows are first merged to distinct values, which also dissolves hot values. The values are then
+range-partitioned, about ``RANGE_VALUES`` to a range, every range is ranked on its own, and the
+totals of the earlier ranges (one row per range) are added. The ranges only balance the work:
+results do not depend on where they are cut.
+
+Null and NaN values have no rank: they are left out of ranks, counts and totals.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.session import materialise
 
-ONE_BUCKET = 200_000
-MAX_BUCKETS = 4_096
+RANGE_VALUES = 200_000
 
 
-def _bucketed(groups: DataFrame, value: str, one_bucket: int) -> DataFrame:
-    distinct = groups.count()
-    buckets = min(MAX_BUCKETS, -(-distinct // one_bucket))
-    if buckets <= 1:
-        return groups.withColumn("bucket", F.lit(0.0))
-    steps = [k / buckets for k in range(1, buckets)]
-    bounds = sorted(set(groups.approxQuantile("order_key", steps, 0.2 / buckets)))
-    cut = Bucketizer(
-        splits=[float("-inf"), *bounds, float("inf")], inputCol="order_key", outputCol="bucket"
-    )
-    return cut.transform(groups)
+def ranked_value(frame: DataFrame, value: str) -> Column:
+    """Whether a row's value has a rank."""
+    column = F.col(value)
+    if frame.schema[value].dataType.typeName() in ("double", "float"):
+        return column.isNotNull() & ~F.isnan(column)
+    return column.isNotNull()
 
 
 def running_totals(
-    groups: DataFrame, value: str, counts: list[str], by: list[str] | None = None, one_bucket: int = ONE_BUCKET
+    groups: DataFrame, value: str, counts: list[str], by: list[str] | None = None, range_values: int = RANGE_VALUES
 ) -> DataFrame:
     """Adds, for each count column c, ``c_before`` (over smaller values) and ``c_total``.
 
     ``groups`` holds one row per (by, value). It is computed once and kept.
     """
     by = by or []
-    keyed = materialise(groups.withColumn("order_key", F.col(value).cast("double")))
-    cut = _bucketed(keyed, value, one_bucket)
-    per_bucket = cut.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in counts])
-    earlier = W.partitionBy(*by).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *by, "bucket",
+    kept = materialise(groups.where(ranked_value(groups, value)))
+    ranges = max(1, -(-kept.count() // range_values))
+    cut = materialise(kept.repartitionByRange(ranges, *by, value).withColumn("range", F.spark_partition_id()))
+    per_range = cut.groupBy(*by, "range").agg(*[F.sum(c).alias(c) for c in counts])
+    earlier = W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = per_range.select(
+        *by, "range",
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_offset") for c in counts],
         *[F.sum(c).over(W.partitionBy(*by)).alias(f"{c}_total") for c in counts],
     )
-    smaller = W.partitionBy(*by, "bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    smaller = W.partitionBy(*by, "range").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     ranked = cut.select(
         "*", *[F.coalesce(F.sum(c).over(smaller), F.lit(0)).alias(f"{c}_inside") for c in counts]
     )
     return (
-        ranked.join(F.broadcast(offsets), [*by, "bucket"])
+        ranked.join(offsets, [*by, "range"])
         .withColumns({f"{c}_before": F.col(f"{c}_inside") + F.col(f"{c}_offset") for c in counts})
-        .drop("bucket", "order_key", *[f"{c}_inside" for c in counts], *[f"{c}_offset" for c in counts])
+        .drop("range", *[f"{c}_inside" for c in counts], *[f"{c}_offset" for c in counts])
     )
 
 
@@ -87,9 +82,11 @@ def exact_percentiles(frame: DataFrame, column: str, qs: dict[str, float]) -> Da
     return ranked.agg(*[percentile(q).alias(name) for name, q in qs.items()])
 
 
-def describe(frame: DataFrame, column: str, percentiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+def describe(
+    frame: DataFrame, column: str, percentiles: tuple[float, ...] = (0.25, 0.5, 0.75), range_values: int = RANGE_VALUES
+) -> DataFrame:
     """count, mean, sample std, min, percentiles, max as one row."""
-    ranked = running_totals(value_counts_of(frame, column), "value", ["n"])
+    ranked = running_totals(value_counts_of(frame, column), "value", ["n"], range_values=range_values)
     v, n = F.col("value").cast("double"), F.col("n")
     mean = ranked.agg(F.sum(v * n) / F.sum(n)).scalar()
     return ranked.agg(

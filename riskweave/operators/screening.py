@@ -38,10 +38,15 @@ class ScreeningError(ValueError):
     """Names or a list that cannot be screened."""
 
 
+def stripped(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def candidates(watchlist: DataFrame) -> DataFrame:
     """Active entities, one row per listed name: the canonical one, then each alias."""
     aliases = F.filter(
-        F.transform(F.split("aliases", r"\|"), lambda s: F.trim(s)), lambda s: s != ""
+        F.transform(F.split("aliases", r"\|"), stripped), lambda s: s != ""
     )
     names = F.concat(F.array("canonical_name"), F.coalesce(aliases, F.array().cast("array<string>")))
     return (
@@ -256,12 +261,12 @@ REQUEST_TYPES = ("PERSON", "BUSINESS")
 
 def request_problem(name: Column, country: Column, entity_type: Column) -> Column:
     """Why an ad-hoc request is refused, or null."""
-    stripped = F.trim(F.coalesce(name, F.lit("")))
+    text = stripped(F.coalesce(name, F.lit("")))
     return (
-        F.when(stripped == "", "NAME_MISSING")
-        .when(F.length(stripped) > 200, "NAME_TOO_LONG")
-        .when(normalise_name(stripped) == "", "NAME_BLANK_AFTER_FOLDING")
-        .when(~F.coalesce(F.trim(country).rlike("^[A-Z]{2}$"), F.lit(False)), "COUNTRY_INVALID")
+        F.when(text == "", "NAME_MISSING")
+        .when(F.length(text) > 200, "NAME_TOO_LONG")
+        .when(normalise_name(text) == "", "NAME_BLANK_AFTER_FOLDING")
+        .when(~F.coalesce(stripped(country).rlike("^[A-Z]{2}$"), F.lit(False)), "COUNTRY_INVALID")
         .when(~entity_type.isin(*REQUEST_TYPES), "ENTITY_TYPE_INVALID")
     )
 

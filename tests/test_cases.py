@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import cases
 from riskweave.schemas import REVIEW_ACTIONS
+from riskweave.sources import case_table
 
 CASE = (
     "alert_id string, transaction_id string, created_at timestamp, status string, investigator_notes string,"
@@ -69,7 +70,7 @@ def simulate(rows, ids):
     return status, verdicts
 
 
-@pytest.mark.parametrize("run_rows", [1_000_000, 40])
+@pytest.mark.parametrize("run_rows", [1_000_000, 40, 3])
 def test_random_actions_equal_a_plain_loop(spark, at, run_rows):
     rng, ids = random.Random(6), ["A", "B", "C", "D"]
     rows = [
@@ -115,3 +116,45 @@ def test_get_and_list(spark, at):
     assert [r.alert_id for r in missing.collect()] == ["X"]
     assert [r.alert_id for r in cases.list_cases(frame, 2, 1).collect()] == ["B", "C"]
     assert [r.alert_id for r in cases.list_cases(frame, status="OPEN").collect()] == ["A", "B", "D"]
+
+
+@pytest.mark.parametrize("blank", ["\t", "\n \r", "\u00a0", None])
+def test_any_white_space_is_blank(spark, at, blank):
+    rows = [(1, "A", "IN_REVIEW", blank, "notes", None, None), (2, "A", "IN_REVIEW", "ana", blank, None, None)]
+    _, refused = cases.apply_actions(open_cases(spark, at, "A"), actions(spark, at, rows))
+    assert {r.problem for r in refused.collect()} == {"ACTOR_AND_NOTES_REQUIRED"}
+
+
+def test_repeated_action_ids_are_refused(spark, at):
+    rows = [(1, "A", "IN_REVIEW", "ana", "n", None, None), (1, "B", "IN_REVIEW", "ana", "n", None, None),
+            (2, "B", "IN_REVIEW", "ana", "n", None, None)]
+    audit, refused = cases.apply_actions(open_cases(spark, at, "AB"), actions(spark, at, rows))
+    assert [r.action_id for r in audit.collect()] == [2]
+    assert [(r.action_id, r.problem) for r in refused.collect()] == [(1, "REPEATED_ACTION_ID")] * 2
+
+
+def test_case_table_survives_breaks_and_repeats(spark, at, tmp_path, monkeypatch):
+    folder, alerts = str(tmp_path / "cases"), open_cases(spark, at, "ABC")
+    real = case_table.materialise
+
+    def broken(frame):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(case_table, "materialise", broken)
+    with pytest.raises(RuntimeError):
+        case_table.seed(alerts, folder)
+    monkeypatch.setattr(case_table, "materialise", real)
+    case_table.seed(alerts.where("alert_id = 'A'"), folder)
+    case_table.seed(alerts, folder)
+    case_table.seed(alerts, folder)
+    delivery = actions(spark, at, LIFE)
+    first = case_table.review(alerts, folder, delivery)
+    assert first.count() == 7
+    again = case_table.review(alerts, folder, delivery)
+    assert {r.action_id for r in again.collect()} == {1, 3, 4, 6, 7, 8, 9}
+    audit = case_table.audit(alerts, folder)
+    assert audit.where("action = 'CREATE'").count() == 3
+    assert sorted(r.action_id for r in audit.where("action_id is not null").collect()) == [2, 5]
+    assert {r.alert_id: r.status for r in case_table.current(alerts, folder).collect()} == {
+        "A": "CLOSED", "B": "OPEN", "C": "OPEN"
+    }

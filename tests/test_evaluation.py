@@ -47,13 +47,13 @@ def test_ranking_metrics_equal_brute_force(spark, seed):
     assert row.pr_auc_ap == pytest.approx(brute_ap(pairs))
 
 
-@pytest.mark.parametrize("one_bucket", [1, 7, 1000])
-def test_running_totals_do_not_depend_on_the_buckets(spark, one_bucket):
+@pytest.mark.parametrize("range_values", [1, 7, 1000])
+def test_running_totals_do_not_depend_on_the_ranges(spark, range_values):
     rng = random.Random(8)
     rows = [(rng.choice("ab"), rng.choice([5.0] * 30 + [rng.gauss(0, 100) for _ in range(60)])) for _ in range(400)]
     frame = spark.createDataFrame(rows, "g string, v double")
     groups = frame.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
-    got = ranking.running_totals(groups, "v", ["n"], ["g"], one_bucket).collect()
+    got = ranking.running_totals(groups, "v", ["n"], ["g"], range_values).collect()
     for r in got:
         mine = [v for g, v in rows if g == r.g]
         assert r.n_before == sum(v < r.v for v in mine) and r.n_total == len(mine)
@@ -113,3 +113,15 @@ def test_largest_contributions_text(spark):
     top = sampling.largest_by_size(list("abcd"), [F.col(c) for c in "abcd"])
     row = frame.select(sampling.contributor_text(top).alias("t")).first()
     assert row.t == "b=-2.000; d=-2.000; a=+0.500"
+
+
+@pytest.mark.parametrize("range_values", [1, 7, 200_000])
+def test_null_and_nan_scores_take_no_rank_at_any_size(spark, range_values):
+    rows = [(0.1, 0), (0.4, 1), (0.4, 0), (0.9, 1), (0.7, 0), (0.2, 1)] + [(None, 1), (None, 0), (float("nan"), 1)]
+    frame = spark.createDataFrame(rows, "score double, label int")
+    groups = evaluation.score_groups(frame, "label", "score")
+    got = evaluation.ranking_metrics(groups, range_values=range_values).first()
+    plain = evaluation.ranking_metrics(evaluation.score_groups(frame.where("score < 1"), "label", "score")).first()
+    assert tuple(got) == tuple(plain)
+    described = ranking.describe(frame, "score", range_values=range_values).first()
+    assert described["count"] == 6 and described["max"] == 0.9
