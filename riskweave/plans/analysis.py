@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators import evaluation, marts, ranking, sampling, statistics
-from riskweave.operators.features import FEATURES, NUMERIC, assert_no_leak
+from riskweave.operators import evaluation, marts, models, ranking, sampling, statistics
+from riskweave.operators.features import CATEGORICAL, FEATURES, NUMERIC, assert_no_leak
 from riskweave.operators.measures import measure_by
 from riskweave.plans.registry import query, r6, us
 from riskweave.plans.views import Views
@@ -64,6 +66,19 @@ def ranking_metrics_by_model(v: Views) -> DataFrame:
     return evaluation.ranking_metrics(groups, ["model"])
 
 
+@query("ML2 ML3 W11", f"""
+SELECT model, round(sum(pos * (neg_below + neg / 2.0::DOUBLE)) / (max(p) * max(n)), 6) AS roc_auc,
+       round(sum(pos * tp_at / n_at::DOUBLE) / max(p), 6) AS pr_auc_ap
+FROM {_RANKED.replace(_MODELS + " m", _MODELS + " m WHERE s >= 0.05")} r GROUP BY 1
+""", "scored")
+def ranking_metrics_in_ranges(v: Views) -> DataFrame:
+    """The same metrics over many short ranges; rows with a null or NaN score have no rank."""
+    s = F.col("s")
+    gaps = two_models(v).withColumn("s", F.when(s >= 0.05, s).when(s >= 0.02, F.lit(float("nan"))))
+    groups = evaluation.score_groups(gaps, "investigation_label", "s", ["model"])
+    return evaluation.ranking_metrics(groups, ["model"], range_values=50)
+
+
 @query("ML4", f"SELECT {us('make_timestamp(t_a)', 't_a')}, {us('make_timestamp(t_b)', 't_b')} FROM split_times", "split_times")
 def split_boundaries(v: Views) -> DataFrame:
     return evaluation.split_times(v.payments).select(
@@ -178,6 +193,12 @@ def amount_description(v: Views) -> DataFrame:
     return ranking.describe(v.payments, "amount", (0.5, 0.9, 0.99))
 
 
+@query("A8 W11", _DESCRIBE.format(c="amount", p=_quantiles("amount", (0.5, 0.9, 0.99))) + " WHERE amount >= 100", "scored")
+def describe_in_ranges(v: Views) -> DataFrame:
+    gaps = v.payments.withColumn("amount", F.when(F.col("amount") >= 100, F.col("amount")))
+    return ranking.describe(gaps, "amount", (0.5, 0.9, 0.99), range_values=100)
+
+
 @query("A8", _DESCRIBE.format(c="risk_score", p=_quantiles("risk_score", (0.25, 0.5, 0.75))), "scored")
 def risk_score_description(v: Views) -> DataFrame:
     return ranking.describe(v.scored, "risk_score")
@@ -206,7 +227,7 @@ def geography_chi_square(v: Views) -> DataFrame:
     return statistics.chi_square(v.scored, F.col("high_risk_geo") == 1, F.col("alert_flag"))
 
 
-@query("ST4 W11", """
+_MANN_WHITNEY = """
 SELECT round(u, 6) AS mann_whitney_u, round(2 * u / (n1 * n2) - 1, 6) AS rank_biserial,
        round((SELECT median(amount) FROM scored WHERE alert_flag), 6) AS alerted_median,
        round((SELECT median(amount) FROM scored WHERE NOT alert_flag), 6) AS nonalerted_median,
@@ -216,11 +237,20 @@ FROM (SELECT sum(CASE WHEN alert_flag THEN place END) - max(n1) * (max(n1) + 1)
       FROM (SELECT alert_flag, rank() OVER (ORDER BY amount) + (count(*) OVER (PARTITION BY amount) - 1) / 2.0::DOUBLE AS place,
                    sum(alert_flag::INT) OVER ()::DOUBLE AS n1, sum((NOT alert_flag)::INT) OVER ()::DOUBLE AS n2 FROM scored) r) a,
      (SELECT sum(t * t * t - t) AS ties FROM (SELECT count(*)::DOUBLE AS t FROM scored GROUP BY amount) g) b
-""", "scored")
+"""
+
+
+@query("ST4 W11", _MANN_WHITNEY, "scored")
 def amount_mann_whitney(v: Views) -> DataFrame:
     return statistics.mann_whitney(v.scored, "amount", "alert_flag")
 
 
+@query("ST4 W11", _MANN_WHITNEY.replace("FROM scored", "FROM (SELECT * FROM scored WHERE amount >= 100) s"), "scored")
+def mann_whitney_in_ranges(v: Views) -> DataFrame:
+    gaps = v.scored.withColumn("amount", F.when(F.col("amount") >= 100, F.col("amount")))
+    return statistics.mann_whitney(gaps, "amount", "alert_flag", range_values=100)
+
+
 @query("ST5 W11", """
 SELECT round(corr(rx, ry), 6) AS spearman_rho, count(*) AS n FROM (
   SELECT rank() OVER (ORDER BY amount) + (count(*) OVER (PARTITION BY amount) - 1) / 2.0::DOUBLE AS rx,
@@ -257,3 +287,57 @@ def statistical_measures(v: Views) -> DataFrame:
     findings = marts.statistical_findings(statistics.statistics_bundle(v.kept_scored))
     names = ["Cramers V", "Rank Biserial", "Spearman Rho", "Wilson Lower", "Wilson Upper"]
     return measure_by({"statistical_findings": findings}, names)
+
+
+@query("ML8", """
+SELECT DISTINCT investigation_label::BIGINT AS label,
+       round(n / (2.0::DOUBLE * CASE investigation_label WHEN 1 THEN pos ELSE n - pos END), 6) AS balanced,
+       round(CASE investigation_label WHEN 1 THEN (n - pos) / pos::DOUBLE ELSE 1 END, 6) AS boosting
+FROM scored, (SELECT count(*) AS n, sum(investigation_label) AS pos FROM scored) t
+""", "scored")
+def class_weights(v: Views) -> DataFrame:
+    counts = models.class_counts(v.scored)
+    weights = models.balanced_weight(*counts).alias("balanced"), models.boosting_weight(*counts).alias("boosting")
+    return v.scored.select(F.col(models.LABEL).cast("bigint").alias("label"), *weights).distinct()
+
+
+@query("ML15", """
+SELECT fold, p AS rows_before, transaction_id AS last_before
+FROM (SELECT k::BIGINT AS fold, n - (3 - k) * (n // 4) AS p FROM (SELECT count(*) AS n FROM scored) t, range(3) r(k)) e
+JOIN (SELECT transaction_id, row_number() OVER (ORDER BY timestamp, transaction_id) AS place FROM scored) o ON place = p
+""", "scored")
+def fold_edges(v: Views) -> DataFrame:
+    rows = v.scored.select("timestamp", models.KEY)
+    edges = models.fold_edges(rows, 3)[:-1]
+    last = F.max_by(models.KEY, F.struct("timestamp", models.KEY))
+    folds = F.explode(F.array(*(F.struct(F.lit(k).alias("fold"), edge.alias("before")) for k, edge in enumerate(edges))))
+    parts = rows.select("timestamp", models.KEY, folds.alias("x")).where("x.before")
+    return parts.groupBy(F.col("x.fold").alias("fold")).agg(
+        F.count(F.lit(1)).alias("rows_before"), last.alias("last_before")
+    )
+
+
+def _scaled(name: str) -> str:
+    return (
+        f"SELECT '{name}' AS feature, round(avg({name}::DOUBLE), 6) AS mean,"
+        f" round(stddev_samp({name}::DOUBLE), 6) AS deviation, NULL::VARCHAR AS mode FROM scored"
+    )
+
+
+def _mode(name: str) -> str:
+    return (
+        f"SELECT '{name}', NULL, NULL, (SELECT {name} FROM scored WHERE {name} IS NOT NULL GROUP BY 1"
+        f" ORDER BY count(*) DESC, 1 LIMIT 1)"
+    )
+
+
+@query("ML6 ML7", " UNION ALL ".join([*map(_scaled, NUMERIC), *map(_mode, CATEGORICAL)]), "scored")
+def preprocessing_parameters(v: Views) -> DataFrame:
+    """What the preprocessing learns: a few numbers for each feature."""
+    train = v.kept_scored
+    modes = models.modes(train)
+    prepared = Pipeline(stages=models.preprocessing(modes)).fit(train)
+    scaler = next(s for s in prepared.stages if isinstance(s, StandardScalerModel))
+    rows = [(n, float(m), float(d), None) for n, m, d in zip(NUMERIC, scaler.mean, scaler.std, strict=True)]
+    rows += [(n, None, None, modes[n]) for n in CATEGORICAL]
+    return v.spark.createDataFrame(rows, "feature string, mean double, deviation double, mode string")

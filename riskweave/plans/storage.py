@@ -92,3 +92,23 @@ def rules_from_document(v: Views) -> DataFrame:
     document = json.loads(json.dumps(asdict(v.controls)))
     ruled = rules.apply_rules(v.featured, controls_from_dict(document))
     return ruled.select("transaction_id", "risk_score", "rule_reasons", "rule_review")
+
+
+@query("SRC3 R5", """
+SELECT rule_id, count(*) AS payments, sum(rule_score)::BIGINT AS score FROM (
+  SELECT unnest(regexp_extract_all(rule_reasons, 'R0[1-7]')) AS rule_id FROM ruled) f
+JOIN (VALUES ('R01', 30), ('R02', 20), ('R03', 10), ('R04', 30), ('R05', 20), ('R06', 50), ('R07', 25)) r(rule_id, rule_score)
+  USING (rule_id)
+GROUP BY 1
+""", "ruled")
+def rules_from_file(v: Views) -> DataFrame:
+    """The rule list read from a JSON file in the shared folder, joined to the payments it fired on."""
+    path = _target(v, "controls")
+    text = json.dumps(asdict(v.controls))
+    v.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    listed = files.read_rules(v.spark, path).select("rule_id", "score")
+    ruled = rules.apply_rules(v.featured, v.controls)
+    fired = ruled.select(F.explode(F.regexp_extract_all("rule_reasons", F.lit("R0[1-7]"), 0)).alias("rule_id"))
+    return fired.join(listed, "rule_id").groupBy("rule_id").agg(
+        F.count(F.lit(1)).alias("payments"), F.sum("score").cast("bigint").alias("score")
+    )

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.config import run_key
+from riskweave.config import Controls, run_key
 from riskweave.operators import cases
 from riskweave.plans.registry import query, r6, us
 from riskweave.plans.views import Views
+from riskweave.session import materialise, shared_folder
+from riskweave.sources import case_table
 
 
 @query("K1 J9", f"SELECT alert_id, alert_type, {us('created_at')} FROM alerts WHERE alert_type <> 'SCREENING'", "alerts")
@@ -89,6 +93,26 @@ def case_snapshot(v: Views) -> DataFrame:
     return v.cases.select("alert_id", "status", "investigator_notes", "disposition", "reason_code", "reviewed_at")
 
 
+# Two run configurations: the default one and one with another threshold.
+_KEYS = tuple(run_key(0, 42, c) for c in (Controls(), Controls(risk_threshold=60)))
+
+
+@query("K6", f"""
+SELECT '{_KEYS[0]}' AS run_key, status, count(*) AS n FROM cases GROUP BY 2
+UNION ALL SELECT '{_KEYS[1]}', 'OPEN', count(*) FROM alerts
+""", "cases", "alerts")
+def cases_by_run_key(v: Views) -> DataFrame:
+    """Two runs' case tables, of which only one was reviewed: each key's folder holds its own state."""
+    root = f"{shared_folder(v.spark)}/cases-{uuid.uuid4().hex}"
+    found, parts = materialise(v.alerts), []
+    for key in _KEYS:
+        case_table.seed(found, f"{root}/run_key={key}")
+    case_table.review(found, f"{root}/run_key={_KEYS[0]}", v.review_actions)
+    for key in _KEYS:
+        parts.append(case_table.current(found, f"{root}/run_key={key}").select(F.lit(key).alias("run_key"), "status"))
+    return parts[0].unionByName(parts[1]).groupBy("run_key", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("K6", "SELECT status, count(*) AS n FROM cases GROUP BY 1", "cases")
 def cases_of_run_key(v: Views) -> DataFrame:
     """Cases carry their run key; one configuration's state is one key's rows."""
