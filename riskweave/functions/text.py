@@ -76,6 +76,16 @@ def _lcs_long(a: str, b: str) -> int:
     return len(a) - free.bit_count()
 
 
+class Encoded:
+    """A list of names, encoded once for any number of tables."""
+
+    def __init__(self, names: list[str]):
+        self.names = names
+        self.codes, self.lengths = encode(names)
+        self.masks = _match_masks(self.codes)
+        self.counts = symbol_counts(self.codes)
+
+
 class LcsTable:
     """Exact LCS lengths between chosen rows of two name lists.
 
@@ -84,10 +94,11 @@ class LcsTable:
     arbitrary-width integers instead.
     """
 
-    def __init__(self, left: list[str], right: list[str]):
-        self.names = (left, right)
-        self.codes, self.lengths = zip(encode(left), encode(right), strict=True)
-        self.masks = tuple(_match_masks(c) for c in self.codes)
+    def __init__(self, left: list[str] | Encoded, right: list[str] | Encoded):
+        sides = [x if isinstance(x, Encoded) else Encoded(x) for x in (left, right)]
+        self.names, self.codes, self.lengths, self.masks, self.counts = (
+            tuple(getattr(x, name) for x in sides) for name in ("names", "codes", "lengths", "masks", "counts")
+        )
 
     def lengths_of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         out = np.zeros(len(i), np.int64)

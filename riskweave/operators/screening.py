@@ -1,10 +1,9 @@
 """Counterparty screening: every distinct name against the active watchlist, best match kept.
 
-The names are the side that grows; they are made distinct, spread over the cluster and
-scored in Arrow batches. The list is the bounded side. It is counted first, cut into slices
-of at most ``SLICE_ROWS`` candidates, and each slice is sent to the tasks on its own; the
-per-slice winners of a name (one row each) meet in one aggregate. So no pair of names is
-ever a row, and neither side has to fit in one place.
+Distinct names and the list are both dealt out, names in chunks and the list in parts, and each
+task meets one chunk with one part; a name's winners in all parts (one row each) meet in one
+aggregate. So no pair of names is ever a row, neither side has to fit in one place, and nothing
+passes through the driver.
 
 Inside a task a pair is scored only while its upper bound (shared symbols, lengths, context)
 can still reach the best score seen for that name, which leaves the result exact.
@@ -12,16 +11,17 @@ can still reach the best score seen for that name, which leaves the result exact
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.text import LcsTable, normalise_name, symbol_counts
+from riskweave.functions.text import Encoded, LcsTable, normalise_name
+from riskweave.session import materialise
 
+# Rows, about, of a part of the list and of a chunk of names.
 SLICE_ROWS = 20_000
+CHUNK_ROWS = 50_000
 MATRIX_CELLS = 2_000_000
 LEADERS = 32
 NAME_WEIGHT, COUNTRY_POINTS, TYPE_POINTS = 0.9, 5, 5
@@ -32,6 +32,7 @@ _BEST = (
     " alias_match boolean, country_match boolean, type_match boolean, name_position int,"
     " candidate_length int, lcs int, score double"
 )
+_BEST_COLUMNS = [c.split()[0] for c in _BEST.split(",")]
 
 
 class ScreeningError(ValueError):
@@ -89,32 +90,25 @@ def screening_problems(names: DataFrame, listed: DataFrame, name_col: str) -> Da
     return blank.unionByName(empty)
 
 
-def _slices(listed: DataFrame, slice_rows: int) -> list[pd.DataFrame]:
-    """The list in slices of a proven size. Each slice is fetched on its own, none beyond the bound."""
-    head = listed.limit(slice_rows + 1).toPandas()
-    if head.empty:
-        raise ScreeningError("no active candidate")
-    if len(head) <= slice_rows:
-        return [head]
-    parts = -(-listed.count() // slice_rows)
-    while True:
-        part = F.pmod(F.xxhash64("entity_id", "name_position"), F.lit(parts)).cast("int")
-        sliced = listed.withColumn("slice", part)
-        largest = sliced.groupBy("slice").count().agg(F.max("count")).first()[0]
-        if largest <= slice_rows:
-            break
-        parts *= 2
-    return [s for k in range(parts) if len(s := sliced.where(F.col("slice") == k).toPandas())]
+def _best_in_part(names: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+    """The best candidate of one part of the list for each name of one chunk."""
+    if names.empty or part.empty:
+        return pd.DataFrame(columns=_BEST_COLUMNS)
+    best_of, step = _scorer(part)
+    names = names[_KEYS]
+    return pd.concat([
+        best_of(names.iloc[start : start + step].reset_index(drop=True)) for start in range(0, len(names), step)
+    ])
 
 
 def _scorer(slice_frame: pd.DataFrame):
-    """Function over Arrow batches of names that keeps the best candidate of one list slice."""
+    """(function over names that keeps the best candidate of one part of the list, names it takes at a time)."""
     ordered = slice_frame.sort_values(["entity_id", "name_position"], ignore_index=True)
-    listed = ordered["normal"].tolist()
+    listed = Encoded(ordered["normal"].tolist())
     country, kind = ordered["country"].to_numpy(object), ordered["entity_type"].to_numpy(object)
     entity, alias = ordered["entity_id"].to_numpy(), ordered["alias_match"].to_numpy(bool)
     position, title = ordered["name_position"].to_numpy("int32"), ordered["canonical_name"].to_numpy(object)
-    step, leaders = max(1, MATRIX_CELLS // len(listed)), min(LEADERS, len(listed))
+    step, leaders = max(1, MATRIX_CELLS // len(ordered)), min(LEADERS, len(ordered))
 
     def best_of(names: pd.DataFrame) -> pd.DataFrame:
         table = LcsTable(names["normal"].tolist(), listed)
@@ -128,7 +122,7 @@ def _scorer(slice_frame: pd.DataFrame):
             share = np.where(total[at] == 0, 100.0, share)
             return NAME_WEIGHT * share + COUNTRY_POINTS * same_country[at] + TYPE_POINTS * same_kind[at]
 
-        left, right = symbol_counts(table.codes[0]), symbol_counts(table.codes[1])
+        left, right = table.counts
         shared = np.zeros(total.shape, np.int32)
         for symbol in range(left.shape[1]):
             shared += np.minimum(left[:, symbol, None], right[None, :, symbol])
@@ -161,12 +155,7 @@ def _scorer(slice_frame: pd.DataFrame):
             lcs=common.astype("int32"), score=best,
         )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), step):
-                yield best_of(batch.iloc[start : start + step].reset_index(drop=True))
-
-    return run
+    return best_of, step
 
 
 def best_matches(requests: DataFrame, listed: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -174,17 +163,21 @@ def best_matches(requests: DataFrame, listed: DataFrame, slice_rows: int = SLICE
 
     The first candidate in list order (entity, then name position) wins ties.
     """
+    spark = listed.sparkSession
+    listed = materialise(listed.drop("listed_name"))
+    requests = materialise(requests.select(*_KEYS).distinct())
+    parts = -(-listed.count() // slice_rows)
+    if not parts:
+        raise ScreeningError("no active candidate")
     # Scoring costs time per row, not per byte: spread the names evenly whatever their size.
-    tasks = max(int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                listed.sparkSession.sparkContext.defaultParallelism)
-    requests = requests.select(*_KEYS).distinct().repartition(tasks, *_KEYS)
-    slices = _slices(listed.drop("listed_name"), slice_rows)
-    scored = None
-    for slice_frame in slices:
-        part = requests.mapInPandas(_scorer(slice_frame), _BEST)
-        scored = part if scored is None else scored.unionByName(part)
-    if len(slices) == 1:
-        return scored
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    chunks = max(tasks, -(-requests.count() // CHUNK_ROWS))
+    names = requests.withColumn("chunk", F.pmod(F.xxhash64(*_KEYS), F.lit(chunks)))
+    names = names.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    part = F.pmod(F.xxhash64("entity_id", "name_position"), F.lit(parts)).cast("int")
+    dealt = listed.withColumn("part", part).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    dealt = dealt.withColumn("chunk", F.col("chunk").cast("bigint"))
+    scored = names.groupBy("part", "chunk").cogroup(dealt.groupBy("part", "chunk")).applyInPandas(_best_in_part, _BEST)
     rest = F.struct(*[c for c in scored.columns if c not in _KEYS])
     first_best = F.struct("score", -F.col("entity_id"), -F.col("name_position"))
     return scored.groupBy(*_KEYS).agg(F.max_by(rest, first_best).alias("b")).select(*_KEYS, "b.*")
