@@ -7,12 +7,14 @@ its results; what is shared are fitted models and frames in reliable storage.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators import alerts, evaluation, marts, measures, models, trees
+from riskweave.operators import alerts, evaluation, marts, measures, models, trees, warehouse
 from riskweave.operators.features import NUMERIC
+from riskweave.plans.full_run import Inputs, full_run
 from riskweave.plans.registry import query
 from riskweave.plans.views import Views
 from riskweave.session import materialise, shared_folder
@@ -113,3 +115,25 @@ def boosted_model_measures(v: Views) -> DataFrame:
 @query("B5")
 def model_confusion_cells(v: Views) -> DataFrame:
     return marts.confusion_cells(training(v)[1].comparison)
+
+
+@query("SNK4 SNK5 ML16 K1", """
+SELECT 'customers' AS measure, count(*) AS n FROM customers UNION ALL SELECT 'counterparties', count(*) FROM counterparties
+UNION ALL SELECT 'payments', count(*) FROM ruled UNION ALL SELECT 'scored', count(*) FROM ruled
+UNION ALL SELECT 'risk_score', sum(risk_score)::BIGINT FROM ruled
+""", "customers", "counterparties", "ruled")
+def full_run_totals(v: Views) -> DataFrame:
+    """The whole batch, from contracts to published tables: what does not depend on a learner."""
+    root = f"{shared_folder(v.spark)}/run-{uuid.uuid4().hex}"
+    done = full_run(Inputs(v.customers, v.counterparties, v.payments, v.watchlist), v.controls, root)
+    published = {
+        "customers": "dim_customer", "counterparties": "dim_counterparty", "payments": "fact_transactions",
+    }
+    counts = [
+        warehouse.read_published(v.spark, f"{root}/warehouse", table).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(name).alias("measure"), "n")
+        for name, table in published.items()
+    ]
+    score = done.scored.agg(F.count("model_probability").alias("scored"), F.sum("risk_score").cast("bigint").alias("risk_score"))
+    counts.append(score.unpivot([], ["scored", "risk_score"], "measure", "n"))
+    return reduce(DataFrame.unionByName, counts)
