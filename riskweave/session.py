@@ -68,12 +68,27 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_OWNED: set[str] = set()
+
+
+def _own(spark: SparkSession, folder: str) -> None:
+    """Have the application's folder removed when the application ends."""
+    if folder not in _OWNED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _OWNED.add(folder)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute once into a table in the shared folder and go on from there.
 
     Lineage ends at the table, so a lost executor costs nothing that is already written; and,
-    unlike an RDD checkpoint, later readers still prune columns and see the table's size.
+    unlike an RDD checkpoint, later readers still prune columns and see the table's size. Tables
+    live as long as the application: its folder goes when it ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/riskweave-tables/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/riskweave-tables/{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _own(spark, folder)
+    return spark.read.schema(df.schema).parquet(path)
