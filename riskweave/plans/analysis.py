@@ -146,6 +146,35 @@ def confusion_cells(v: Views) -> DataFrame:
     return marts.confusion_cells(confusion_by_model(v))
 
 
+@query("M29 M30 M31 M32 M33", f"""
+SELECT unnest(['XGBoost Threshold', 'Test TP', 'Test FP', 'Test FN', 'Test TN']) AS measure,
+       unnest([0.45::DOUBLE, tp, fp, fn, tn]) AS value
+FROM (SELECT model, {_CELLS.format(t=0.45)} FROM {_MODELS} m WHERE model = 'ratio' GROUP BY 1) c
+""", "scored")
+def measures_of_comparison(v: Views) -> DataFrame:
+    """The boosted model's measures, of a comparison in which the ratio score stands in for it."""
+    named = F.when(F.col("model") == "ratio", models.BOOSTED).otherwise(F.col("model"))
+    comparison = confusion_by_model(v).withColumn("model", named).withColumn("threshold", F.lit(0.45))
+    names = ["XGBoost Threshold", "Test TP", "Test FP", "Test FN", "Test TN"]
+    found = measure_by({"model_comparison": comparison}, names)
+    return found.unpivot([], names, "measure", "value")
+
+
+@query("B7 ML18", """
+SELECT feature, count(DISTINCT value) AS labels FROM (
+  SELECT unnest(['payment_channel', 'payment_type', 'kyc_status']) AS feature,
+         unnest([payment_channel, payment_type, kyc_status]) AS value FROM scored) c
+GROUP BY 1
+""", "scored")
+def importance_names(v: Views) -> DataFrame:
+    """Plain names of the one-hot slots that the preprocessing makes, counted by feature."""
+    prepared = Pipeline(stages=models.preprocessing(models.modes(v.kept_scored))).fit(v.kept_scored)
+    slots = [(n,) for n in models.feature_names(prepared) if n.startswith("category__")]
+    plain = marts.plain_feature_names(v.spark.createDataFrame(slots, "feature string"))
+    owner = F.coalesce(*(F.when(F.col("feature").startswith(f"{c}_"), F.lit(c)) for c in CATEGORICAL))
+    return plain.groupBy(owner.alias("feature")).agg(F.count(F.lit(1)).alias("labels"))
+
+
 @query("W10", "SELECT count(*) AS rows, 9::BIGINT AS numeric_features, 12::BIGINT AS all_features FROM featured", "featured")
 def feature_vector_contract(v: Views) -> DataFrame:
     assert_no_leak(FEATURES)
