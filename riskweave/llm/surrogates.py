@@ -69,6 +69,11 @@ ENDINGS = {
 }
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often and deep the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def kind_of(value: Column) -> Column:
     """The kind of a match: the first whose pattern it is, as a whole."""
     tests = [(k, value.rlike(rf"\A(?:{p})\z")) for k, p in KINDS.items()]
@@ -123,14 +128,16 @@ def luhn(digits: Column) -> Column:
 
 def new_digits(kind: Column, known: Column, seeds: Column) -> Column:
     """Digits in place of the digits of a number's canonical form."""
-    digits = F.replace(known, F.lit("+"), F.lit(""))
     keep = F.when(known.startswith("+") | (kind == "card"), 1).otherwise(0)
-    drawn = chars(digits, lambda c, i: F.when(i < keep, c).otherwise(
+    drawn = chars(F.replace(known, F.lit("+"), F.lit("")), lambda c, i: F.when(i < keep, c).otherwise(
         F.when(i == keep, draw(seeds, i, 9) + 1).otherwise(draw(seeds, i, 10)).cast("string")
     ))
-    short = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
-    check = ((10 - luhn(F.concat(short, F.lit("0")))) % 10).cast("string")
-    return F.when(kind == "card", F.concat(short, check)).otherwise(drawn)
+
+    def checked(digits: Column) -> Column:
+        short = F.substring(digits, F.lit(1), F.length(digits) - 1)
+        return let(short, lambda x: F.concat(x, let(F.concat(x, F.lit("0")), lambda y: ((10 - luhn(y)) % 10).cast("string"))))
+
+    return let(drawn, lambda digits: F.when(kind == "card", checked(digits)).otherwise(digits))
 
 
 def fill(template: Column, digits: Column) -> Column:
@@ -164,29 +171,35 @@ def syllables(table: list[str], count: Column, seeds: Column) -> Column:
 
 def replacement(kind: Column, known: Column, attempt: Column, template: Column, key: str) -> Column:
     """What stands for an entity (kind, canonical form, attempt) in place of ``template``."""
-    seeds = seed(key, kind, known, attempt)
-    local, domain = F.substring_index(template, "@", 1), F.substring_index(template, "@", -1)
-    label = F.substring_index(domain, ".", -1)
-    host = F.substring(domain, F.lit(1), F.length(domain) - F.length(label))
-    hosts = seed(key, F.lit("domain"), F.substring_index(known, "@", -1), F.lit(0))
-    email = F.concat(
-        chars(local, lambda c, i: letter(c, seeds, i)), F.lit("@"), chars(host, lambda c, i: letter(c, hosts, i)), label
-    )
-    octets = [(draw(seeds, F.lit(k), 254) + 1).cast("string") for k in range(4)]
-    access = F.concat(
-        F.substring(template, F.lit(1), F.lit(4)),
-        chars(F.substring(template, F.lit(5), F.lit(64)), lambda c, i: letter(c, seeds, i)),
-    )
-    hexed = F.substring(seeds, F.lit(1), F.length(known))
-    return (
-        F.when(kind == "none", template)
-        .when(kind == "email", email)
-        .when(kind == "ip", F.concat_ws(".", *octets))
-        .when(kind.isin(*DIGITS), fill(template, new_digits(kind, known, seeds)))
-        .when(kind == "key", access)
-        .when(kind == "secret", F.when(template.rlike("[A-F]"), F.upper(hexed)).otherwise(hexed))
-        .otherwise(new_name(kind, known, seeds, attempt))
-    )
+
+    def email(seeds: Column) -> Column:
+        local, domain = F.substring_index(template, "@", 1), F.substring_index(template, "@", -1)
+        label = F.substring_index(domain, ".", -1)
+        host = F.substring(domain, F.lit(1), F.length(domain) - F.length(label))
+        hosts = seed(key, F.lit("domain"), F.substring_index(known, "@", -1), F.lit(0))
+        new_host = let(hosts, lambda h: chars(host, lambda c, i: letter(c, h, i)))
+        return F.concat(chars(local, lambda c, i: letter(c, seeds, i)), F.lit("@"), new_host, label)
+
+    def access(seeds: Column) -> Column:
+        rest = F.substring(template, F.lit(5), F.lit(64))
+        return F.concat(F.substring(template, F.lit(1), F.lit(4)), chars(rest, lambda c, i: letter(c, seeds, i)))
+
+    def secret(seeds: Column) -> Column:
+        made = F.substring(seeds, F.lit(1), F.length(known))
+        return F.when(template.rlike("[A-F]"), F.upper(made)).otherwise(made)
+
+    def made(seeds: Column) -> Column:
+        octets = [(draw(seeds, F.lit(k), 254) + 1).cast("string") for k in range(4)]
+        return (
+            F.when(kind == "email", email(seeds))
+            .when(kind == "ip", F.concat_ws(".", *octets))
+            .when(kind.isin(*DIGITS), let(new_digits(kind, known, seeds), lambda digits: fill(template, digits)))
+            .when(kind == "key", access(seeds))
+            .when(kind == "secret", secret(seeds))
+            .otherwise(new_name(kind, known, seeds, attempt))
+        )
+
+    return F.when(kind == "none", template).otherwise(let(seed(key, kind, known, attempt), made))
 
 
 def parts_of(found: DataFrame) -> DataFrame:
@@ -240,16 +253,18 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     count = F.countDistinct(F.when(F.col("kind") != "none", F.col("x._at")))
     made = materialise(made.groupBy("_row").agg(F.sort_array(F.collect_list("x")).alias("_made"), count.alias("_n")))
     rows = some.join(made, "_row")
-    # A name's parts follow its title; other entities are one part.
-    pieces = F.split("text", PATTERN, -1)
-
-    def joined(match: Column, at: Column) -> Column:
-        own = F.transform(F.filter("_made", lambda x: x["_at"] == at), lambda x: x["made"])
-        title = F.when(kind_of(match) == "person", F.concat(F.substring_index(match, " ", 1), F.lit(" "))).otherwise("")
-        return F.concat(F.get("_pieces", at), title, F.array_join(own, " "))
-
-    rows = rows.withColumn("_pieces", pieces)
-    text = F.concat(F.array_join(F.transform("_found", joined), ""), F.element_at("_pieces", -1))
+    # A name's parts follow its title; other entities are one part, the first.
+    named = rf"\A(?:{TITLE})\.? "
+
+    def joined(x: Column) -> Column:
+        title = F.concat(F.substring_index(F.get("_found", x["_at"]), " ", 1), F.lit(" "))
+        return F.when(x["_part"] > 0, F.concat(F.lit(" "), x["made"])).when(
+            F.get("_found", x["_at"]).rlike(named), F.concat(F.get("_pieces", x["_at"]), title, x["made"])
+        ).otherwise(F.concat(F.get("_pieces", x["_at"]), x["made"]))
+
+    # Written out first: the pieces are looked up once for each entity.
+    rows = materialise(rows.withColumn("_pieces", F.split("text", PATTERN, -1)).drop("text"))
+    text = F.concat(F.array_join(F.transform("_made", joined), ""), F.element_at("_pieces", -1))
     columns = [F.col(c) if c != "text" else text.alias("text") for c in docs.columns]
     changed = rows.select(*columns, F.col("_n").alias("_entities"))
     return marked.filter(F.size("_found") == 0).select(*docs.columns, F.lit(0).cast("long").alias("_entities")).union(changed)
