@@ -8,6 +8,7 @@ chunk is given to the library once per slice, and remembered up to a fixed numbe
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable
 from functools import cache
@@ -21,6 +22,8 @@ from riskweave.llm.common import byte_view
 REMEMBERED = 400_000
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 #: White space, signs that end a word and are in no special string, letters.
 KINDS = np.zeros(256, np.uint8)
 KINDS[SPACE] = 1
@@ -39,17 +42,37 @@ def starts_of(bounds: np.ndarray, data: np.ndarray, signs: bool = True) -> np.nd
     return np.flatnonzero(begins[:-1])
 
 
-def cut(column: pa.Array, signs: bool = True) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
-    """(index of each text's first chunk, with the end; chunks as dictionary codes; lengths in bytes)."""
+def cut(
+    column: pa.Array, signs: bool = True, fold: bool = False
+) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
+    """(index of each text's first chunk, with the end; chunks as dictionary codes; lengths in bytes).
+
+    With ``fold``, chunks come without their white space and in ASCII lower case.
+    """
     bounds, data = byte_view(column)
     starts = starts_of(bounds, data, signs)
     offsets = np.append(starts, len(data)).astype(np.int64)
+    if fold:
+        solid = ~SPACE[data]
+        offsets = np.concatenate(([0], np.cumsum(solid)))[offsets]
+        data = data[solid]
+        if not ((data[1:] == 0x7C) & (data[:-1] == 0x3C)).any():  # no special string can arise
+            data = LOWER[data]
     chunks = pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))
     )
     return np.searchsorted(starts, bounds), chunks.dictionary_encode(), np.diff(bounds)
 
 
+@cache
+def folds(path: str) -> bool:
+    """Whether a vocabulary drops white space and lower-cases, so that folded chunks have the same ids."""
+    with open(path, encoding="utf-8") as file:
+        definition = json.load(file)
+    steps = str(definition["normalizer"]), str(definition["pre_tokenizer"])
+    return "'Lowercase'" in steps[0] and "'behavior': 'Removed', 'invert': True" in steps[1]
+
+
 #: Texts laid end to end for one call of the library.
 TOGETHER = 2_000
 
@@ -123,7 +146,7 @@ def gather(codes: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarr
 
 def encode(column: pa.Array, path: str, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(offsets of each text's ids, all ids as uint32), ``end`` appended to every text if given."""
-    first, chunks, _ = cut(column)
+    first, chunks, _ = cut(column, fold=folds(path))
     distinct = packed_ids(path)(chunks.dictionary.to_pylist())
     lengths = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
     flat = np.frombuffer(b"".join(distinct), np.uint32)

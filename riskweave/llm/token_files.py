@@ -31,18 +31,20 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = 2
 
 # Of each control byte: the four lengths it names.
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
 
 
 def encode_ids(docs: DataFrame, vocabulary: str, end: int | None) -> DataFrame:
     """(part, doc_id, before, n_tokens, ids), ordered by doc_id over and within parts.
 
-    ``before``: ids earlier in the part. Ids are little-endian, 4 bytes each.
+    ``before``: ids earlier in the part. Ids are little-endian, 4 bytes each. Each part ends with a
+    row of its ids' counts: n_tokens is null, and ids holds pairs (id, count).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = 0
+        before, seen, part = 0, np.zeros(0, np.int64), None
         for batch in slices(batches):
+            part = batch["part"][0].as_py()
             offsets, ids = chunks.encode(batch["text"], vocabulary, end)
             data = pa.py_buffer(ids.astype("<u4").tobytes())
             yield pa.RecordBatch.from_pydict({
@@ -55,6 +57,16 @@ def encode_ids(docs: DataFrame, vocabulary: str, end: int | None) -> DataFrame:
                 ).cast(pa.binary()),
             })
             before += int(offsets[-1])
+            counts = np.bincount(ids)
+            if len(counts) > len(seen):
+                seen, counts = counts, seen
+            seen[: len(counts)] += counts
+        used = np.flatnonzero(seen)
+        if len(used):
+            pairs = np.stack((used, seen[used]), 1).astype("<i8").tobytes()
+            row = {"part": [part], "doc_id": [None], "before": [None], "n_tokens": [None], "ids": [pairs]}
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(row.items(), kinds, strict=True)})
 
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     rows = rows.withColumn("part", F.spark_partition_id().cast("long"))
@@ -65,23 +77,18 @@ def ranks(encoded: DataFrame) -> DataFrame:
     """(id, n, rank): rank 0 is the most frequent id; ties by id. As many rows as ids in use."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
         for batch in batches:
-            counts = np.bincount(byte_view(batch["ids"])[1].view("<u4"))
-            if len(counts) > len(seen):
-                seen, counts = counts, seen
-            seen[: len(counts)] += counts
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_pydict({"id": pa.array(used), "n": pa.array(seen[used])})
+            pairs = byte_view(batch["ids"])[1].view("<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_pydict({"id": pa.array(pairs[:, 0]), "n": pa.array(pairs[:, 1])})
 
-    counts = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.filter("n_tokens is null").select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # No more rows than the vocabulary has ids.
     return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1)
 
 
 def compress(values: np.ndarray, offsets: np.ndarray):
     """(control offsets, control, data offsets, data) of the value lists between ``offsets``."""
-    size = 1 + (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    size = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     counts = np.diff(offsets)
     controls = np.concatenate(([0], np.cumsum(-(-counts // 4))))
     # Place of each value among 2-bit slots, every list starting at a whole byte.
@@ -89,9 +96,10 @@ def compress(values: np.ndarray, offsets: np.ndarray):
     slots = np.zeros(4 * controls[-1], np.uint8)
     slots[slot] = size - 1
     control = (slots.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = raw[np.arange(4) < size[:, None]]
-    return controls, control, np.concatenate(([0], np.cumsum(size)))[offsets], data
+    widest = int(size.max(initial=1))
+    raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :widest]
+    data = raw[np.arange(widest) < size[:, None]]
+    return controls, control, np.concatenate(([0], np.cumsum(size, dtype=np.int64)))[offsets], data
 
 
 def expand(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -100,9 +108,11 @@ def expand(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndar
     # Unused slots at the end of each list hold no bytes.
     slot = np.arange(counts.sum()) + np.repeat(4 * (np.cumsum(used) - used) - np.cumsum(counts) + counts, counts)
     size = LENGTHS[control].reshape(-1)[slot]
-    raw = np.zeros((len(size), 4), np.uint8)
-    raw[np.arange(4) < size[:, None]] = data
-    return raw.view("<u4").reshape(-1)
+    widest = int(size.max(initial=1))
+    kind = 2 if widest <= 2 else 4
+    raw = np.zeros((len(size), kind), np.uint8)
+    raw[:, :widest][np.arange(widest) < size[:, None]] = data
+    return raw.view(f"<u{kind}").reshape(-1).astype(np.uint32)
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end: int | None = END) -> None:
@@ -110,6 +120,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end: int |
     spark = prepare(docs.sparkSession)
     encoded = materialise(encode_ids(docs, vocabulary, end))
     ranking = materialise(ranks(encoded))
+    encoded = encoded.filter("n_tokens is not null")
     ranking.write.parquet(f"{folder}/rank.parquet")
     order = np.array([tuple(r) for r in ranking.select("id", "rank").collect()], np.int64).reshape(-1, 2)
     to_rank = np.zeros(int(order[:, 0].max(initial=-1)) + 1, np.uint32)

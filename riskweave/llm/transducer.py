@@ -222,7 +222,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = counts_of(vocabulary)
         for batch in slices(batches):
-            first, codes, size = chunks.cut(batch["text"])
+            first, codes, size = chunks.cut(batch["text"], fold=True)
             emitted = np.array(of(codes.dictionary.to_pylist()), np.int64)[codes.indices.to_numpy(False)]
             scan = np.concatenate(([0], np.cumsum(emitted)))  # the prefix scan over constant maps
             tokens = np.diff(scan[first])

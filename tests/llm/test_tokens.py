@@ -100,7 +100,7 @@ def test_token_files_read_back(spark, edges, words):
 
 
 def test_ranks_go_by_frequency(spark, edges):
-    encoded = token_files.encode_ids(edges, token_files.VOCABULARY, 2)
+    encoded = token_files.materialise(token_files.encode_ids(edges, token_files.VOCABULARY, 2))
     rows = token_files.ranks(encoded).orderBy("rank").collect()
     assert [r.rank for r in rows] == list(range(len(rows)))
     assert [(-r.n, r.id) for r in rows] == sorted((-r.n, r.id) for r in rows)
