@@ -16,6 +16,8 @@ from riskweave.session import configure, materialise
 BATCH_ROWS = 50_000
 BATCH_BYTES = "8m"
 SLICE_BYTES = 12 << 20
+#: Rows of two or three numbers that may be sent to every executor: some 30 MB.
+BROADCAST_ROWS = 1_000_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -57,6 +59,23 @@ def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, from batches sorted by it."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        columns = [table[k].to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        begin = 0
+        for cut in cuts.tolist():
+            yield table.slice(begin, cut - begin).combine_chunks()
+            begin = cut
+        held = table.slice(begin)
+    if held is not None and held.num_rows:
+        yield held.combine_chunks()
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of a text column, nulls as empty texts; offsets start at 0."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
@@ -66,6 +85,12 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bounds - bounds[0], raw[bounds[0] : bounds[-1]]
 
 
+def checked(side: DataFrame) -> DataFrame:
+    """A narrow table, written out and counted: broadcast up to ``BROADCAST_ROWS``, shuffled beyond."""
+    side = materialise(side)
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
 def part_offsets(totals: DataFrame, part: str, size: str) -> DataFrame:
     """(part, before): sums of the parts before each one. One row a partition is collected."""
     rows = sorted((r[part], r[size]) for r in totals.select(part, size).collect())

@@ -29,8 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import graph
-from riskweave.llm.common import numbered, prepare
-from riskweave.llm.jaccard_join import runs
+from riskweave.llm.common import numbered, prepare, runs
 from riskweave.session import materialise
 
 COSINE = 0.9
@@ -38,6 +37,8 @@ RECALL = 0.999
 BITS = 48
 BLOCK = 1_024
 OVERLAP = 256
+#: Rows of a component that one task compares with as many others, when links are counted.
+COMPARED = 256
 
 
 def passes_for(vectors: int, cosine: float, recall: float) -> int:
@@ -128,7 +129,7 @@ def degrees(members: DataFrame, cosine: float) -> DataFrame:
                 links[at] = linked @ copies[at]
             yield pa.RecordBatch.from_pydict({"rep": pa.array(rep), "links": pa.array(links)})
 
-    sizes = materialise(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    sizes = materialise(members.groupBy("component").agg(F.ceil(F.count("*") / COMPARED).alias("blocks")))
     rows = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
         "component", "rep", "copies", "embedding", F.least("block", "other").alias("i"),

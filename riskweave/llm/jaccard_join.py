@@ -12,10 +12,11 @@ n - ceil(3n/4) + 1. The order puts shingles last that a sample of documents show
 which ones these are changes the cost only.
 
 1. Sketch each text: set size, digest, point, first shingles. Equal sets are one class.
-2. In each bucket, compare every document with the first of similar size: as many pairs as rows.
-   The pairs' links give first components.
+2. In each bucket the document with the most neighbours leads; every document is compared with those
+   that lead in a quarter of its buckets, four at most. These links give first components.
 3. Buckets that still hold several components get R-trees, which skip nodes of one component, and
-   find the remaining pairs. A bucket above ``BLOCK`` rows is dealt out in pairs of blocks.
+   find all remaining pairs. A bucket above ``BLOCK`` rows is dealt out in pairs of blocks. How many
+   buckets a pair shares bounds it once more.
 
 Pairs are verified on whole texts, streamed past the text they share. Components equal those over
 all links; the links inside an already joined component are not listed.
@@ -31,15 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import graph
-from riskweave.llm.common import prepare, slices
+from riskweave.llm.common import checked, prepare, runs, slices
 from riskweave.llm.shingles import common, mixed, shingle_sets
 from riskweave.session import materialise
 
-#: Groups of a point. A point is one byte a group; what exceeds a byte is added to the bound whole.
+#: Groups of the points in trees. A point is one byte a group; what exceeds a byte is added to the
+#: bound whole.
 GROUPS = 256
 #: One in so many documents is sampled for the order; a shingle in FREQUENT of them goes last.
 SAMPLE = 16
@@ -59,27 +61,47 @@ def needed(a, b):
     return -(-3 * (a + b) // 7)
 
 
+def first_ones(n):
+    """How many of a set's shingles, in the common order, name its buckets."""
+    return n + -3 * n // 4 + 1
+
+
+def fewest(a: Column, b: Column) -> Column:
+    """Fewest first shingles that two linked sets share.
+
+    In the common order one set's first ones end before the other's. Of those, the ones missing in
+    the other set are at most all that it misses.
+    """
+    common = F.ceil(3 * (a + b) / F.lit(7) - 1e-9)
+    return F.greatest(F.lit(1), F.least(*(n - F.ceil(3 * n / F.lit(4)) + 1 - n for n in (a, b))) + common)
+
+
+def point(shingles: np.ndarray) -> tuple[bytes, int]:
+    """(counts per group as bytes, shingles not counted)."""
+    counts = np.bincount(shingles & np.uint64(GROUPS - 1), minlength=GROUPS)
+    held = np.minimum(counts, 255)
+    return held.astype(np.uint8).tobytes(), int(counts.sum() - held.sum())
+
+
 def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """(doc_id, n, d1, d2, point, excess, first): ``first`` is null for all but one of a task's equal sets."""
+    """(doc_id, n, d1, d2, point, excess, first): the last three are null for all but one of a task's equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in slices(batches, size=HASHED):
-            n, digests, points, excess, firsts = [], [], [], [], []
+            n, digests, points, firsts = [], [], [], []
             for s in shingle_sets(batch["text"]):
                 d1 = int(mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) - (1 << 63)
                 d2 = int(mixed(s * np.uint64(0xDA942042E4DD58B5)).sum(dtype=np.uint64)) - (1 << 63)
-                counts = np.bincount(s & np.uint64(GROUPS - 1), minlength=GROUPS)
-                point = np.minimum(counts, 255)
                 n.append(len(s))
                 digests.append((d1, d2))
-                points.append(point.astype(np.uint8).tobytes())
-                excess.append(int((counts - point).sum()))
                 if not len(s) or (d1, d2) in seen:
+                    points.append((None, None))
                     firsts.append(None)
                     continue
                 seen.add((d1, d2))
-                length = len(s) + (-3 * len(s) // 4) + 1
+                points.append(point(s))
+                length = first_ones(len(s))
                 if len(last):
                     at = np.searchsorted(last, s)
                     at[at == len(last)] = 0
@@ -91,8 +113,8 @@ def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
                 "n": pa.array(n, pa.int64()),
                 "d1": pa.array([d for d, _ in digests], pa.int64()),
                 "d2": pa.array([d for _, d in digests], pa.int64()),
-                "point": pa.array(points, pa.binary()),
-                "excess": pa.array(excess, pa.int64()),
+                "point": pa.array([p for p, _ in points], pa.binary()),
+                "excess": pa.array([e for _, e in points], pa.int64()),
                 "first": pa.array(firsts, pa.list_(pa.int64())),
             })
 
@@ -116,14 +138,10 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
 
 def buckets(sketch: DataFrame) -> DataFrame:
-    """(token, lead, doc_id, n) of every token that two documents hold.
-
-    ``lead``: the bucket's smallest document of similar size, with itself as a row of its own.
-    """
+    """(token, doc_id, n, near) of every token that two documents hold; ``near``: rows of the token close by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held, before = ("token", "n", "doc_id"), [np.zeros(0, np.int64)] * 3, None
-        token = lead = size = None
         for batch in (*batches, None):
             rows = held
             if batch is not None:
@@ -137,38 +155,31 @@ def buckets(sketch: DataFrame) -> DataFrame:
             shared = again.copy()
             shared[:-1] |= again[1:]
             before = tokens[stop - 1]
-            out = [], [], [], []
             kept = np.flatnonzero(shared[:stop])
-            for t, n, doc in zip(*(c[kept].tolist() for c in rows), strict=True):
-                if t != token or 4 * size < 3 * n:
-                    token, lead, size = t, doc, n
-                for column, value in zip(out, (t, lead, doc, n), strict=True):
-                    column.append(value)
-            schema = ("token", "lead", "doc_id", "n")
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in zip(schema, out, strict=True)})
+            group = np.cumsum(~again)[kept]
+            near = np.bincount(group)[group]
+            columns = {k: pa.array(c[kept]) for k, c in zip(names, rows, strict=True)}
+            yield pa.RecordBatch.from_pydict(columns | {"near": pa.array(near)})
 
     rows = sketch.filter("doc_id is not null and first is not null")
     rows = rows.select(F.explode("first").alias("token"), "n", "doc_id")
-    rows = rows.repartition("token").sortWithinPartitions("token", "n", "doc_id")
-    return rows.mapInArrow(run, "token long, lead long, doc_id long, n long")
+    rows = rows.repartition("token").sortWithinPartitions("token")
+    return rows.mapInArrow(run, "token long, n long, doc_id long, near long")
 
 
-def bounded(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Pairs (a, b) that their points let pass."""
+def first_pairs(bucket: DataFrame) -> DataFrame:
+    """(a, b): each document with the leads of a quarter of its buckets or more; four at most.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (points_of(batch[c]) for c in ("pa", "pb"))
-            na, nb, ea, eb = (batch[c].to_numpy(False) for c in ("na", "nb", "ea", "eb"))
-            shared = np.minimum(a, b).sum(1, dtype=np.int64) + np.minimum(ea, eb)
-            keep = pa.array(shared >= needed(na, nb))
-            yield batch.select(["a", "b"]).filter(keep)
-
-    point = sketch.filter("first is not null").select("doc_id", "n", "point", "excess")
-    for c in "ab":
-        side = point.select(*(F.col(x).alias(y) for x, y in zip(point.columns, (c, "n" + c, "p" + c, "e" + c), strict=True)))
-        pairs = pairs.join(side, c)
-    return pairs.filter("4 * least(na, nb) >= 3 * greatest(na, nb)").mapInArrow(run, "a long, b long")
+    A bucket's lead is the document with the most neighbours in all its buckets: of a group of
+    edited copies, the one that the others were made of.
+    """
+    known = checked(bucket.groupBy("doc_id").agg(F.sum("near").alias("known")))
+    lead = bucket.join(known, "doc_id").groupBy("token").agg(F.max(F.struct("known", "doc_id", "n")).alias("x"))
+    lead = checked(lead.select("token", F.col("x.doc_id").alias("a"), F.col("x.n").alias("m")))
+    pairs = bucket.join(lead, "token").filter("a <> doc_id and 4 * least(n, m) >= 3 * greatest(n, m)")
+    pairs = pairs.groupBy("a", "doc_id", "n").agg(F.count("*").alias("shared"))
+    often = pairs.filter("4 * shared >= n - ceil(3 * n / 4) + 1")
+    return often.select("a", F.col("doc_id").alias("b")).distinct()
 
 
 def points_of(column: pa.Array) -> np.ndarray:
@@ -196,8 +207,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     pairs = materialise(pairs)
     crowd = materialise(pairs.groupBy("a").agg(F.ceil(F.count("*") / BESIDE).alias("parts")))
-    texts = docs.join(materialise(pairs.select("a").union(pairs.select("b")).distinct()).toDF("doc_id"), "doc_id")
-    texts = materialise(texts)
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = materialise(docs.join(checked(wanted), "doc_id"))
     members = pairs.join(crowd, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
     members = members.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "part", "b", "text")
     leads = crowd.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
@@ -208,67 +219,50 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 class Tree:
-    """R-tree over the points of one block, packed in the order of component and size."""
+    """R-tree over the points of one block, packed in the order of component and size.
+
+    A block holds at most ``BLOCK`` rows or so: leaves of ``LEAF`` rows, and their corners.
+    """
 
     def __init__(self, points, n, excess, component):
-        self.order = np.lexsort((n, component))
-        self.points, self.n, self.excess, self.component = (x[self.order] for x in (points, n, excess, component))
-        starts = np.arange(0, len(n), LEAF)
-        level = [
-            np.maximum.reduceat(self.points, starts), np.minimum.reduceat(self.n, starts),
-            np.maximum.reduceat(self.n, starts), np.maximum.reduceat(self.excess, starts),
-            np.minimum.reduceat(self.component, starts), np.maximum.reduceat(self.component, starts),
-        ]
-        self.levels = [level]
-        while len(level[1]) > 1:
-            starts = np.arange(0, len(level[1]), LEAF)
-            ways = (np.maximum, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum)
-            level = [way.reduceat(x, starts) for way, x in zip(ways, level, strict=True)]
-            self.levels.append(level)
-
-    def children(self, level: int, node: int) -> np.ndarray:
-        size = len(self.levels[level - 1][1]) if level else len(self.n)
-        return np.arange(node * LEAF, min((node + 1) * LEAF, size))
-
-
-def may_link(a, b, i: int, j: np.ndarray) -> np.ndarray:
-    """Which nodes ``j`` of level ``b`` can hold a document that links with one under node ``i`` of ``a``."""
-    shared = np.minimum(a[0][i], b[0][j]).sum(1, dtype=np.int64) + np.minimum(a[3][i], b[3][j])
-    one = (a[4][i] == a[5][i]) & (b[4][j] == b[5][j]) & (a[4][i] == b[4][j])
-    near = (4 * a[2][i] >= 3 * b[1][j]) & (4 * b[2][j] >= 3 * a[1][i])
-    return ~one & near & (shared >= needed(a[1][i], b[1][j]))
-
-
-def surviving(left: Tree, right: Tree) -> Iterator[tuple[int, int]]:
-    """Pairs of rows of different components whose points may link."""
-    top = max(len(left.levels), len(right.levels)) - 1
-    levels = [min(top, len(t.levels) - 1) for t in (left, right)]
-    stack = [(levels[0], 0, levels[1], 0)]
-    while stack:
-        k, i, m, j = stack.pop()
-        if k < 0 and m < 0:
-            yield int(left.order[i]), int(right.order[j])
-            continue
-        if k >= m:  # open the higher node
-            for c in left.children(k, i).tolist():
-                stack.extend((k - 1, c, m, x) for x in passing(left, k - 1, c, right, m, np.array([j])))
-        else:
-            c = right.children(m, j)
-            stack.extend((k, i, m - 1, x) for x in passing(left, k, i, right, m - 1, c))
+        order = np.lexsort((n, component))
+        self.order, self.rows = order, [x[order] for x in (points, n, n, excess, component, component)]
+        self.starts = np.arange(0, len(n), LEAF)
+        ways = (np.maximum, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum)
+        self.nodes = [way.reduceat(x, self.starts) for way, x in zip(ways, self.rows, strict=True)]
 
+    def leaf(self, k: int) -> list[np.ndarray]:
+        return [x[k * LEAF : (k + 1) * LEAF] for x in self.rows]
 
-def passing(left: Tree, k: int, i: int, right: Tree, m: int, j: np.ndarray) -> list[int]:
-    a = left.levels[k] if k >= 0 else rows_of(left)
-    b = right.levels[m] if m >= 0 else rows_of(right)
-    return j[may_link(a, b, i, j)].tolist()
 
+def may_link(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Which of the nodes or rows ``a`` can hold a document that links with one under each of ``b``.
 
-def rows_of(tree: Tree) -> list[np.ndarray]:
-    return [tree.points, tree.n, tree.n, tree.excess, tree.component, tree.component]
+    Both are (largest counts, fewest and most shingles, largest excess, least and greatest component).
+    """
+    shared = np.array([np.minimum(x, b[0]).sum(1, dtype=np.int64) for x in a[0]])
+    shared += np.minimum(a[3][:, None], b[3])
+    one = (a[4] == a[5])[:, None] & (b[4] == b[5]) & (a[4][:, None] == b[4])
+    near = (4 * a[2][:, None] >= 3 * b[1]) & (4 * b[2] >= 3 * a[1][:, None])
+    return ~one & near & (shared >= needed(a[1][:, None], b[1]))
+
+
+def surviving(left: Tree, right: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of both trees, in pairs of different components whose points may link."""
+    found = [], []
+    for i, j in zip(*np.nonzero(may_link(left.nodes, right.nodes)), strict=True):
+        if left is right and j < i:
+            continue
+        x, y = np.nonzero(may_link(left.leaf(i), right.leaf(j)))
+        found[0].append(left.order[x + i * LEAF])
+        found[1].append(right.order[y + j * LEAF])
+    if not found[0]:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(found[0]), np.concatenate(found[1])
 
 
 def across(rows: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose points may link."""
+    """(a, b): pairs of different components that their points, and the number of their buckets, let pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["token", "i", "j"]):
@@ -276,18 +270,20 @@ def across(rows: DataFrame, sketch: DataFrame) -> DataFrame:
                 group[c].to_numpy(False) for c in ("doc_id", "n", "excess", "component", "side")
             )
             points = points_of(group["point"])
-            trees = [
-                (at, Tree(points[at], n[at], excess[at], component[at]))
-                for at in (np.flatnonzero(side == s) for s in (0, 1)) if len(at)
-            ]
-            same = group["i"][0].as_py() == group["j"][0].as_py()
-            if not same and len(trees) < 2:
+            sides = [np.flatnonzero(side == s) for s in (0, 1)]
+            trees = [Tree(points[at], n[at], excess[at], component[at]) for at in sides if len(at)]
+            if len(trees) == 1 and group["i"][0].as_py() != group["j"][0].as_py():
                 continue
-            (xs, x), (ys, y) = trees[0], trees[-1]
-            found = {(int(doc[xs[i]]), int(doc[ys[j]])) for i, j in surviving(x, y)}
-            found = sorted({(min(p), max(p)) for p in found})
+            x, y = surviving(trees[0], trees[-1])
+            x, y = doc[sides[0][x] if len(sides[0]) else sides[1][x]], doc[sides[1][y] if len(sides[1]) else sides[0][y]]
+            sizes = dict(zip(doc.tolist(), n.tolist(), strict=True))
+            pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+            weight = group["weight"][0].as_py()
             yield pa.RecordBatch.from_pydict({
-                "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())
+                "a": pa.array(pairs[0]), "b": pa.array(pairs[1]),
+                "na": pa.array([sizes[d] for d in pairs[0].tolist()], pa.int64()),
+                "nb": pa.array([sizes[d] for d in pairs[1].tolist()], pa.int64()),
+                "shared": pa.array(np.full(pairs.shape[1], weight)),
             })
 
     point = sketch.filter("first is not null").select("doc_id", "point", "excess")
@@ -295,28 +291,13 @@ def across(rows: DataFrame, sketch: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id", F.lit(1)), "blocks")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     rows = rows.select(
-        "token", "doc_id", "n", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "token", "weight", "doc_id", "n", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).cast("int").alias("side"),
     ).join(point, "doc_id")
     rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return rows.mapInArrow(run, "a long, b long").distinct()
-
-
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows of each key, from batches sorted by it."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([held, table]) if held is not None else table
-        columns = [table[k].to_numpy() for k in keys]
-        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        begin = 0
-        for cut in cuts.tolist():
-            yield table.slice(begin, cut - begin).combine_chunks()
-            begin = cut
-        held = table.slice(begin)
-    if held is not None and held.num_rows:
-        yield held.combine_chunks()
+    found = rows.mapInArrow(run, "a long, b long, na long, nb long, shared long")
+    found = found.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared"))
+    return found.filter(F.col("shared") >= fewest(F.col("na"), F.col("nb"))).select("a", "b").distinct()
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -329,13 +310,17 @@ def join(docs: DataFrame) -> DataFrame:
     firsts = sketch.filter("first is not null and doc_id is not null").select("doc_id", "d1", "d2", "n")
     equal = firsts.join(classes, ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     bucket = materialise(buckets(sketch))
-    pairs = materialise(bucket.filter("lead <> doc_id").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = materialise(verified(bounded(pairs, sketch), docs).union(equal))
+    links = materialise(verified(first_pairs(bucket), docs).union(equal))
     known = graph.components(links)
-    later = across(divided(bucket, known), sketch)
-    more = materialise(verified(later, docs))
+    more = materialise(verified(across(divided(bucket, known), sketch), docs))
     if not more.isEmpty():
-        known = graph.components(known.toDF("a", "b").union(more))
+        # Links between components, of which one for each pair is enough.
+        ends = more
+        for c in "ab":
+            name = known.select(F.col("node").alias(c), F.col("component").alias("c" + c))
+            ends = ends.join(name, c, "left").withColumn("c" + c, F.coalesce("c" + c, c))
+        ends = ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+        known = graph.components(known.toDF("a", "b").union(ends))
     sizes = sketch.select("doc_id", "d1", "d2", F.col("n").alias("n"))
     placed = sizes.join(classes, ["d1", "d2", "n"], "left")
     placed = placed.join(known.withColumnRenamed("node", "rep"), "rep", "left")
@@ -343,13 +328,13 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def divided(bucket: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several components; of buckets with the same documents, one."""
-    rows = bucket.select("token", "doc_id", "n").join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    """Rows of the buckets that hold several components; of ``weight`` buckets with the same documents, one."""
+    rows = bucket.select("token", "doc_id", "n").join(checked(known.toDF("doc_id", "component")), "doc_id", "left")
     rows = materialise(rows.withColumn("component", F.coalesce("component", "doc_id")))
     kept = rows.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(2))).alias("y"),
     ).filter("low <> high")
-    kept = kept.groupBy("x", "y", "size").agg(F.min("token").alias("token"))
-    kept = materialise(kept.select("token", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+    kept = kept.groupBy("x", "y", "size").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    kept = checked(kept.select("token", "weight", F.ceil(F.col("size") / BLOCK).alias("blocks")))
     return rows.join(kept, "token")

@@ -108,7 +108,7 @@ def test_tree_loses_no_pair():
     n = points.sum(1).astype(np.int64)
     component, excess = source.integers(0, 50, len(n)), np.zeros(len(n), np.int64)
     tree = jaccard_join.Tree(points, n, excess, component)
-    found = {tuple(sorted(p)) for p in jaccard_join.surviving(tree, tree) if p[0] != p[1]}
+    found = {tuple(sorted(p)) for p in zip(*jaccard_join.surviving(tree, tree), strict=True)}
     expected = {
         (a, b) for a, b in combinations(range(len(n)), 2)
         if component[a] != component[b] and 4 * min(n[a], n[b]) >= 3 * max(n[a], n[b])
