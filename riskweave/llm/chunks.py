@@ -134,6 +134,11 @@ def packed_ids(path: str) -> Remembering:
     return Remembering(lambda new: ids_of(known, new))
 
 
+def forget() -> None:
+    """Free what a worker remembers, when it turns to other work."""
+    packed_ids.cache_clear()
+
+
 def gather(codes: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
     """The stretches of ``flat`` named by ``codes``, one after another."""
     begins = np.cumsum(lengths) - lengths

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm import graph
+from riskweave.llm import chunks, graph
 from riskweave.llm.common import checked, prepare, runs, slices
 from riskweave.llm.shingles import common, mixed, shingle_sets
 from riskweave.session import materialise
@@ -53,7 +53,7 @@ BLOCK = 1_024
 BESIDE = 32
 LEAF = 16
 #: Bytes of text hashed at a time.
-HASHED = 4 << 20
+HASHED = 2 << 20
 
 
 def needed(a, b):
@@ -87,6 +87,7 @@ def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
     """(doc_id, n, d1, d2, point, excess, first): the last three are null for all but one of a task's equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks.forget()
         seen = set()
         for batch in slices(batches, size=HASHED):
             n, digests, points, firsts = [], [], [], []
@@ -126,6 +127,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
     """Sorted hashes of shingles that a sample of documents shows to be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks.forget()
         for batch in slices(batches, size=HASHED):
             sets = shingle_sets(batch["text"])
             yield pa.RecordBatch.from_pydict({"shingle": pa.array(np.concatenate(sets).view(np.int64))})

@@ -103,6 +103,7 @@ def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
     """(doc_id, text statistics) of every row; if ``whole``, also text, and its other columns in ``_row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks.forget()
         for batch in slices(batches, size=4 << 20):
             found = {k: pa.array(v) for k, v in statistics(batch["text"]).items()}
             carried = {c: batch[c] for c in ("text", "_row") if whole}
