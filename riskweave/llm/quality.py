@@ -191,7 +191,8 @@ def held_out() -> Column:
 def trained(found: DataFrame, labels: DataFrame) -> Model:
     """A model of the measured rows whose labels are not held out."""
     labels = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("label"))
-    return fit(found.filter(~held_out()).join(materialise(labels), "doc_id"))
+    narrow = found.filter(~held_out()).select("doc_id", *STATISTICS)  # no texts in the join
+    return fit(narrow.join(materialise(labels), "doc_id"))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
