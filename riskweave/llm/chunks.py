@@ -1,7 +1,9 @@
 """Encoding texts with a public tokenizer by way of their distinct chunks.
 
 A chunk begins where ASCII white space follows something else, and where one of a few signs follows
-an ASCII letter. The supported vocabularies split text so that no token spans such a place, and
+an ASCII letter. For a vocabulary that keeps white space, "something else" is no white space of
+Unicode either: such a vocabulary has tokens for runs of both kinds, no-break spaces between spaces
+among them. The supported vocabularies split text so that no token spans such a place, and
 their special strings hold none; so a text's ids are its chunks' ids put together. Each distinct
 chunk is given to the library once per slice, and remembered up to a fixed number.
 """
@@ -29,13 +31,31 @@ KINDS = np.zeros(256, np.uint8)
 KINDS[SPACE] = 1
 KINDS[list(b".,;:!?#$%&*")] = 2
 KINDS[[*range(65, 91), *range(97, 123)]] = 3
+#: White space beyond ASCII: its characters' bytes read as one number, by their count.
+WIDE = {
+    n: [int.from_bytes(b) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+        if len(b := chr(c).encode()) == n]
+    for n in (2, 3)
+}
 
 
-def starts_of(bounds: np.ndarray, data: np.ndarray, signs: bool = True) -> np.ndarray:
-    """Where the chunks of texts laid end to end begin; without ``signs``, at white space only."""
+def ends_wide(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the places ``at`` come straight after white space beyond ASCII."""
+    two = data[at - 2].astype(np.int64) << 8 | data[at - 1]
+    return np.isin(two, WIDE[2]) | np.isin(data[at - 3].astype(np.int64) << 16 | two, WIDE[3])
+
+
+def starts_of(bounds: np.ndarray, data: np.ndarray, signs: bool = True, whole: bool = False) -> np.ndarray:
+    """Where the chunks of texts laid end to end begin; without ``signs``, at white space only.
+
+    With ``whole``, no chunk begins inside a run of white space of any kind.
+    """
     before, after = KINDS[data[:-1]], KINDS[data[1:]]
     begins = np.zeros(len(data) + 1, bool)
     begins[1:-1] = (after == 1) & (before != 1)
+    if whole:
+        at = np.flatnonzero(begins[1:-1] & (data[:-1] > 127)) + 1
+        begins[at[ends_wide(data, at)]] = False
     if signs:
         begins[1:-1] |= (after == 2) & (before == 3)
     begins[bounds] = True
@@ -43,14 +63,15 @@ def starts_of(bounds: np.ndarray, data: np.ndarray, signs: bool = True) -> np.nd
 
 
 def cut(
-    column: pa.Array, signs: bool = True, fold: bool = False
+    column: pa.Array, signs: bool = True, fold: bool = False, whole: bool = False
 ) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
     """(index of each text's first chunk, with the end; chunks as dictionary codes; lengths in bytes).
 
-    With ``fold``, chunks come without their white space and in ASCII lower case.
+    With ``fold``, chunks come without their white space and in ASCII lower case; with ``whole``, runs
+    of white space of any kind stay in one chunk.
     """
     bounds, data = byte_view(column)
-    starts = starts_of(bounds, data, signs)
+    starts = starts_of(bounds, data, signs, whole)
     offsets = np.append(starts, len(data)).astype(np.int64)
     if fold:
         solid = ~SPACE[data]
@@ -151,7 +172,7 @@ def gather(codes: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarr
 
 def encode(column: pa.Array, path: str, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(offsets of each text's ids, all ids as uint32), ``end`` appended to every text if given."""
-    first, chunks, _ = cut(column, fold=folds(path))
+    first, chunks, _ = cut(column, fold=folds(path), whole=not folds(path))
     distinct = packed_ids(path)(chunks.dictionary.to_pylist())
     lengths = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
     flat = np.frombuffer(b"".join(distinct), np.uint32)

@@ -50,6 +50,22 @@ def test_chunks_encode_as_whole_texts_do(name):
     assert [found[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == whole
 
 
+@pytest.mark.parametrize("name", [token_files.VOCABULARY, packing.VOCABULARY])
+def test_chunks_keep_runs_of_white_space(name):
+    """Of every character that is, or is taken for, white space; between spaces and at either end."""
+    blank = [chr(c) for c in (*range(33), 0x7F, *range(0x80, 0x110000)) if not 0xD800 <= c < 0xE000 and (
+        chr(c).isspace() or c < 0xA1 or c in (0xAD, 0x180E, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)
+    )]
+    texts = [f"a{' ' + c}{(' ' + c) * n}{end}" for c in blank for n in (0, 1, 3, 7) for end in ("", " b", "b", "\n\nb.")]
+    texts += [f"{c} {c} b" for c in blank] + [f"語{c} b{c}\t{c}.é {c}" for c in blank]
+    source = random.Random(4)
+    texts += ["".join(source.choice("ab. \n\xa0\u2003\u3000é語") for _ in range(30)) for _ in range(2_000)]
+    offsets, found = chunks.encode(pa.array(texts), name)
+    known = chunks.library(name)
+    whole = [known.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [found[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == whole
+
+
 def test_transducer_counts_as_the_library_does(words):
     counter = transducer.ChunkCounter(transducer.VOCABULARY)
     for text in odd_texts(2, 3_000) + [t or "" for _, t in EDGES]:
