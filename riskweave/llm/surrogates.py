@@ -13,7 +13,8 @@ Two entities must not share a replacement, and no replacement may be an entity f
 All distinct entities are checked together, and those in conflict, but for the first of them, are
 derived anew until none is; a replacement's derivations are counted in `attempt`.
 
-Everything is a Spark expression. Texts without a digit, "@" or title are not searched further. A null text
+Everything is a Spark expression. Texts without a digit, "@", title or access key's prefix are not searched
+further. A null text
 stays null, an empty one empty. Repeated rows, and rows that share a doc_id or have none, are
 replaced each by itself. An empty table gives no rows. All columns of the input are returned as
 they are, but for `text`; helper columns have names that begin with an underscore.
@@ -53,7 +54,8 @@ KINDS = {
     "person": rf"(?<![\p{{L}}])(?:{TITLE})\.? {NAME}(?: {NAME})?",
 }
 PATTERN = "|".join(KINDS.values())
-GATE = rf"[0-9@]|(?<![\p{{L}}])(?:{TITLE})\.? \p{{Lu}}"
+# What a text must hold for any kind to match: all but names and access keys hold a digit or "@".
+GATE = rf"[0-9@]|AKIA|ASIA|(?<![\p{{L}}])(?:{TITLE})\.? \p{{Lu}}"
 DIGITS = ("phone", "ssn", "card")
 # Syllables that surrogate names are built of, by script.
 SYLLABLES = {

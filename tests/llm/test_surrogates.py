@@ -55,6 +55,15 @@ def test_same_entity_is_replaced_alike_however_written(spark):
     assert digits[0] == digits[1] and digits[2] == digits[3]
 
 
+def test_keys_of_letters_only(spark):
+    """In a text without a digit, "@" or title, too; and alike in one with a digit."""
+    for prefix in ("AKIA", "ASIA"):
+        known = prefix + "WFAVATVNTXSUGQVZ"
+        out = run(spark, [f"token {known} here", f"token {known} at 9", known])
+        assert known not in "".join(out) and re.fullmatch(rf"{prefix}[A-Z]{{16}}", out[2])
+        assert out[0] == f"token {out[2]} here" and out[1] == f"token {out[2]} at 9"
+
+
 def test_key_decides(spark):
     texts = ["10.20.30.40 and a.b@c.org"]
     assert run(spark, texts) == run(spark, texts) != run(spark, texts, key="other")
