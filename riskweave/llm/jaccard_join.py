@@ -84,19 +84,23 @@ def point(shingles: np.ndarray) -> tuple[bytes, int]:
 
 
 def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """(doc_id, n, d1, d2, point, excess, first): the last three are null for all but one of a task's equal sets."""
+    """(doc_id, n, d1, d2, point, excess, first): the last three are null for all but one of a task's equal sets.
+
+    They are null for rows with a null doc_id too, which therefore never stand for their equals.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks.forget()
         seen = set()
         for batch in slices(batches, size=HASHED):
             n, digests, points, firsts = [], [], [], []
-            for s in shingle_sets(batch["text"]):
+            named = batch["doc_id"].is_valid().to_pylist()
+            for s, has_id in zip(shingle_sets(batch["text"]), named, strict=True):
                 d1 = int(mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) - (1 << 63)
                 d2 = int(mixed(s * np.uint64(0xDA942042E4DD58B5)).sum(dtype=np.uint64)) - (1 << 63)
                 n.append(len(s))
                 digests.append((d1, d2))
-                if not len(s) or (d1, d2) in seen:
+                if not len(s) or not has_id or (d1, d2) in seen:
                     points.append((None, None))
                     firsts.append(None)
                     continue

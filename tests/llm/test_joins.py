@@ -101,6 +101,20 @@ def test_join_with_a_hot_group(spark):
     assert joined(spark, docs, 7) == brute(docs)
 
 
+def test_rows_without_id_stand_for_no_other(spark):
+    """Null-id copies before and beside documents whose near copies link with them."""
+    source = random.Random(9)
+    bases = [prose(k, 40) for k in range(20)]
+    near = [" ".join(b.split()[:-1]) for b in bases]
+    docs = [*enumerate(bases), *enumerate(near, 100)]
+    source.shuffle(docs)
+    rows = [(None, t) for t in bases + near] + docs
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = jaccard_join.join(frame).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None} == brute(docs)
+    assert len(found) == len(rows)
+
+
 def test_tree_loses_no_pair():
     source = np.random.default_rng(3)
     base = source.poisson(1, (6, jaccard_join.GROUPS))
