@@ -144,7 +144,10 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
 
 def buckets(sketch: DataFrame) -> DataFrame:
-    """(token, doc_id, n, near) of every token that two documents hold; ``near``: rows of the token close by."""
+    """(token, doc_id, n, near) of every token that two documents hold; ``near``: rows of the token close by.
+
+    Repeated rows of a document, read in different tasks, come as one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held, before = ("token", "n", "doc_id"), [np.zeros(0, np.int64)] * 3, None
@@ -152,6 +155,8 @@ def buckets(sketch: DataFrame) -> DataFrame:
             rows = held
             if batch is not None:
                 rows = [np.concatenate((h, batch[c].to_numpy(False))) for h, c in zip(held, names, strict=True)]
+                new = np.any([c[1:] != c[:-1] for c in rows], axis=0)
+                rows = [c[np.concatenate(([True], new))[: len(c)]] for c in rows]
             # The last row waits for its successor.
             held, stop = [c[-1:] for c in rows], len(rows[0]) - (batch is not None)
             if stop <= 0:
@@ -169,7 +174,7 @@ def buckets(sketch: DataFrame) -> DataFrame:
 
     rows = sketch.filter("doc_id is not null and first is not null")
     rows = rows.select(F.explode("first").alias("token"), "n", "doc_id")
-    rows = rows.repartition("token").sortWithinPartitions("token")
+    rows = rows.repartition("token").sortWithinPartitions("token", "doc_id", "n")
     return rows.mapInArrow(run, "token long, n long, doc_id long, near long")
 
 
@@ -281,14 +286,13 @@ def across(rows: DataFrame, sketch: DataFrame) -> DataFrame:
             if len(trees) == 1 and group["i"][0].as_py() != group["j"][0].as_py():
                 continue
             x, y = surviving(trees[0], trees[-1])
-            x, y = doc[sides[0][x] if len(sides[0]) else sides[1][x]], doc[sides[1][y] if len(sides[1]) else sides[0][y]]
-            sizes = dict(zip(doc.tolist(), n.tolist(), strict=True))
-            pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+            x, y = sides[0][x] if len(sides[0]) else sides[1][x], sides[1][y] if len(sides[1]) else sides[0][y]
+            x, y = np.where(doc[x] <= doc[y], (x, y), (y, x))
+            pairs = np.unique(np.stack((doc[x], doc[y], n[x], n[y])), axis=1)
             weight = group["weight"][0].as_py()
             yield pa.RecordBatch.from_pydict({
                 "a": pa.array(pairs[0]), "b": pa.array(pairs[1]),
-                "na": pa.array([sizes[d] for d in pairs[0].tolist()], pa.int64()),
-                "nb": pa.array([sizes[d] for d in pairs[1].tolist()], pa.int64()),
+                "na": pa.array(pairs[2]), "nb": pa.array(pairs[3]),
                 "shared": pa.array(np.full(pairs.shape[1], weight)),
             })
 
@@ -339,7 +343,8 @@ def divided(bucket: DataFrame, known: DataFrame) -> DataFrame:
     rows = materialise(rows.withColumn("component", F.coalesce("component", "doc_id")))
     kept = rows.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
-        F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(2))).alias("y"),
+        # Rows are distinct, so none cancels another: (doc_id, n) comes once in a bucket.
+        F.bit_xor(F.xxhash64("doc_id", "n")).alias("x"), F.bit_xor(F.xxhash64("doc_id", "n", F.lit(2))).alias("y"),
     ).filter("low <> high")
     kept = kept.groupBy("x", "y", "size").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
     kept = checked(kept.select("token", "weight", F.ceil(F.col("size") / BLOCK).alias("blocks")))

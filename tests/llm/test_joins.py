@@ -115,6 +115,28 @@ def test_rows_without_id_stand_for_no_other(spark):
     assert len(found) == len(rows)
 
 
+def test_buckets_of_repeated_rows_stay_apart(spark):
+    """Each row twice, read in different tasks: unlike buckets of one size must not look alike."""
+    rows = [(5, [1]), (6, [2]), (7, [1, 2]), (9, [1, 2]), (11, [3]), (12, [3]), (13, [4]), (14, [4])]
+    sketch = spark.createDataFrame([(i, 9, f) for i, f in rows], "doc_id long, n long, first array<long>").coalesce(1)
+    bucket = jaccard_join.buckets(sketch.union(sketch))
+    assert bucket.count() == bucket.distinct().count() == sum(len(f) for _, f in rows)
+    kept = jaccard_join.divided(bucket, spark.createDataFrame([], "node long, component long")).collect()
+    expected = {(t, i) for i, f in rows for t in f}
+    assert {(r.token, r.doc_id) for r in kept} == expected and all(r.weight == 1 for r in kept)
+
+
+def test_join_of_repeated_rows(spark):
+    source = random.Random(10)
+    passage, texts = prose(900, 30), []
+    for k in range(10):
+        texts += near_copies(source, f"{passage} {prose(k, source.randint(5, 20))}", 6, 3)
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    rows = jaccard_join.join(frame.union(frame)).collect()
+    assert len(rows) == 2 * len(docs) and {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs)
+
+
 def test_tree_loses_no_pair():
     source = np.random.default_rng(3)
     base = source.poisson(1, (6, jaccard_join.GROUPS))
