@@ -7,8 +7,12 @@ vectors at a small angle share a long prefix in some pass. Sorted rows are dealt
 product. Pairs with cosine >= ``COSINE`` in double precision are links; a block hands on one edge
 for each row it has linked, and the passes' edges are united to components.
 
-The number of passes follows the number of vectors, so that a pair at the threshold meets in some
-block with probability ``RECALL`` (for evenly spread vectors). Equal vectors are compared once.
+The number of passes follows the number of vectors, so that a pair at the threshold agrees in the
+first bits of some pass with probability ``RECALL``: as many bits as leave ``BLOCK`` / 2 rows or more
+together if vectors are evenly spread. Where they are not, or a block ends among them, the rows that
+agree do not lie in one block. Such rows are compared in pairs of blocks, but for those of the largest
+component found among them, which are joined already; so every pair that agrees is compared or joined,
+however dense its surroundings. Equal vectors are compared once.
 Links are then counted exactly: every link lies inside a component, and a component is compared
 with itself, in pairs of blocks if it is large.
 
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import graph
-from riskweave.llm.common import numbered, prepare, runs
+from riskweave.llm.common import checked, numbered, prepare, runs
 from riskweave.session import materialise
 
 COSINE = 0.9
@@ -41,6 +45,11 @@ OVERLAP = 256
 COMPARED = 256
 
 
+def prefix_bits(vectors: int) -> int:
+    """First bits of a code that leave half a block of rows together, or up to a whole one."""
+    return min(BITS, math.floor(max(0.0, math.log2(max(vectors, 1) / (BLOCK / 2)))))
+
+
 def passes_for(vectors: int, cosine: float, recall: float) -> int:
     """Passes after which a pair at the threshold has met with the wished probability."""
     agree = 1 - math.acos(cosine) / math.pi  # of one bit
@@ -83,6 +92,18 @@ def hashed(vectors: DataFrame, passes: int) -> DataFrame:
     return vectors.select("rep", "embedding").mapInArrow(run, f"pass long, code long, rep long, embedding {kind}")
 
 
+def labels(linked: np.ndarray) -> np.ndarray:
+    """Each row's smallest row in its component."""
+    label = np.arange(len(linked))
+    while True:  # the smallest label over neighbours, until nothing changes
+        now = np.where(linked, label, len(label)).min(1, initial=len(label))
+        now = np.minimum(now, label)
+        now = now[now]
+        if (now == label).all():
+            return label
+        label = now
+
+
 def neighbours(ordered: DataFrame, cosine: float) -> DataFrame:
     """Edges (a, b): of each block's linked rows, every row with the smallest it is joined to."""
 
@@ -92,15 +113,7 @@ def neighbours(ordered: DataFrame, cosine: float) -> DataFrame:
             vectors = group["embedding"].combine_chunks()
             for at in by_length(vectors):
                 unit = unit_rows(vectors.take(pa.array(at)))
-                linked = unit @ unit.T >= cosine
-                label = np.arange(len(at))
-                while True:  # the smallest label over neighbours, until nothing changes
-                    now = np.where(linked, label, len(at)).min(1, initial=len(at))
-                    now = np.minimum(now, label)
-                    now = now[now]
-                    if (now == label).all():
-                        break
-                    label = now
+                label = labels(unit @ unit.T >= cosine)
                 joined = np.flatnonzero(label != np.arange(len(at)))
                 yield pa.RecordBatch.from_pydict({"a": pa.array(rep[at[label[joined]]]), "b": pa.array(rep[at[joined]])})
 
@@ -111,6 +124,54 @@ def neighbours(ordered: DataFrame, cosine: float) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def crowded(ordered: DataFrame, known: DataFrame, vectors: DataFrame, bits: int, cosine: float) -> DataFrame:
+    """Edges (a, b) among rows that agree in their first ``bits`` bits of a pass and lie in no one block.
+
+    Rows outside the largest component of ``known`` among them are compared with all, in pairs of
+    blocks numbered from 0; the largest component's blocks have the numbers after these.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, ["pass", "prefix", "i", "j"]):
+            rep, side = group["rep"].to_numpy(False), group["side"].to_numpy(False)
+            vectors = group["embedding"].combine_chunks()
+            same = group["i"][0].as_py() == group["j"][0].as_py()
+            for at in by_length(vectors):
+                unit = unit_rows(vectors.take(pa.array(at)))
+                linked = unit @ unit.T >= cosine
+                if not same:
+                    linked &= side[at][:, None] != side[at]
+                label = labels(linked)
+                joined = np.flatnonzero(label != np.arange(len(at)))
+                yield pa.RecordBatch.from_pydict({"a": pa.array(rep[at[label[joined]]]), "b": pa.array(rep[at[joined]])})
+
+    rows = ordered.select("pass", F.shiftright("code", BITS - bits).alias("prefix"), "rep", "position")
+    rows = rows.join(checked(known.withColumnRenamed("node", "rep")), "rep", "left")
+    rows = materialise(rows.withColumn("component", F.coalesce("component", "rep")))
+    parts = rows.groupBy("pass", "prefix", "component").agg(
+        F.count("*").alias("n"), F.min("position").alias("low"), F.max("position").alias("high")
+    )
+    ranges = parts.groupBy("pass", "prefix").agg(
+        F.sum("n").alias("size"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.max(F.struct("n", "component")).alias("main"),
+    )
+    ranges = ranges.filter((F.col("high") >= F.floor(F.col("low") / BLOCK) * BLOCK + BLOCK + OVERLAP) & (F.col("size") > F.col("main.n")))
+    ranges = checked(ranges.select(
+        "pass", "prefix", F.col("main.component").alias("main"), F.ceil(F.col("main.n") / BLOCK).alias("inside"),
+        F.ceil((F.col("size") - F.col("main.n")) / BLOCK).alias("outside"),
+    ))
+    joined = F.col("component") == F.col("main")
+    block = F.when(joined, F.col("outside") + F.pmod(F.xxhash64("rep"), "inside")).otherwise(F.pmod(F.xxhash64("rep"), "outside"))
+    last = F.when(joined, F.col("outside")).otherwise(F.col("outside") + F.col("inside")) - 1
+    rows = rows.join(ranges, ["pass", "prefix"]).withColumn("block", block)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
+        "pass", "prefix", "rep", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"),
+    ).join(vectors.select("rep", "embedding"), "rep")
+    rows = rows.repartition("pass", "prefix", "i", "j").sortWithinPartitions("pass", "prefix", "i", "j")
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def degrees(members: DataFrame, cosine: float) -> DataFrame:
     """(rep, links): copies of other vectors linked with each, all compared within components."""
 
@@ -152,7 +213,11 @@ def near_duplicates(
     classes = materialise(materialise(classes).withColumn("rep", F.monotonically_increasing_id()))
     n = classes.count()
     ordered = numbered(hashed(classes, passes or passes_for(n, cosine, recall)), "pass", "code", "rep")
-    parts = graph.components(neighbours(ordered, cosine)).withColumnRenamed("node", "rep")
+    parts = graph.components(neighbours(ordered, cosine))
+    more = materialise(crowded(ordered, parts, classes, prefix_bits(n), cosine))
+    if not more.isEmpty():
+        parts = graph.components(parts.toDF("a", "b").union(more))
+    parts = parts.withColumnRenamed("node", "rep")
     members = materialise(classes.join(parts, "rep"))
     counted = materialise(degrees(members, cosine))
     names = materialise(members.groupBy("component").agg(F.min("first").alias("component_id")))

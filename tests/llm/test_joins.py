@@ -196,6 +196,27 @@ def test_vectors_match_brute_force(spark, monkeypatch, block):
     assert all(r.kept == (k == r.component_id) for k, r in found.items())
 
 
+def test_vectors_around_one_base(spark, monkeypatch):
+    """A dense group of edited copies, each linked with the base but not with each other."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    monkeypatch.setattr(embedding_dedup, "OVERLAP", 16)
+    source = np.random.default_rng(11)
+    base = source.standard_normal(64)
+    base /= np.linalg.norm(base)
+    noise = source.standard_normal((1_500, 64))
+    noise -= np.outer(noise @ base, base)
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    copies = 0.905 * base + np.sqrt(1 - 0.905**2) * noise
+    vectors = np.concatenate((copies, base[None], source.standard_normal((1_500, 64))))
+    source.shuffle(vectors)
+    linked = links_of(vectors)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(frame.repartition(4), recall=0.99999).collect()}
+    assert linked.sum(1).max() >= 1_500 > 10 * np.median(linked.sum(1))
+    assert {k: r.component_id for k, r in found.items()} == classes(range(len(vectors)), zip(*np.nonzero(linked), strict=True))
+    assert [found[k].n_links for k in found] == [linked[k].sum() for k in found]
+
+
 def test_odd_vectors(spark):
     good = [1.0, 2.0, 3.0]
     rows = [
