@@ -5,21 +5,24 @@ A document is contaminated by an item if one of its windows has weighted Jaccard
 with it: shingles of five words (all words, if an item has fewer), weighted by their number of
 occurrences, common weight over joint weight.
 
-1. Documents' shingles meet the benchmark's. Only windows with enough common shingles to reach the
-   similarity can count; and moving a window right to its next common shingle loses none, so only
-   windows that begin at one, or end with the text, are taken.
-2. Each such window gets a 64-bit SimHash. Fingerprints are cut into ``RADIUS`` + 1 blocks; two
-   within ``RADIUS`` bits agree in one block at least, so joining on (words, block, bits) finds all
-   of them.
+1. Distinct texts' shingles meet the benchmark's. Only windows with enough common shingles to reach
+   the similarity with an item can count; and moving a window right to its next common shingle loses
+   none, so only windows that begin at one, or end with the text, are taken, each with its item.
+2. Windows and items get 64-bit SimHashes. Fingerprints are cut into ``RADIUS`` + 1 blocks; two
+   within ``RADIUS`` bits agree in one block at least, so joining on (item, block, bits) finds all
+   of a window's items within the radius.
 3. Survivors are compared exactly.
 
-The radius is set so that pairs at the threshold (expected distance about 11 bits, deviation 3) lie
-inside it but for about one in 100,000.
+The radius is safe for pairs in which no shingle repeats and both sides have ``SHORT`` shingles or
+more: at the threshold 17 % of the bits differ, 11 with a deviation of 3. Fingerprints of other pairs
+prove nothing (one heavy shingle can turn every bit), so those go from step 1 to step 3.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased. Null and empty texts
-are clean; null, empty and repeated items match as any other, or not at all without words. Rows
-that share a doc_id share the decision of all of them; a null doc_id is clean. Empty tables give no
-rows, or clean ones. Only doc_id, text, and item_id, text are read, so other columns cannot clash.
+are clean. Items with equal words are compared once and reported under each of their ids; items with
+a null id count as one item that ``item_ids`` does not list; items without words match nothing. Each
+row is judged by its own text, whatever rows share its doc_id, and also with a null doc_id. Empty
+tables give no rows, or clean ones. Only doc_id, text, and item_id, text are read, so other columns
+cannot clash.
 """
 
 from __future__ import annotations
@@ -33,8 +36,11 @@ from riskweave.llm.common import prepare
 from riskweave.session import materialise
 
 WIDTH = 5
-RADIUS = 24
+RADIUS = 30
 BITS = 64
+SHORT = 24
+#: Places of a text whose windows travel in one row.
+STRETCH = 256
 #: The benchmark's shingles are broadcast up to this many rows of 40 bytes.
 BROADCAST_ROWS = 500_000
 #: Counters of 20 bits, three to a long, so that adding never reaches the sign: a million shingles.
@@ -78,11 +84,28 @@ def simhash(hashes: Column) -> Column:
     return out
 
 
-def items_of(benchmark: DataFrame) -> DataFrame:
-    """(item_id, w, k, hashes, print): size in words, shingle width, shingles, fingerprint."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("h"))
-    items = items.withColumn("w", F.size("h")).filter("w > 0").withColumn("k", F.least("w", F.lit(WIDTH)))
-    items = materialise(items)
+def text_key(text: Column) -> list[Column]:
+    """Two hashes that stand for a text; null is as empty."""
+    plain = F.coalesce(text.cast("string"), F.lit(""))
+    return [F.xxhash64(plain).alias("t"), F.xxhash64(F.lit(1), plain).alias("u")]
+
+
+def sound(hashes: Column) -> Column:
+    """Whether a fingerprint says something: many shingles, none of them twice."""
+    return (F.size(hashes) >= SHORT) & (F.size(F.array_distinct(hashes)) == F.size(hashes))
+
+
+def items_of(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item, w, k, hashes, print, sound) of distinct items: number, size in words, shingle width, shingles.
+
+    And (item, item_id) with all their ids.
+    """
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("h"))
+    rows = rows.withColumn("w", F.size("h")).filter("w > 0").withColumn("k", F.least("w", F.lit(WIDTH)))
+    rows = rows.withColumn("item", F.xxhash64("h"))
+    rows = materialise(rows)
+    ids = materialise(rows.select("item", "item_id").distinct())
+    items = materialise(rows.drop("item_id").dropDuplicates(["item"]))
     by_width = [
         items.filter(F.col("k") == k).withColumn("hashes", shingles(F.col("h"), k, F.lit(0), F.col("w") - k))
         for k in range(1, WIDTH + 1)
@@ -90,25 +113,27 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     out = by_width[0]
     for part in by_width[1:]:
         out = out.union(part)
-    return materialise(out.select("item_id", "w", "k", "hashes", simhash(F.col("hashes")).alias("print")))
+    hashes = F.col("hashes")
+    out = out.select("item", "w", "k", "hashes", simhash(hashes).alias("print"), sound(hashes).alias("sound"))
+    return materialise(out), ids
 
 
-def starts(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, w, k, start) of the windows with enough shingles in common with an item of w words."""
-    marks = items.select("item_id", "w", "k", F.size("hashes").alias("size"), F.explode("hashes").alias("hash")).distinct()
+def starts(docs: DataFrame, items: DataFrame) -> DataFrame | None:
+    """(t, u, item, w, k, start) of the windows with enough shingles in common with the item, of w words."""
+    marks = items.select("item", "w", "k", F.size("hashes").alias("size"), F.explode("hashes").alias("hash")).distinct()
     marks = materialise(marks)
     if marks.count() <= BROADCAST_ROWS:
         marks = F.broadcast(marks)
     widths = [r.k for r in items.select("k").distinct().collect()]  # five at most
-    hashed = docs.select("doc_id", word_hashes(F.col("text")).alias("h")).withColumn("n", F.size("h"))
+    hashed = docs.select(*text_key(F.col("text")), word_hashes(F.col("text")).alias("h")).withColumn("n", F.size("h"))
     found = None
     for k in widths:
         rows = hashed.filter(F.col("n") >= k)
-        rows = rows.select("doc_id", "n", F.posexplode(shingles(F.col("h"), k, F.lit(0), F.col("n") - k)).alias("at", "hash"))
+        rows = rows.select("t", "u", "n", F.posexplode(shingles(F.col("h"), k, F.lit(0), F.col("n") - k)).alias("at", "hash"))
         found = rows if found is None else found.union(rows)
     if found is None:
         return None
-    places = found.join(marks, "hash").groupBy("doc_id", "item_id", "w", "k", "size", "n").agg(
+    places = found.join(marks, "hash").groupBy("t", "u", "item", "w", "k", "size", "n").agg(
         F.sort_array(F.collect_set("at")).alias("at")
     )
     # Common shingles that a similarity of 3/4 takes: 3/7 of both sizes.
@@ -120,20 +145,27 @@ def starts(docs: DataFrame, items: DataFrame) -> DataFrame:
     ))
     at_end = F.size(F.filter("at", lambda p: p >= F.col("last"))) >= F.col("need")
     begins = F.when(at_end, F.array_union(inside, F.array("last"))).otherwise(inside)
-    return places.select("doc_id", "w", "k", F.explode(begins).alias("start")).distinct()
+    return materialise(places.select("t", "u", "item", "w", "k", F.explode(begins).alias("start")))
 
 
 def windows_of(docs: DataFrame, begins: DataFrame) -> DataFrame:
-    """(doc_id, w, k, start, hashes, print) of the chosen windows."""
-    chosen = materialise(begins.groupBy("doc_id").agg(F.collect_list(F.struct("w", "k", "start")).alias("windows")))
-    rows = docs.join(chosen, "doc_id").select("doc_id", "windows", word_hashes(F.col("text")).alias("h"))
-    rows = materialise(rows.select("doc_id", "h", F.explode("windows").alias("x")).select("doc_id", "h", "x.*"))
+    """(window, t, u, w, k, start, hashes, print, sound) of the chosen windows, each once and numbered."""
+    stretch = F.floor(F.col("start") / STRETCH)
+    chosen = begins.select("t", "u", "w", "k", "start").distinct().groupBy("t", "u", stretch.alias("stretch"))
+    chosen = materialise(chosen.agg(F.collect_list(F.struct("w", "k", "start")).alias("windows")))
+    wanted = chosen.select("t", "u").distinct()
+    # Texts that come in many rows are merged before they meet their windows.
+    texts = docs.select(*text_key(F.col("text")), "text").join(wanted, ["t", "u"]).dropDuplicates(["t", "u"])
+    texts = materialise(texts.select("t", "u", word_hashes(F.col("text")).alias("h")))
+    rows = texts.join(chosen, ["t", "u"])
+    rows = materialise(rows.select("t", "u", "h", F.explode("windows").alias("x")).select("t", "u", "h", "x.*"))
     end = F.least(F.col("start") + F.col("w"), F.size("h"))
     hashes = F.array().cast("array<bigint>")
     for k in range(1, WIDTH + 1):
         hashes = F.when(F.col("k") == k, shingles(F.col("h"), k, F.col("start"), end - k)).otherwise(hashes)
-    rows = materialise(rows.select("doc_id", "w", "k", "start", hashes.alias("hashes")))
-    return materialise(rows.withColumn("print", simhash(F.col("hashes"))))
+    rows = materialise(rows.select("t", "u", "w", "k", "start", hashes.alias("hashes")))
+    rows = rows.withColumns({"print": simhash(F.col("hashes")), "sound": sound(F.col("hashes"))})
+    return materialise(rows.withColumn("window", F.monotonically_increasing_id()))
 
 
 def blocks(name: str) -> Column:
@@ -145,55 +177,65 @@ def blocks(name: str) -> Column:
     )))
 
 
-def matches(windows: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, similarity) of windows whose fingerprints and then shingles match."""
-    left = windows.select("doc_id", "w", "start", "print", blocks("print").alias("x")).select("doc_id", "w", "start", "print", "x.*")
-    right = items.select("item_id", "w", F.col("print").alias("other"), blocks("print").alias("x"))
-    right = right.select("item_id", "w", "other", "x.*")
-    pairs = left.join(right, ["w", "block", "bits"])
+def near(links: DataFrame, windows: DataFrame, items: DataFrame) -> DataFrame:
+    """The (window, item) of ``links`` whose fingerprints are within the radius, by way of equal blocks."""
+    left = links.join(windows.select("window", "print"), "window")
+    left = left.select("window", "item", "print", blocks("print").alias("x")).select("window", "item", "print", "x.*")
+    right = items.select("item", F.col("print").alias("other"), blocks("print").alias("x")).select("item", "other", "x.*")
+    pairs = left.join(right, ["item", "block", "bits"])
     pairs = pairs.filter(F.bit_count(F.col("print").bitwiseXOR(F.col("other"))) <= RADIUS)
-    pairs = materialise(pairs.select("doc_id", "w", "start", "item_id").distinct())
-    weight = [F.explode("hashes").alias("hash")]
-    ours = pairs.join(windows, ["doc_id", "w", "start"])
-    ours = ours.select("doc_id", "w", "start", "item_id", F.size("hashes").alias("a"), *weight)
-    ours = ours.groupBy("doc_id", "w", "start", "item_id", "a", "hash").agg(F.count("*").alias("x"))
-    theirs = items.select("item_id", F.size("hashes").alias("b"), *weight)
-    theirs = theirs.groupBy("item_id", "b", "hash").agg(F.count("*").alias("y"))
-    theirs = materialise(theirs)
-    common = materialise(ours).join(theirs, ["item_id", "hash"]).groupBy("doc_id", "w", "start", "item_id", "a", "b")
-    common = common.agg(F.sum(F.least("x", "y")).alias("c"))
+    return pairs.select("window", "item").distinct()
+
+
+def matches(begins: DataFrame, windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(t, u, item, similarity) of texts with a window whose fingerprint and then shingles match."""
+    numbers = windows.select("t", "u", "w", "k", "start", "window", "sound")
+    links = begins.join(numbers, ["t", "u", "w", "k", "start"]).select("window", "item", "sound")
+    links = links.join(items.select("item", F.col("sound").alias("other")), "item")
+    links = materialise(links.select("window", "item", (F.col("sound") & F.col("other")).alias("sound")))
+    told = near(links.filter("sound").drop("sound"), windows, items)
+    pairs = materialise(told.union(links.filter("not sound").drop("sound")))
+    ours = windows.select("window", F.size("hashes").alias("a"), F.explode("hashes").alias("hash"))
+    ours = ours.groupBy("window", "a", "hash").agg(F.count("*").alias("x"))
+    theirs = items.select("item", F.size("hashes").alias("b"), F.explode("hashes").alias("hash"))
+    theirs = materialise(theirs.groupBy("item", "b", "hash").agg(F.count("*").alias("y")))
+    common = pairs.join(materialise(ours), "window").join(theirs, ["item", "hash"])
+    common = common.groupBy("window", "item", "a", "b").agg(F.sum(F.least("x", "y")).alias("c"))
     joint = F.col("a") + F.col("b") - F.col("c")
     similar = common.filter(4 * F.col("c") >= 3 * joint).withColumn("similarity", F.col("c") / joint)
-    return similar.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+    similar = similar.join(windows.select("window", "t", "u"), "window")
+    return similar.groupBy("t", "u", "item").agg(F.max("similarity").alias("similarity"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_ids, similarity) of contaminated documents."""
+    """(t, u, item_ids, n_items, similarity) of contaminated texts."""
     prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    items = items_of(benchmark.withColumn("item_id", F.coalesce("item_id", F.lit(-1))))
+    docs = docs.select("text")
+    items, ids = items_of(benchmark)
     begins = starts(docs, items)
     if begins is None:
-        empty = docs.sparkSession.createDataFrame([], "doc_id long, item_ids array<bigint>, similarity double")
-        return empty
-    found = matches(windows_of(docs, begins), items)
-    return found.groupBy("doc_id").agg(
-        F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("similarity")
+        kind = "t long, u long, item_ids array<bigint>, n_items long, similarity double"
+        return docs.sparkSession.createDataFrame([], kind)
+    found = matches(begins, windows_of(docs, begins), items).join(ids, "item")
+    unnamed = F.max(F.col("item_id").isNull().cast("long"))
+    found = found.groupBy("t", "u").agg(
+        F.sort_array(F.collect_set("item_id")).alias("item_ids"), unnamed.alias("unnamed"), F.max("similarity").alias("similarity")
     )
+    return found.select("t", "u", "item_ids", (F.size("item_ids") + F.col("unnamed")).alias("n_items"), "similarity")
 
 
 def mark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, contaminated, n_items, item_ids, similarity) of every row."""
     found = materialise(contaminated(docs, benchmark))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found, "doc_id", "left")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text"))).join(found, ["t", "u"], "left")
     return rows.select(
-        "doc_id", F.col("item_ids").isNotNull().alias("contaminated"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+        "doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         "item_ids", F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that are not contaminated, with all their columns."""
-    found = materialise(contaminated(docs, benchmark).select("doc_id"))
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    found = materialise(contaminated(docs, benchmark).select("t", "u"))
+    t, u = text_key(F.col("text"))
+    return docs.join(found, (t == found["t"]) & (u == found["u"]), "left_anti").select(docs.columns)

@@ -83,6 +83,41 @@ def test_odd_rows(spark, edges):
     assert decontamination.mark(edges.limit(0), frame).count() == 0
 
 
+def test_repeated_rows_items_and_ids(spark):
+    """Rows are judged by their own text, as often as they come; equal items are reported under every id."""
+    item = prose(1, 20)
+    near = " ".join([*item.split()[:-1], "other"])
+    docs = [(1, near)] * 2 + [(2, near), (3, prose(2, 30)), (None, f"{item} end"), (None, "clean"), (2, "also clean")]
+    items = [(7, item)] * 2 + [(8, item), (None, item), (None, prose(9, 12)), (7, prose(3, 8)), (-1, prose(4, 9))]
+    rows = decontamination.mark(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    got = sorted((r.doc_id or 0, r.contaminated, r.n_items, round(r.similarity, 4)) for r in rows)
+    same = round(15 / 17, 4)
+    assert got == sorted([
+        (1, True, 3, same), (1, True, 3, same), (2, True, 3, same), (2, False, 0, 0.0), (3, False, 0, 0.0),
+        (0, True, 3, 1.0), (0, False, 0, 0.0),
+    ])
+    assert all(list(r.item_ids) == [7, 8] for r in rows if r.contaminated)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_short_and_repetitive_items(spark, seed):
+    """Small bags and bags with one heavy shingle: fingerprints say nothing, the comparison stays exact."""
+    source = random.Random(seed)
+    items = [(k, prose(40 * seed + k, 6 + k % 5)) for k in range(40)]
+    items += [(100 + k, prose(k, 30) + " go" * (12 + k)) for k in range(5)]
+    docs = []
+    for k in range(300):
+        words_ = source.choice(items)[1].split()
+        at = source.randrange(len(words_))
+        edited = [words_[:at] + words_[at + 1 :], words_[:-1], words_ + ["more"], words_[1:], words_ + ["go"] * 9][k % 5]
+        docs.append((k, f"{prose(800 + k, k % 7)} {' '.join(edited)}"))
+    expected = {i: (sorted(x), pytest.approx(max(x.values()))) for i, x in brute(docs, items).items()}
+    assert found(spark, docs, items) == expected and len(expected) > 60
+
+
 def test_blocks_find_all_within_the_radius(spark):
     source = random.Random(5)
     rows = []
