@@ -1,14 +1,15 @@
 """Sharding by sampled splitters.
 
 Rows are ordered by a key: the hash of the text, so that equal texts lie together; a text whose
-copies would overfill a range is ordered by doc_id inside. A sample drawn with probability in
+copies would overfill a range is ordered by its rows' numbers inside, which tell apart rows that
+share a doc_id, or have none. A sample drawn with probability in
 proportion to size gives quantile boundaries; rows go to the ranges between them, ranges that turn
 out overfull are cut again by a sample of their own. Sizes are then summed exactly, over ranges
 and within each, and a shard takes an equal stretch of all bytes.
 
 Law `bytes`: sizes of shards are near equal, off by one key at most (a document, or all copies of
 a text together if they are under 1/64 of a shard). Null texts have size 1. Rows that share
-doc_id and text take any order. An empty table gives no rows. Only doc_id and text are read.
+a text take any order. An empty table gives no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def quantiles(sample: list[tuple[int, int]], ranges: int) -> list[tuple[int, int
 
 def drawn(rows: DataFrame, share: Column) -> list[tuple[int, int]]:
     """Sorted keys of rows drawn with probability ``share``, by a hash of the row's key."""
-    coin = F.pmod(F.xxhash64("h", "doc_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    coin = F.pmod(F.xxhash64("h", "row", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return sorted((r.h, r.s) for r in rows.filter(coin < share).select("h", "s").collect())
 
 
@@ -64,13 +65,14 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"),
+        F.monotonically_increasing_id().alias("row"),
     ))
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     fine = max(1, total // (shards * FINE))
     # Fewer than shards * FINE texts can hold more than that share each.
     heavy = rows.groupBy("h").agg(F.sum("size").alias("of")).filter(F.col("of") > fine).select("h", F.lit(True).alias("heavy"))
     rows = rows.join(F.broadcast(heavy), "h", "left").withColumn(
-        "s", F.when(F.col("heavy"), F.coalesce(F.col("doc_id"), F.lit(-1))).otherwise(F.lit(-1))
+        "s", F.when(F.col("heavy"), F.col("row")).otherwise(F.lit(-1))
     )
     ranges = min(max(shards * 4, -(-n // RANGE_ROWS)), RANGES)
     splitters = quantiles(drawn(rows, F.col("size") * (ranges * SAMPLES / max(total, 1))), ranges)
@@ -100,7 +102,7 @@ def placed(ranged: DataFrame, shards: int, total: int) -> DataFrame:
         before += r["of"]
     starts = spark.createDataFrame(sums, "range int, before long")
     key = Window.partitionBy("range").orderBy("h", "s")
-    row = Window.partitionBy("range").orderBy("h", "s", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    row = Window.partitionBy("range").orderBy("h", "s", "row").rowsBetween(Window.unboundedPreceding, 0)
     # A key's rows share the place where the key begins, so they share a shard.
     begun = F.col("before") + F.sum("size").over(key) - F.sum("size").over(Window.partitionBy("range", "h", "s"))
     rows = (

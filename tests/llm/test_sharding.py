@@ -61,6 +61,13 @@ def test_light_copies_stay_together(spark):
     assert all(len(s) == 1 for s in place.values())
 
 
+def test_hot_text_without_ids_and_repeated_rows(spark):
+    docs = [(None, prose(0, 4))] * 2_000 + [(5, prose(1, 4))] * 1_000 + [(i, prose(i, 4)) for i in range(2_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    sizes = check(sharding.shard(frame, 16).collect(), docs, 16, 100)
+    assert len(sizes) == 16 and min(sizes.values()) >= sum(sizes.values()) / 16 - 100
+
+
 def test_empty_table(edges):
     assert sharding.shard(edges.limit(0)).count() == 0
 
