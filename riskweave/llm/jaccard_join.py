@@ -349,3 +349,20 @@ def divided(bucket: DataFrame, known: DataFrame) -> DataFrame:
     kept = kept.groupBy("x", "y", "size").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
     kept = checked(kept.select("token", "weight", F.ceil(F.col("size") / BLOCK).alias("blocks")))
     return rows.join(kept, "token")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Of each group the row with the smallest doc_id, once; all columns as they were.
+
+    Rows without a doc_id are given one by their text, above ordinary ids, for the time of the join:
+    they belong to groups as any other and stay only where no row of the group has an id.
+    """
+    without = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(1 << 61))
+    name = F.coalesce(F.col("doc_id").cast("long"), without)
+    groups = join(docs.select(name.alias("doc_id"), "text"))
+    kept = materialise(groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("g")))
+    again = not kept.filter("n > 1").isEmpty()
+    number = next(c for k in range(len(docs.columns) + 1) if (c := f"number{k}") not in docs.columns)
+    first = kept.filter("doc_id = g").select(F.col("doc_id").alias(number))
+    rows = docs.withColumn(number, name).join(first, number, "left_semi")
+    return (rows.dropDuplicates([number]) if again else rows).select(docs.columns)

@@ -97,3 +97,14 @@ def test_stages_on_odd_rows(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, TINY).count() == 0
+
+
+def test_rows_without_an_id_are_rows_like_others(spark):
+    """A null-id copy goes before a named one, a null-id benchmark passage goes, other null-id rows stay."""
+    passage = read(spark, TINY, "benchmark").filter("length(text) > 100").orderBy("item_id").first().text
+    rows = [(9, prose(1, 60)), (None, prose(1, 60)), (None, prose(2, 60)), (None, prose(2, 60) + " end"), (None, passage), (None, prose(3, 60))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    once = materialise(corpus_pipeline.keep_one_of_each_group(spark, docs, TINY))
+    assert once.count() == 4 and [r.doc_id for r in once.filter(once.text == prose(1, 60)).collect()] == [9]
+    clean = corpus_pipeline.keep_uncontaminated(spark, once, TINY)
+    assert {r.text[:40] for r in clean.collect()} == {prose(k, 60)[:40] for k in (1, 2, 3)}
