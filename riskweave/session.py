@@ -84,11 +84,31 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Lineage ends at the table, so a lost executor costs nothing that is already written; and,
     unlike an RDD checkpoint, later readers still prune columns and see the table's size. Tables
-    live as long as the application: its folder goes when it ends.
+    live until ``release`` frees them, at the latest as long as the application.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/riskweave-tables/{spark.sparkContext.applicationId}"
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     _own(spark, folder)
+    _KEPT.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_KEPT: list[str] = []
+
+
+def kept_tables() -> int:
+    """A mark for ``release``: how many kept tables there are."""
+    return len(_KEPT)
+
+
+def release(spark: SparkSession, *needed: DataFrame, since: int = 0) -> None:
+    """Free kept tables made since a mark, but for those that ``needed`` read."""
+    files = [f for df in needed for f in df.inputFiles()]
+    held = {path for path in _KEPT[since:] if any(path.rsplit("/", 1)[1] in f for f in files)}
+    for path in _KEPT[since:]:
+        if path not in held:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _KEPT[since:] = [path for path in _KEPT[since:] if path in held]
