@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontamination, embedding_dedup, jaccard_join, language_id, packing, quality, sharding, surrogates, token_files, transducer
+from riskweave.llm import decontamination, embedding_dedup, jaccard_join, language_id, packing, prefix_trie, quality, sharding, surrogates, token_files, transducer
 from riskweave.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,29 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, p.b) AS
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN parts p ON p.a = d.doc_id
 """
 
+# crc32 one bit a step: a step adds a byte's value or nothing, then shifts.
+CRC = """xor(list_reduce([4294967295] || flatten([[ord(x), 0, 0, 0, 0, 0, 0, 0] for x in string_split({}, '')]),
+  lambda r, x: xor(xor(r, x) >> 1, 3988292384 * (xor(r, x) & 1))), 4294967295)"""
+ORACLE_SQL["op13_prefix_trie"] = f"""
+WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS j
+  FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 100 AS g, {CRC.format("c::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT c FROM o)),
+w AS (SELECT h.c, 0 AS k, o.j, o.r, o.t FROM h JOIN o ON o.c = h.g AND o.j <= h.h
+  UNION ALL SELECT h.c, 1, o.j, o.r, o.t FROM h JOIN o ON o.c = h.c AND o.j > h.h),
+p AS (SELECT h.c, coalesce(list((r, t) ORDER BY k, j) FILTER (r IS NOT NULL), []) AS p
+  FROM h LEFT JOIN w ON w.c = h.c GROUP BY h.c),
+m AS (SELECT c, p[1:d] AS p, d, len(p) = d AS ends FROM (SELECT c, p, unnest(range(0, len(p) + 1)) AS d FROM p)),
+n AS (SELECT p, any_value(d) AS d, min(c) AS c, count(*) AS n, sha256(coalesce(string_agg(c, ',' ORDER BY c) FILTER (ends), '')) AS e
+  FROM m GROUP BY p),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS k FROM n WHERE d > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(k.k, 0) AS k, CASE WHEN d > 0 THEN (n.n - 1) * length(n.p[d][2]) ELSE 0 END AS s FROM n LEFT JOIN k ON k.p = n.p),
+b AS (SELECT p, sum(s) AS s, sum((k = 0)::INT) AS l FROM (SELECT p[1:unnest(range(0, d + 1))] AS p, s, k FROM v) GROUP BY p)
+SELECT v.c AS conv_id, v.d AS depth, u.c AS parent_conv_id, v.n AS n_convs, v.k AS n_children, b.l::BIGINT AS n_leaves,
+  b.s::BIGINT AS saved_tokens, v.e AS ends_sha256
+FROM v JOIN b ON b.p = v.p LEFT JOIN n u ON v.d > 0 AND u.p = v.p[1:v.d - 1]
+"""
+
 
 def query(function):
     QUERIES[function.__name__] = function
@@ -131,3 +154,9 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.mark(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     return found.withColumn("item_ids", F.coalesce(F.array_join("item_ids", " "), F.lit("")))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.turns_of(read(spark, folder, "conversations"))
+    return prefix_trie.trie(*prefix_trie.regrouped(turns))
