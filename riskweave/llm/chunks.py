@@ -5,7 +5,8 @@ an ASCII letter. For a vocabulary that keeps white space, "something else" is no
 Unicode either: such a vocabulary has tokens for runs of both kinds, no-break spaces between spaces
 among them. The supported vocabularies split text so that no token spans such a place, and
 their special strings hold none; so a text's ids are its chunks' ids put together. Each distinct
-chunk is given to the library once per slice, and remembered up to a fixed number.
+chunk is given to the library once per slice; chunks up to a fixed length are remembered up to a fixed
+number, so what a worker keeps is bounded in bytes too.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from riskweave.llm.common import byte_view
 
 #: Distinct chunks a worker remembers: those met since the last time so many had come, and before that.
 REMEMBERED = 400_000
+#: Characters of the longest chunk that is remembered; words are shorter.
+LONGEST = 64
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -131,21 +134,23 @@ def ids_of(known, texts: list[str]) -> list[bytes]:
 
 
 class Remembering:
-    """Values of distinct chunks, from a function on lists of them."""
+    """Values of distinct chunks, from a function on lists of them; long chunks are not kept."""
 
-    def __init__(self, function: Callable[[list[str]], list]):
-        self.function, self.known, self.before = function, {}, {}
+    def __init__(self, function: Callable[[list[str]], list], room: int = REMEMBERED):
+        self.function, self.room, self.known, self.before = function, room, {}, {}
 
     def __call__(self, chunks: list[str]) -> list:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.room:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
         new = [c for c in chunks if c not in known]
         if before:
             known.update((c, before[c]) for c in new if c in before)
             new = [c for c in new if c not in known]
-        known.update(zip(new, self.function(new), strict=True))
-        return [known[c] for c in chunks]
+        found = dict(zip(new, self.function(new), strict=True))
+        long = {c: found.pop(c) for c in new if len(c) > LONGEST}
+        known.update(found)
+        return [known[c] if len(c) <= LONGEST else long[c] for c in chunks]
 
 
 @cache

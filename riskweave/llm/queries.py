@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontamination, embedding_dedup, jaccard_join, language_id, packing, prefix_trie, quality, sharding, surrogates, token_files, transducer
+from riskweave.llm import alignment, decontamination, embedding_dedup, jaccard_join, language_id, language_model, packing, prefix_trie, quality, sharding, surrogates, token_files, transducer
 from riskweave.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,6 +156,16 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("item_ids", F.coalesce(F.array_join("item_ids", " "), F.lit("")))
 
 
+@query
+def op11_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(read(spark, folder, "documents"))
+
+
+@query
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.scored(read(spark, folder, "documents"))
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = prefix_trie.turns_of(read(spark, folder, "conversations"))
