@@ -1,30 +1,31 @@
 """Counterparty screening: every distinct name against the active watchlist, best match kept.
 
-Distinct names and the list are both dealt out, names in chunks and the list in parts, and each
-task meets one chunk with one part; a name's winners in all parts (one row each) meet in one
-aggregate. So no pair of names is ever a row, neither side has to fit in one place, and nothing
-passes through the driver.
-
-Inside a task a pair is scored only while its upper bound (shared symbols, lengths, context)
-can still reach the best score seen for that name, which leaves the result exact.
+The list is dealt out by length of name, so a part holds names of one band of lengths (several parts
+share one length that many names have). Distinct names are dealt out in chunks. A name first meets the
+parts of its own length; the best score found there closes every part that its lengths alone cannot
+reach it in, and the name visits the rest with that score as its mark. A task meets one chunk with one
+part through an index (``name_index``), and a name's winners, one row a part, meet in one aggregate. So
+no pair of names is ever a row, neither side has to fit in one place, nothing passes through the driver,
+and the result is that of scoring every pair.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from functools import partial
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.text import Encoded, LcsTable, normalise_name
+from riskweave.functions.text import normalise_name
+from riskweave.operators.name_index import COUNTRY_POINTS, NAME_WEIGHT, TYPE_POINTS, best_in_part
 from riskweave.session import materialise
 
 # Rows, about, of a part of the list and of a chunk of names.
 SLICE_ROWS = 20_000
 CHUNK_ROWS = 50_000
-MATRIX_CELLS = 2_000_000
-LEADERS = 32
-NAME_WEIGHT, COUNTRY_POINTS, TYPE_POINTS = 0.9, 5, 5
+#: Below every score.
+NO_MARK = -1.0
 
 _KEYS = ["normal", "country", "entity_type"]
 _BEST = (
@@ -90,72 +91,25 @@ def screening_problems(names: DataFrame, listed: DataFrame, name_col: str) -> Da
     return blank.unionByName(empty)
 
 
-def _best_in_part(names: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-    """The best candidate of one part of the list for each name of one chunk."""
-    if names.empty or part.empty:
-        return pd.DataFrame(columns=_BEST_COLUMNS)
-    best_of, step = _scorer(part)
-    names = names[_KEYS]
-    return pd.concat([
-        best_of(names.iloc[start : start + step].reset_index(drop=True)) for start in range(0, len(names), step)
-    ])
-
-
-def _scorer(slice_frame: pd.DataFrame):
-    """(function over names that keeps the best candidate of one part of the list, names it takes at a time)."""
-    ordered = slice_frame.sort_values(["entity_id", "name_position"], ignore_index=True)
-    listed = Encoded(ordered["normal"].tolist())
-    country, kind = ordered["country"].to_numpy(object), ordered["entity_type"].to_numpy(object)
-    entity, alias = ordered["entity_id"].to_numpy(), ordered["alias_match"].to_numpy(bool)
-    position, title = ordered["name_position"].to_numpy("int32"), ordered["canonical_name"].to_numpy(object)
-    step, leaders = max(1, MATRIX_CELLS // len(ordered)), min(LEADERS, len(ordered))
-
-    def best_of(names: pd.DataFrame) -> pd.DataFrame:
-        table = LcsTable(names["normal"].tolist(), listed)
-        la, lb = table.lengths
-        total = la[:, None] + lb[None, :]
-        same_country = names["country"].to_numpy(object)[:, None] == country[None, :]
-        same_kind = names["entity_type"].to_numpy(object)[:, None] == kind[None, :]
-
-        def score(shared, at=slice(None)):
-            share = 100.0 * (1.0 - (total[at] - 2 * shared) / np.maximum(total[at], 1))
-            share = np.where(total[at] == 0, 100.0, share)
-            return NAME_WEIGHT * share + COUNTRY_POINTS * same_country[at] + TYPE_POINTS * same_kind[at]
-
-        left, right = table.counts
-        shared = np.zeros(total.shape, np.int32)
-        for symbol in range(left.shape[1]):
-            shared += np.minimum(left[:, symbol, None], right[None, :, symbol])
-        bound = score(shared)
-        rows = np.arange(len(names))
-        best = np.full(len(names), -1.0)
-        where, common = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-
-        def consider(i, j):
-            if not len(i):
-                return
-            lcs = table.lengths_of(i, j)
-            got = score(lcs, (i, j))
-            rank = np.lexsort((j, -got, i))
-            i, j, got, lcs = i[rank], j[rank], got[rank], lcs[rank]
-            lead = np.r_[True, i[1:] != i[:-1]]
-            i, j, got, lcs = i[lead], j[lead], got[lead], lcs[lead]
-            better = (got > best[i]) | ((got == best[i]) & (j < where[i]))
-            i, j = i[better], j[better]
-            best[i], where[i], common[i] = got[better], j, lcs[better]
-
-        likely = np.argpartition(bound, -leaders, axis=1)[:, -leaders:]
-        consider(np.repeat(rows, leaders), likely.ravel())
-        bound[rows[:, None], likely] = -1.0
-        consider(*np.nonzero(bound >= best[:, None]))
-        return names.assign(
-            entity_id=entity[where], matched_entity=title[where], alias_match=alias[where],
-            country_match=same_country[rows, where], type_match=same_kind[rows, where],
-            name_position=position[where], candidate_length=lb[where].astype("int32"),
-            lcs=common.astype("int32"), score=best,
-        )
+def _bands(listed: DataFrame, slice_rows: int) -> list[tuple[int, int, int, int]]:
+    """(first part, parts, shortest, longest): bands of lengths, each of about ``slice_rows`` rows a part."""
+    lengths = listed.groupBy(F.length("normal").alias("length")).agg(F.count("*").alias("n"))
+    out, held, low = [], 0, None
+    rows = sorted(lengths.collect())  # one row a length of name
+    for k, (length, n) in enumerate(rows):
+        held, low = held + n, length if low is None else low
+        if held >= slice_rows or k == len(rows) - 1:
+            first = out[-1][0] + out[-1][1] if out else 0
+            out.append((first, -(-held // slice_rows), low, length))
+            held, low = 0, None
+    return out
 
-    return best_of, step
+
+def _reach(length: Column, low: Column, high: Column) -> Column:
+    """Best score of a name of some length in a band of lengths."""
+    near = F.greatest(low, F.least(high, length))
+    share = F.when(length + near == 0, 100.0).otherwise(200.0 * F.least(length, near) / (length + near))
+    return NAME_WEIGHT * share + float(COUNTRY_POINTS + TYPE_POINTS) + 1e-9
 
 
 def best_matches(requests: DataFrame, listed: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -166,21 +120,43 @@ def best_matches(requests: DataFrame, listed: DataFrame, slice_rows: int = SLICE
     spark = listed.sparkSession
     listed = materialise(listed.drop("listed_name"))
     requests = materialise(requests.select(*_KEYS).distinct())
-    parts = -(-listed.count() // slice_rows)
-    if not parts:
+    bands = _bands(listed, slice_rows)
+    if not bands:
         raise ScreeningError("no active candidate")
+    band = "first int, parts int, low int, high int"
+    table = F.array(*(F.struct(*(F.lit(x).alias(c.split()[0]) for x, c in zip(b, band.split(", "), strict=True))) for b in bands))
+    size = F.length("normal")
+    own = F.coalesce(F.get(F.filter(table, lambda b: size <= b["high"]), F.lit(0)), table[len(bands) - 1])
     # Scoring costs time per row, not per byte: spread the names evenly whatever their size.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    chunks = max(tasks, -(-requests.count() // CHUNK_ROWS))
-    names = requests.withColumn("chunk", F.pmod(F.xxhash64(*_KEYS), F.lit(chunks)))
-    names = names.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    part = F.pmod(F.xxhash64("entity_id", "name_position"), F.lit(parts)).cast("int")
-    dealt = listed.withColumn("part", part).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    dealt = dealt.withColumn("chunk", F.col("chunk").cast("bigint"))
-    scored = names.groupBy("part", "chunk").cogroup(dealt.groupBy("part", "chunk")).applyInPandas(_best_in_part, _BEST)
-    rest = F.struct(*[c for c in scored.columns if c not in _KEYS])
+    parts = bands[-1][0] + bands[-1][1]
+    chunks = max(-(-tasks // parts), -(-requests.count() // CHUNK_ROWS))
+    within = F.pmod(F.xxhash64("entity_id", "name_position"), own["parts"]).cast("int")
+    dealt = listed.withColumn("part", own["first"] + within)
+    dealt = dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
+    best = partial(best_in_part, keys=_KEYS, columns=_BEST_COLUMNS)
     first_best = F.struct("score", -F.col("entity_id"), -F.col("name_position"))
-    return scored.groupBy(*_KEYS).agg(F.max_by(rest, first_best).alias("b")).select(*_KEYS, "b.*")
+
+    def visited(names: DataFrame, wanted: Column) -> DataFrame:
+        """Winners of names in the parts of the wanted bands."""
+        spread = F.flatten(F.transform(wanted, lambda b: F.sequence(b["first"], b["first"] + b["parts"] - 1)))
+        names = names.withColumn("chunk", F.pmod(F.xxhash64(*_KEYS), F.lit(chunks))).withColumn("part", F.explode(spread))
+
+        def meet(names: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+            return best(names, part)
+
+        scored = names.groupBy("part", "chunk").cogroup(dealt.groupBy("part", "chunk")).applyInPandas(meet, _BEST)
+        rest = F.struct(*[c for c in scored.columns if c not in _KEYS])
+        return scored.groupBy(*_KEYS).agg(F.max_by(rest, first_best).alias("b")).select(*_KEYS, "b.*")
+
+    near = materialise(visited(requests.withColumn("floor", F.lit(NO_MARK)), F.array(own)))
+    if len(bands) == 1:
+        return near
+    asked = near.select(*_KEYS, F.col("score").alias("floor"))
+    others = F.filter(table, lambda b: (b["first"] != own["first"]) & (_reach(size, b["low"], b["high"]) >= F.col("floor")))
+    both = near.unionByName(visited(asked, others))
+    rest = F.struct(*[c for c in near.columns if c not in _KEYS])
+    return both.groupBy(*_KEYS).agg(F.max_by(rest, first_best).alias("b")).select(*_KEYS, "b.*")
 
 
 def reason_codes(alias_match: Column, name_similarity: Column, country_match: Column) -> Column:

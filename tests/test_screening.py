@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskweave.config import ControlError, Controls
 from riskweave.functions.text import LcsTable, normalise_name
 from riskweave.operators import screening
+from riskweave.operators.name_index import NameIndex
 from riskweave.schemas import WATCHLIST
 
 LIST = [
@@ -134,6 +135,64 @@ def test_best_match_equals_brute_force(spark, slice_rows):
         assert (r.score, r.entity_id, r.name_position) == (score, best.entity_id, best.name_position)
 
 
+def trade_names(rng, n):
+    """Made-up firm names of one to three words and a suffix, from a few thousand words."""
+    parts = "ba co da fi gu ha jo ka lu ma ne po qui ra si to vu wa xe yo zen tron ston berg field gate north wind".split()
+    words = ["".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(3_000)]
+    return [" ".join([*rng.choices(words, k=rng.randrange(1, 4)), rng.choice(["ltd", "inc", "group", "gmbh"])]) for _ in range(n)]
+
+
+def edited(rng, name, most):
+    for _ in range(rng.randrange(most + 1)):
+        at = rng.randrange(len(name))
+        name = name[:at] + rng.choice(["", name[at] + "x", "q"]) + name[at + 1 :]
+    return name.strip() or "a"
+
+
+def scores_of(name, country, kind, table, row, countries, kinds):
+    total = len(name) + table.lengths[1]
+    lcs_ = table.lengths_of(np.full(len(countries), row), np.arange(len(countries)))
+    return 0.9 * (100.0 * (1.0 - (total - 2 * lcs_) / total)) + 5 * (countries == country) + 5 * (kinds == kind)
+
+
+def test_index_leaves_most_pairs_unseen_and_finds_the_same():
+    """A list of 100,000: most names are one of it with a few changes, the others resemble none."""
+    rng = random.Random(6)
+    listed = trade_names(rng, 100_000)
+    country, kind = (np.array(rng.choices(x, k=len(listed)), object) for x in (["GB", "US"], ["BUSINESS", "PERSON"]))
+    names = [edited(rng, rng.choice(listed), 3) for _ in range(900)] + trade_names(random.Random(7), 100)
+    asked = np.array(rng.choices(["GB", "FR"], k=len(names)), object), np.array(["BUSINESS"] * len(names), object)
+    index = NameIndex(listed, country, kind)
+    where, best, _ = index.search(names, *asked, np.full(len(names), -1.0))
+    pairs = len(names) * len(listed)
+    assert index.pairs_scored < 0.01 * pairs and index.pairs_bounded < 0.1 * pairs and index.leaves_bounded <= 0.25 * pairs
+    table = LcsTable(names[:60] + names[-20:], index.list)
+    for row, k in enumerate([*range(60), *range(980, 1_000)]):
+        scores = scores_of(names[k], asked[0][k], asked[1][k], table, row, country, kind)
+        assert (where[k], best[k]) == (int(np.argmax(scores)), scores.max())
+
+
+def test_index_keeps_to_the_mark_and_to_list_order():
+    names = ["alpha one", "alpha one", "beta two", "a", "", "x" * 300]
+    index = NameIndex(names, np.array(["GB"] * 6, object), np.array(["PERSON"] * 6, object), leaf=2)
+    ask = ["alpha one", "alpha one", "beta two", "a", "zzz"]
+    country, kind = np.array(["GB", "GB", "XX", "GB", "GB"], object), np.array(["PERSON"] * 5, object)
+    where, best, common = index.search(ask, country, kind, np.array([-1.0, 100.0, 95.0, 100.5, -1.0]))
+    assert where[:4].tolist() == [0, 0, 2, -1] and best[:3].tolist() == [100, 100, 95] and common[2] == 8
+    assert where[4] >= 0
+
+
+def test_bands_that_cannot_win_are_not_visited(spark):
+    """Names of one length on the list go to one band; a close match closes all bands of other lengths."""
+    rows = [(k, f"{'ab' * (k % 30 + 1)}{k:03d}", "", "GB", "BUSINESS", True) for k in range(300)]
+    listed = screening.candidates(watchlist(spark, rows))
+    bands = screening._bands(listed, 40)
+    assert sum(b[1] for b in bands) >= 7 and all(a[3] < b[2] for a, b in zip(bands, bands[1:]))
+    exact = spark.createDataFrame([(rows[k][1], "GB", "BUSINESS") for k in range(300)], "normal string, country string, entity_type string")
+    got = screening.best_matches(exact, listed, 40).collect()
+    assert sorted(r.entity_id for r in got) == list(range(300)) and {r.score for r in got} == {100.0}
+
+
 def test_blank_name_and_empty_list_fail(spark):
     with pytest.raises(Exception, match="blank name"):
         screening.screen_counterparties(names(spark, [("--", "GB")]), watchlist(spark), 88).collect()
