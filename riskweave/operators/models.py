@@ -1,28 +1,22 @@
-"""Three classifiers on Spark ML: preprocessing, fitting, tuning, comparison, explanation."""
+"""Three classifiers: preprocessing, fitting, tuning, comparison, explanation."""
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (
-    Imputer,
-    OneHotEncoder,
-    SQLTransformer,
-    StandardScaler,
-    StringIndexer,
-    VectorAssembler,
-)
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators import evaluation
+from riskweave.operators import boosting, evaluation
 from riskweave.operators.features import CATEGORICAL, NUMERIC, assert_no_leak
+from riskweave.operators.preprocessing import ExactPreprocessor, ExactPreprocessorModel
 from riskweave.operators.ranking import running_totals, value_counts_of
 from riskweave.session import materialise
 
@@ -46,9 +40,15 @@ class Settings:
     boosting_depth: int = 4
     boosting_rate: float = 0.08
     boosting_rows: float = 0.85
-    boosting_columns: str = "0.9"
+    boosting_columns: float = 0.9
     folds: int = 3
 
+    @property
+    def growth(self) -> boosting.Growth:
+        return boosting.Growth(
+            self.boosting_rounds, self.boosting_depth, self.boosting_rate, self.boosting_rows, self.boosting_columns, self.seed
+        )
+
 
 @dataclass
 class Training:
@@ -77,65 +77,26 @@ def balanced_weight(negatives: int, positives: int) -> Column:
     return F.when(F.col(LABEL) == 1, n / (2 * max(positives, 1))).otherwise(n / (2 * max(negatives, 1)))
 
 
-def boosting_weight(negatives: int, positives: int) -> Column:
-    """Positives weigh as much as all negatives together."""
-    return F.when(F.col(LABEL) == 1, negatives / max(positives, 1)).otherwise(1.0)
-
-
-def modes(train: DataFrame) -> dict[str, str]:
-    """Most frequent value of each categorical feature, the smallest on ties."""
-    found = {}
-    for column in CATEGORICAL:
-        row = (
-            train.where(F.col(column).isNotNull()).groupBy(column).count()
-            .orderBy(F.desc("count"), column).first()
-        )
-        found[column] = row[0] if row else ""
-    return found
+def boosting_weights(negatives: int, positives: int) -> tuple[float, float]:
+    """Of labels 0 and 1: positives weigh as much as all negatives together."""
+    return 1.0, negatives / max(positives, 1)
 
 
-def _quoted(text: str) -> str:
-    """A text as a literal of the transformer's SQL."""
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
+def first_margin(negatives: int, positives: int) -> float:
+    """Log-odds of the weighted labels, from which boosting starts."""
+    w0, w1 = boosting_weights(negatives, positives)
+    return math.log(max(w1 * positives, 1e-6) / max(w0 * negatives, 1e-6))
 
 
-def preprocessing(fill: dict[str, str]) -> list:
-    """Median-imputed, standardised numbers and one-hot categories; unknown ones become zeros."""
+def preprocessor() -> ExactPreprocessor:
+    """Median-filled, standardised numbers and one-hot categories; unknown ones become zeros."""
     assert_no_leak(NUMERIC + CATEGORICAL)
-    casts = ", ".join(f"cast({c} AS DOUBLE) AS {c}_raw" for c in NUMERIC)
-    filled = ", ".join(f"coalesce({c}, {_quoted(fill[c])}) AS {c}_filled" for c in CATEGORICAL)
-    return [
-        SQLTransformer(statement=f"SELECT *, {casts}, {filled} FROM __THIS__"),
-        Imputer(
-            strategy="median", relativeError=0.0001,
-            inputCols=[f"{c}_raw" for c in NUMERIC], outputCols=[f"{c}_imputed" for c in NUMERIC],
-        ),
-        VectorAssembler(inputCols=[f"{c}_imputed" for c in NUMERIC], outputCol="numbers"),
-        StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        StringIndexer(
-            inputCols=[f"{c}_filled" for c in CATEGORICAL],
-            outputCols=[f"{c}_index" for c in CATEGORICAL],
-            handleInvalid="keep",
-        ),
-        OneHotEncoder(
-            inputCols=[f"{c}_index" for c in CATEGORICAL],
-            outputCols=[f"{c}_hot" for c in CATEGORICAL],
-            dropLast=True,
-        ),
-        VectorAssembler(inputCols=["scaled", *[f"{c}_hot" for c in CATEGORICAL]], outputCol="features"),
-    ]
+    return ExactPreprocessor(numeric=NUMERIC, categorical=CATEGORICAL)
 
 
-def feature_names(prepared: PipelineModel) -> list[str]:
+def feature_names(model: PipelineModel) -> list[str]:
     """Names of the slots of the feature vector."""
-    indexer = next(s for s in prepared.stages if s.__class__.__name__ == "StringIndexerModel")
-    hot = [
-        f"category__{column}_{label}"
-        for column, labels in zip(CATEGORICAL, indexer.labelsArray, strict=True)
-        for label in labels
-    ]
-    return [f"numeric__{c}" for c in NUMERIC] + hot
+    return model.stages[0].names
 
 
 def learner(name: str, settings: Settings, total_weight: float):
@@ -146,15 +107,9 @@ def learner(name: str, settings: Settings, total_weight: float):
             **common, regParam=1.0 / total_weight, elasticNetParam=0.0, standardization=False,
             maxIter=settings.logistic_iterations,
         )
-    if name == FOREST:
-        return RandomForestClassifier(
-            **common, numTrees=settings.forest_trees, maxDepth=settings.forest_depth,
-            minInstancesPerNode=settings.forest_leaf, seed=settings.seed,
-        )
-    return GBTClassifier(
-        **common, maxIter=settings.boosting_rounds, maxDepth=settings.boosting_depth,
-        stepSize=settings.boosting_rate, subsamplingRate=settings.boosting_rows,
-        featureSubsetStrategy=settings.boosting_columns, seed=settings.seed,
+    return RandomForestClassifier(
+        **common, numTrees=settings.forest_trees, maxDepth=settings.forest_depth,
+        minInstancesPerNode=settings.forest_leaf, seed=settings.seed,
     )
 
 
@@ -168,46 +123,62 @@ def side_by_side(spark: SparkSession, function, items: list) -> list:
 class Prepared:
     """Training rows as vectors, with the preprocessing that made them."""
 
-    stages: list
+    stage: ExactPreprocessorModel
     vectors: DataFrame
     negatives: int
     positives: int
 
     def fit(self, name: str, settings: Settings) -> PipelineModel:
         negatives, positives = self.negatives, self.positives
-        balanced = name != BOOSTED
-        weight = (balanced_weight if balanced else boosting_weight)(negatives, positives)
-        total = float(negatives + positives) if balanced else 2.0 * negatives
+        weight, total = balanced_weight(negatives, positives), float(negatives + positives)
         model = learner(name, settings, total).fit(self.vectors.withColumn("weight", weight))
-        return PipelineModel(stages=[*self.stages, model])
+        return PipelineModel(stages=[self.stage, model])
 
 
 def prepare(train: DataFrame) -> Prepared:
-    rows = train.select(*NUMERIC, *CATEGORICAL, LABEL)
-    stages = Pipeline(stages=preprocessing(modes(rows))).fit(rows).stages
+    rows = train.select(KEY, *NUMERIC, *CATEGORICAL, LABEL)
+    stage = preprocessor().fit(rows)
     negatives, positives = class_counts(rows)
     # Every round of a learner is a job over these rows: no more tasks than the rows fill.
     parts = max(-(-(negatives + positives) // ROWS_PER_TASK), 1)
-    vectors = PipelineModel(stages).transform(rows).select("features", LABEL).coalesce(parts)
-    return Prepared(stages, vectors.persist(), negatives, positives)
+    vectors = stage.transform(rows).select("features", LABEL, F.xxhash64(KEY).alias("draw")).coalesce(parts)
+    return Prepared(stage, vectors.persist(), negatives, positives)
+
+
+def fit_boosted(prepared: list[Prepared], settings: Settings) -> list[PipelineModel]:
+    """Boosted models of all sets of training rows: every job works on all of them."""
+    margins = [first_margin(p.negatives, p.positives) for p in prepared]
+    sets = [(p.vectors, boosting_weights(p.negatives, p.positives), m) for p, m in zip(prepared, margins, strict=True)]
+    found = boosting.train(sets, LABEL, "draw", settings.growth)
+    return [
+        PipelineModel(stages=[p.stage, boosting.BoostedModel.of(trees, m, len(p.stage.names))])
+        for p, trees, m in zip(prepared, found, margins, strict=True)
+    ]
 
 
 def fit_models(trains: list[DataFrame], names: list[str], settings: Settings) -> list[dict[str, PipelineModel]]:
     """For each set of training rows, the named learners on one shared preprocessing.
 
-    All fits are independent jobs and run next to each other, the slowest learner first.
+    All fits are independent jobs and run next to each other, the slowest first.
     """
     spark = trains[0].sparkSession
     prepared = side_by_side(spark, prepare, trains)
-    slow_first = sorted(names, key=[BOOSTED, FOREST, LOGISTIC].index)
-    jobs = [(k, name) for name in slow_first for k in range(len(trains))]
+    jobs = [(BOOSTED, None)] * (BOOSTED in names)
+    jobs += [(name, k) for name in (FOREST, LOGISTIC) if name in names for k in range(len(trains))]
+
+    def fit(job):
+        name, k = job
+        return fit_boosted(prepared, settings) if k is None else prepared[k].fit(name, settings)
+
     try:
-        fitted = side_by_side(spark, lambda job: prepared[job[0]].fit(job[1], settings), jobs)
+        fitted = dict(zip(jobs, side_by_side(spark, fit, jobs), strict=True))
     finally:
         for p in prepared:
             p.vectors.unpersist()
-    found = dict(zip(jobs, fitted, strict=True))
-    return [{name: found[k, name] for name in names} for k in range(len(trains))]
+    return [
+        {name: fitted[BOOSTED, None][k] if name == BOOSTED else fitted[name, k] for name in names}
+        for k in range(len(trains))
+    ]
 
 
 def probability() -> Column:

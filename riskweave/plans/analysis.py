@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,8 +166,7 @@ GROUP BY 1
 """, "scored")
 def importance_names(v: Views) -> DataFrame:
     """Plain names of the one-hot slots that the preprocessing makes, counted by feature."""
-    prepared = Pipeline(stages=models.preprocessing(models.modes(v.kept_scored))).fit(v.kept_scored)
-    slots = [(n,) for n in models.feature_names(prepared) if n.startswith("category__")]
+    slots = [(n,) for n in models.preprocessor().fit(v.kept_scored).names if n.startswith("category__")]
     plain = marts.plain_feature_names(v.spark.createDataFrame(slots, "feature string"))
     owner = F.coalesce(*(F.when(F.col("feature").startswith(f"{c}_"), F.lit(c)) for c in CATEGORICAL))
     return plain.groupBy(owner.alias("feature")).agg(F.count(F.lit(1)).alias("labels"))
@@ -326,7 +323,9 @@ FROM scored, (SELECT count(*) AS n, sum(investigation_label) AS pos FROM scored)
 """, "scored")
 def class_weights(v: Views) -> DataFrame:
     counts = models.class_counts(v.scored)
-    weights = models.balanced_weight(*counts).alias("balanced"), models.boosting_weight(*counts).alias("boosting")
+    w0, w1 = models.boosting_weights(*counts)
+    boosted = F.when(F.col(models.LABEL) == 1, w1).otherwise(w0).alias("boosting")
+    weights = models.balanced_weight(*counts).alias("balanced"), boosted
     return v.scored.select(F.col(models.LABEL).cast("bigint").alias("label"), *weights).distinct()
 
 
@@ -346,27 +345,57 @@ def fold_edges(v: Views) -> DataFrame:
     )
 
 
-def _scaled(name: str) -> str:
+def _scaled(name: str, table: str) -> str:
+    value = f"{name}::DOUBLE"
     return (
-        f"SELECT '{name}' AS feature, round(avg({name}::DOUBLE), 6) AS mean,"
-        f" round(stddev_samp({name}::DOUBLE), 6) AS deviation, NULL::VARCHAR AS mode FROM scored"
+        f"SELECT '{name}' AS feature, round(m, 6) AS median, round(avg(coalesce({value}, m)), 6) AS mean,"
+        f" round(stddev_pop(coalesce({value}, m)), 6) AS deviation, NULL::VARCHAR AS mode"
+        f" FROM {table}, (SELECT quantile_cont({value}, 0.5) AS m FROM {table}) t GROUP BY m"
     )
 
 
-def _mode(name: str) -> str:
+def _mode(name: str, table: str) -> str:
     return (
-        f"SELECT '{name}', NULL, NULL, (SELECT {name} FROM scored WHERE {name} IS NOT NULL GROUP BY 1"
+        f"SELECT '{name}', NULL, NULL, NULL, (SELECT {name} FROM {table} WHERE {name} IS NOT NULL GROUP BY 1"
         f" ORDER BY count(*) DESC, 1 LIMIT 1)"
     )
 
 
-@query("ML6 ML7", " UNION ALL ".join([*map(_scaled, NUMERIC), *map(_mode, CATEGORICAL)]), "scored")
+def _learned(table: str) -> str:
+    return " UNION ALL ".join([*(_scaled(n, table) for n in NUMERIC), *(_mode(n, table) for n in CATEGORICAL)])
+
+
+def _parameters(v: Views, frame: DataFrame) -> DataFrame:
+    learned = models.preprocessor().fit(frame).learned
+    numbers = zip(NUMERIC, learned["medians"], learned["means"], learned["scales"], strict=True)
+    # A constant feature is not scaled: its deviation is 0 and its scale 1.
+    flat = {r["c"] for r in frame.select(F.explode(F.array(*(
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in NUMERIC
+    ))).alias("e")).select("e.*").groupBy("c").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a = b").collect()}
+    rows = [(n, m, mean, 0.0 if n in flat else scale, None) for n, m, mean, scale in numbers]
+    rows += [(n, None, None, None, m) for n, m in zip(CATEGORICAL, learned["modes"], strict=True)]
+    return v.spark.createDataFrame(rows, "feature string, median double, mean double, deviation double, mode string")
+
+
+@query("ML6 ML7", _learned("scored"), "scored")
 def preprocessing_parameters(v: Views) -> DataFrame:
     """What the preprocessing learns: a few numbers for each feature."""
-    train = v.kept_scored
-    modes = models.modes(train)
-    prepared = Pipeline(stages=models.preprocessing(modes)).fit(train)
-    scaler = next(s for s in prepared.stages if isinstance(s, StandardScalerModel))
-    rows = [(n, float(m), float(d), None) for n, m, d in zip(NUMERIC, scaler.mean, scaler.std, strict=True)]
-    rows += [(n, None, None, modes[n]) for n in CATEGORICAL]
-    return v.spark.createDataFrame(rows, "feature string, mean double, deviation double, mode string")
+    return _parameters(v, v.kept_scored)
+
+
+_GAPS = """(SELECT * REPLACE (CASE WHEN amount_ratio >= 0.5 THEN amount_ratio END AS amount_ratio,
+  CASE WHEN account_age_days % 3 <> 0 THEN account_age_days END AS account_age_days,
+  CASE WHEN payment_channel <> (SELECT payment_channel FROM scored GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) THEN payment_channel END
+  AS payment_channel) FROM scored)"""
+
+
+@query("ML6 ML7", _learned(_GAPS), "scored")
+def preprocessing_with_gaps(v: Views) -> DataFrame:
+    """The same where values are missing: medians and modes of what is left fill them."""
+    scored = v.kept_scored
+    common = scored.groupBy("payment_channel").count().orderBy(F.desc("count"), "payment_channel").first()[0]
+    return _parameters(v, scored.withColumns({
+        "amount_ratio": F.when(F.col("amount_ratio") >= 0.5, F.col("amount_ratio")),
+        "account_age_days": F.when(F.col("account_age_days") % 3 != 0, F.col("account_age_days")),
+        "payment_channel": F.when(F.col("payment_channel") != common, F.col("payment_channel")),
+    }))

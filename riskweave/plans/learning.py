@@ -84,7 +84,7 @@ def anomaly_scores(v: Views) -> DataFrame:
 def boosted_top_contributors(v: Views) -> DataFrame:
     ruled, run = training(v)
     boosted = run.models[models.BOOSTED]
-    explained = trees.BoostedExplainer(boosted, v.spark).explain(boosted, ruled, models.KEY)
+    explained = trees.BoostedExplainer(boosted).explain(boosted, ruled, models.KEY)
     return explained.select(
         "transaction_id", trees.top_contributors(F.col("contributions"), run.names).alias("top_contributors")
     )
@@ -94,7 +94,7 @@ def boosted_top_contributors(v: Views) -> DataFrame:
 def boosted_additivity(v: Views) -> DataFrame:
     ruled, run = training(v)
     boosted = run.models[models.BOOSTED]
-    explainer = trees.BoostedExplainer(boosted, v.spark)
+    explainer = trees.BoostedExplainer(boosted)
     return trees.additivity_error(explainer.explain(boosted, ruled, models.KEY), explainer.bias)
 
 

@@ -63,7 +63,7 @@ def test_standardised_numbers(frame, run):
     vectors = run.models[models.LOGISTIC].transform(train).select("features").collect()
     numbers = np.stack([v.features.toArray()[: len(NUMERIC)] for v in vectors])
     assert np.allclose(numbers.mean(axis=0), 0, atol=1e-9)
-    spread = numbers.std(axis=0, ddof=1)
+    spread = numbers.std(axis=0)
     assert all(abs(s - 1) < 1e-9 or s == 0 for s in spread)
 
 
@@ -79,7 +79,7 @@ def test_importance_is_sorted(run):
 
 def test_contributions_add_up(spark, frame, run):
     boosted = run.models[models.BOOSTED]
-    explainer = trees.BoostedExplainer(boosted, spark)
+    explainer = trees.BoostedExplainer(boosted)
     explained = explainer.explain(boosted, frame, "transaction_id")
     assert trees.additivity_error(explained, explainer.bias).first().max_error < 1e-4
     text = explained.select(trees.top_contributors(F.col("contributions"), run.names).alias("t")).first().t
@@ -95,7 +95,7 @@ def test_linear_contributions_add_up(frame, run):
 
 
 def test_weights():
-    assert models.balanced_weight(3, 1)._jc.toString() and models.boosting_weight(3, 0)._jc.toString()
+    assert models.balanced_weight(3, 1)._jc.toString() and models.boosting_weights(3, 0) == (1.0, 3.0)
 
 
 def test_fold_edges_sit_at_row_positions(spark, at):
