@@ -186,7 +186,8 @@ def first_pairs(bucket: DataFrame) -> DataFrame:
     """
     known = checked(bucket.groupBy("doc_id").agg(F.sum("near").alias("known")))
     lead = bucket.join(known, "doc_id").groupBy("token").agg(F.max(F.struct("known", "doc_id", "n")).alias("x"))
-    lead = checked(lead.select("token", F.col("x.doc_id").alias("a"), F.col("x.n").alias("m")))
+    # As long as the list of buckets, and like it dealt by token: never broadcast.
+    lead = lead.select("token", F.col("x.doc_id").alias("a"), F.col("x.n").alias("m"))
     pairs = bucket.join(lead, "token").filter("a <> doc_id and 4 * least(n, m) >= 3 * greatest(n, m)")
     pairs = pairs.groupBy("a", "doc_id", "n").agg(F.count("*").alias("shared"))
     often = pairs.filter("4 * shared >= n - ceil(3 * n / 4) + 1")
@@ -363,6 +364,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     kept = materialise(groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("g")))
     again = not kept.filter("n > 1").isEmpty()
     number = next(c for k in range(len(docs.columns) + 1) if (c := f"number{k}") not in docs.columns)
-    first = kept.filter("doc_id = g").select(F.col("doc_id").alias(number))
-    rows = docs.withColumn(number, name).join(first, number, "left_semi")
+    # Fewer go than stay, and texts are not shuffled for them while they can be sent to the tasks.
+    gone = kept.filter("doc_id <> g").select(F.col("doc_id").alias(number))
+    rows = docs.withColumn(number, name).join(checked(gone), number, "left_anti")
     return (rows.dropDuplicates([number]) if again else rows).select(docs.columns)
