@@ -170,43 +170,78 @@ class Constraint:
         target = f"->{self.parent}.{self.parent_column}" if self.parent else ""
         return f"{self.kind}:{self.table}.{self.column}{target}"
 
-    def violations(self, tables: dict[str, DataFrame]) -> DataFrame:
-        """One row: the number of violations. Keys are merged before they are shuffled."""
-        frame = tables[self.table]
-        if self.kind == "foreign":
-            used = (
-                frame.where(F.col(self.column).isNotNull())
-                .groupBy(self.column).agg(F.count(F.lit(1)).alias("n"))
-            )
-            lost = orphans(used, tables[self.parent], self.column, self.parent_column)
-            count = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
-        else:
-            nulls = F.col("null_keys") if self.kind == "primary" else F.lit(0)
-            count = key_problems(frame, self.column).select(
-                (nulls + F.col("duplicate_keys")).alias("violations")
-            )
-        return count.select(F.lit(self.name).alias("constraint"), F.col("violations").cast("bigint"))
-
-
-def _null_violations(frame: DataFrame, constraints: list[Constraint]) -> DataFrame:
-    """All not-null constraints of one table in one pass."""
-    counts = frame.agg(
-        F.array(
-            *[
-                F.struct(F.lit(c.name).alias("constraint"), F.count_if(F.col(c.column).isNull()).alias("violations"))
-                for c in constraints
-            ]
-        ).alias("checks")
-    )
-    return counts.select(F.explode("checks").alias("c")).select("c.constraint", "c.violations")
+
+def _targets(constraints: list[Constraint]) -> dict[tuple[str, str], list[Constraint]]:
+    """Key columns to group, each with the foreign keys that point to it."""
+    found: dict[tuple[str, str], list[Constraint]] = {}
+    for c in constraints:
+        if c.kind == "foreign":
+            found.setdefault((c.parent, c.parent_column), []).append(c)
+        elif c.kind in ("primary", "unique"):
+            found.setdefault((c.table, c.column), [])
+    return found
 
 
 def check_constraints(tables: dict[str, DataFrame], constraints: list[Constraint]) -> DataFrame:
-    """(constraint, violations) for every constraint."""
-    by_table: dict[str, list[Constraint]] = {}
+    """(constraint, violations) for every constraint.
+
+    Each table is read once. Its rows are stacked to (target, key, slot): a key column's own values
+    (slot 0) and the values of every foreign key that points to it (slots 1, 2, ..) meet in one aggregate
+    by (target, key), merged before the shuffle. A key is repeated if slot 0 has several rows, and lost
+    if it has none. Null keys are a group like any other, which counts the nulls.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    targets = _targets(constraints)
+    slots = max([len(f) for f in targets.values()], default=0) + 1
+    entries: dict[str, list[Column]] = {}
+
+    def entry(table: str, column: str, target: int, slot: int) -> None:
+        entries.setdefault(table, []).append(F.struct(
+            F.lit(target).alias("target"), F.col(column).cast("string").alias("key"), F.lit(slot).alias("slot")
+        ))
+
+    place = {}
+    for k, ((table, column), foreign) in enumerate(targets.items()):
+        place[table, column] = (k, 0)
+        entry(table, column, k, 0)
+        for slot, c in enumerate(foreign, 1):
+            place[c.table, c.column] = (k, slot)
+            entry(c.table, c.column, k, slot)
+    # Columns that only may not be null are targets of their own.
     for c in constraints:
-        if c.kind == "not_null":
-            by_table.setdefault(c.table, []).append(c)
-    parts = [_null_violations(tables[t], cs) for t, cs in by_table.items()]
-    parts += [c.violations(tables) for c in constraints if c.kind != "not_null"]
-    return reduce(DataFrame.unionByName, parts)
+        if c.kind == "not_null" and (c.table, c.column) not in place:
+            place[c.table, c.column] = (len(place) + len(targets), 0)
+            entry(c.table, c.column, *place[c.table, c.column])
+    stacked = [tables[t].select(F.explode(F.array(*found)).alias("e")).select("e.*") for t, found in entries.items()]
+    keys = reduce(DataFrame.unionByName, stacked).groupBy("target", "key").agg(
+        *(F.count_if(F.col("slot") == k).alias(f"s{k}") for k in range(slots))
+    )
+    known = F.col("key").isNotNull()
+    sums = keys.groupBy("target").agg(
+        F.count_if(known & (F.col("s0") > 1)).alias("repeated"),
+        *(F.sum(F.when(~known, F.col(f"s{k}"))).alias(f"null{k}") for k in range(slots)),
+        *(F.sum(F.when(known & (F.col("s0") == 0), F.col(f"s{k}"))).alias(f"lost{k}") for k in range(1, slots)),
+    )
+    wanted = []
+    for c in constraints:
+        target, slot = place[c.table, c.column]
+        if c.kind == "foreign":
+            target = list(targets).index((c.parent, c.parent_column))
+            slot = 1 + targets[c.parent, c.parent_column].index(c)
+        wanted.append((c.name, c.kind, target, slot))
+    rows = spark.createDataFrame(wanted, "constraint string, kind string, target int, slot int")
+
+    def pick(name: str, first: int) -> Column:
+        cases = [F.when(F.col("slot") == k, F.col(f"{name}{k}")) for k in range(first, slots)]
+        return F.coalesce(*cases, F.lit(0))
+
+    count = (
+        F.when(F.col("kind") == "primary", F.col("repeated") + pick("null", 0))
+        .when(F.col("kind") == "unique", F.col("repeated"))
+        .when(F.col("kind") == "not_null", pick("null", 0))
+        .otherwise(pick("lost", 1) if slots > 1 else F.lit(0))
+    )
+    # One row a constraint; a table without rows has no group.
+    return rows.join(sums, "target", "left").select(
+        "constraint", F.coalesce(count, F.lit(0)).cast("bigint").alias("violations")
+    )

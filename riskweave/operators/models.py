@@ -5,9 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -18,13 +16,12 @@ from riskweave.operators import boosting, evaluation
 from riskweave.operators.features import CATEGORICAL, NUMERIC, assert_no_leak
 from riskweave.operators.preprocessing import ExactPreprocessor, ExactPreprocessorModel
 from riskweave.operators.ranking import running_totals, value_counts_of
-from riskweave.session import materialise
+from riskweave.session import materialise, side_by_side
 
 LABEL = "investigation_label"
 LOGISTIC, FOREST, BOOSTED = "LogisticRegression", "RandomForest", "GradientBoosting"
 KEY = "transaction_id"
 ROWS_PER_TASK = 10_000
-PARALLEL_FITS = 8
 
 
 @dataclass(frozen=True)
@@ -113,12 +110,6 @@ def learner(name: str, settings: Settings, total_weight: float):
     )
 
 
-def side_by_side(spark: SparkSession, function, items: list) -> list:
-    """Run independent Spark jobs from several driver threads, as Spark's own tuning does."""
-    with ThreadPool(min(PARALLEL_FITS, len(items))) as pool:
-        return pool.map(inheritable_thread_target(spark)(function), items)
-
-
 @dataclass
 class Prepared:
     """Training rows as vectors, with the preprocessing that made them."""

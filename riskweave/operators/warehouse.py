@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.bands import RISK_CATEGORIES, risk_key
 from riskweave.operators.contracts import Constraint, ContractError, check_constraints, totals_differ
+from riskweave.session import side_by_side
+from riskweave.sources import publication
 
 # Columns of the customer dimension and of both facts, in order.
 CUSTOMER_COLUMNS = (
@@ -204,17 +206,24 @@ ORDER BY calendar_date
 """
 
 
-def publish(tables: dict[str, DataFrame], root: str, source: DataFrame | None = None) -> str:
+def publish(
+    tables: dict[str, DataFrame], root: str, source: DataFrame | None = None, after: int | None = None
+) -> str:
     """Write all tables under a new version, check them as written, then announce the version.
 
-    Readers follow the announcements, so a failed or partial load is never visible and a
-    table being read is never overwritten. ``source`` reconciles count and amount.
+    Readers follow a numbered log of announcements, so a failed or partial load is never visible and a
+    table being read is never overwritten. ``source`` reconciles count and amount. ``after`` announces
+    only as the successor of that number in the log, for a load built on what was published then; without
+    it a load replaces everything, whoever published meanwhile. Tables are written side by side.
     """
     spark = next(iter(tables.values())).sparkSession
     version = uuid.uuid4().hex
-    for name, frame in tables.items():
-        frame.write.mode("errorifexists").parquet(f"{root}/versions/{version}/{name}")
-    staged = {name: spark.read.parquet(f"{root}/versions/{version}/{name}") for name in tables}
+
+    def write(item: tuple[str, DataFrame]) -> None:
+        item[1].write.mode("errorifexists").parquet(f"{root}/versions/{version}/{item[0]}")
+
+    side_by_side(spark, write, list(tables.items()))
+    staged = {name: spark.read.schema(tables[name].schema).parquet(f"{root}/versions/{version}/{name}") for name in tables}
     present = [
         c for c in STAR_CONSTRAINTS
         if c.table in staged and (not c.parent or c.parent in staged)
@@ -225,19 +234,15 @@ def publish(tables: dict[str, DataFrame], root: str, source: DataFrame | None =
             raise ContractError(f"constraints broken: {[tuple(r) for r in broken]}")
     if source is not None and totals_differ(staged["fact_transactions"], source).first()["differ"]:
         raise ContractError("warehouse does not reconcile with its source")
-    (
-        spark.range(1)
-        .select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
-        .write.mode("append")
-        .parquet(f"{root}/published")
-    )
+    publication.append(spark, f"{root}/published", {"version": version}, after)
     return version
 
 
-def published(spark: SparkSession, root: str) -> dict[str, str]:
-    """Paths below the version announced last."""
-    last = spark.read.parquet(f"{root}/published").orderBy(F.desc("published_at")).first()
-    return {"version": last["version"], "path": f"{root}/versions/{last['version']}"}
+def published(spark: SparkSession, root: str) -> dict:
+    """Number, version and path of what was announced last."""
+    last = max(publication.entries(spark, f"{root}/published"))
+    version = publication.read(spark, f"{root}/published", last)["version"]
+    return {"number": last, "version": version, "path": f"{root}/versions/{version}"}
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:

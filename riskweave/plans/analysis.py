@@ -277,6 +277,36 @@ def mann_whitney_in_ranges(v: Views) -> DataFrame:
     return statistics.mann_whitney(gaps, "amount", "alert_flag", range_values=100)
 
 
+# Ways to choose the first group's ranks, by how many are chosen and their sum: one rank after the other.
+_EXACT = """
+SELECT u AS mann_whitney_u, n_yes, n_no, round(least(1, 2 * (SELECT sum(ways) FROM done WHERE chosen = n_yes AND s - n_yes * (n_yes + 1) / 2 >= greatest(u, n_yes * n_no - u))
+  / (SELECT sum(ways) FROM done WHERE chosen = n_yes)), 6) AS u_p_value
+FROM (SELECT sum(place) FILTER (yes) - count(*) FILTER (yes) * (count(*) FILTER (yes) + 1) / 2 AS u,
+      (count(*) FILTER (yes))::DOUBLE AS n_yes, (count(*) FILTER (NOT yes))::DOUBLE AS n_no FROM
+      (SELECT yes, (row_number() OVER (ORDER BY value))::DOUBLE AS place FROM days) r) t
+"""
+_DAYS = """
+WITH RECURSIVE days AS (SELECT day(timestamp) <= 7 AS yes, sum(amount) AS value FROM scored GROUP BY timestamp::DATE, 1),
+ways AS (
+  SELECT 0 AS k, 0 AS chosen, 0 AS s, 1::DOUBLE AS ways
+  UNION ALL
+  SELECT k, chosen, s, sum(ways) FROM (
+    SELECT k + 1 AS k, chosen, s, ways FROM ways WHERE k < (SELECT count(*) FROM days)
+    UNION ALL SELECT k + 1, chosen + 1, s + k + 1, ways FROM ways WHERE k < (SELECT count(*) FROM days) AND chosen < 8) x
+  GROUP BY k, chosen, s),
+done AS (SELECT * FROM ways WHERE k = (SELECT count(*) FROM days))
+"""
+
+
+@query("ST4", f"SELECT * FROM ({_DAYS}{_EXACT}) e", "scored")
+def first_week_mann_whitney(v: Views) -> DataFrame:
+    """Daily payment values of the first week against the other days: so few that p is exact."""
+    days = v.scored.groupBy(F.to_date("timestamp").alias("day")).agg(F.sum("amount").alias("value"))
+    days = days.withColumn("first_week", F.dayofmonth("day") <= 7)
+    tested = statistics.with_u_p(statistics.mann_whitney(days, "value", "first_week", sizes=True))
+    return tested.select("mann_whitney_u", "n_yes", "n_no", "u_p_value")
+
+
 @query("ST5 W11", """
 SELECT round(corr(rx, ry), 6) AS spearman_rho, count(*) AS n FROM (
   SELECT rank() OVER (ORDER BY amount) + (count(*) OVER (PARTITION BY amount) - 1) / 2.0::DOUBLE AS rx,

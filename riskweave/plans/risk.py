@@ -53,11 +53,18 @@ def screened_with_sliced_list(v: Views) -> DataFrame:
     )
 
 
-@query("E8", "SELECT 'blank name' AS problem, counterparty_name AS value FROM requested WHERE normal = ''", "requested")
+@query("E8", """
+SELECT 'blank name' AS problem, c_name AS value FROM (
+  SELECT CASE WHEN c_acctbal < 0 THEN repeat('-', 1 + c_nationkey::INT) ELSE c_name END AS c_name FROM customer) n
+WHERE trim(regexp_replace(lower(c_name), '[^a-z0-9 ]', ' ', 'g')) = ''
+UNION ALL SELECT 'no active candidate', NULL
+""")
 def screening_input_problems(v: Views) -> DataFrame:
-    return screening.screening_problems(
-        v.counterparties, screening.candidates(v.watchlist), "counterparty_name"
-    )
+    """Customers as names to screen, those in debt with a name of signs only, against a list without active entities."""
+    name = F.when(F.col("c_acctbal") < 0, F.repeat(F.lit("-"), 1 + F.col("c_nationkey").cast("int"))).otherwise(F.col("c_name"))
+    names = v.table("customer").select(name.alias("counterparty_name"))
+    inactive = v.watchlist.withColumn("active", F.lit(False))
+    return screening.screening_problems(names, screening.candidates(inactive), "counterparty_name")
 
 
 _QUALITY = """
@@ -245,9 +252,12 @@ def payment_score_lookup(v: Views) -> DataFrame:
     )
 
 
-@query("R9", "SELECT transaction_id FROM all_payments WHERE NOT amount > 0", "all_payments")
+@query("R9", "SELECT transaction_id || '-VOID' AS transaction_id FROM all_payments", "all_payments")
 def unknown_score_requests(v: Views) -> DataFrame:
-    _, unknown = alerts.payment_scores(v.all_payments, v.payments.withColumns({
+    """Every payment id is requested, and every id with an ending that no payment has."""
+    ids = v.all_payments.select("transaction_id")
+    requests = ids.union(ids.select(F.concat("transaction_id", F.lit("-VOID"))))
+    _, unknown = alerts.payment_scores(requests, v.all_payments.withColumns({
         "model_probability": F.lit(0.0), "rule_review": F.lit(False), "recommendation": F.lit("CLEAR"),
         "risk_score": F.lit(0), **{r.feature: F.lit(0) for r in v.controls.rules},
     }), v.controls, MODEL_THRESHOLD)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import asdict
+from dataclasses import asdict, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.config import controls_from_dict
+from riskweave.config import Controls, controls_from_dict
 from riskweave.operators import aggregates, rules, warehouse
 from riskweave.plans.registry import query, r6, us
-from riskweave.plans.views import Views
+from riskweave.plans.views import CONTROLS, Views
 from riskweave.schemas import PAYMENTS, WATCHLIST
 from riskweave.session import shared_folder
 from riskweave.sources import files, sinks
@@ -94,21 +94,31 @@ def rules_from_document(v: Views) -> DataFrame:
     return ruled.select("transaction_id", "risk_score", "rule_reasons", "rule_review")
 
 
-@query("SRC3 R5", """
-SELECT rule_id, count(*) AS payments, sum(rule_score)::BIGINT AS score FROM (
-  SELECT unnest(regexp_extract_all(rule_reasons, 'R0[1-7]')) AS rule_id FROM ruled) f
-JOIN (VALUES ('R01', 30), ('R02', 20), ('R03', 10), ('R04', 30), ('R05', 20), ('R06', 50), ('R07', 25)) r(rule_id, rule_score)
-  USING (rule_id)
-GROUP BY 1
-""", "ruled")
+#: Thresholds and scores in the written document that differ from the defaults.
+_CHANGED = {"R01": (2, 35), "R04": (1, 15), "R06": (60, 45)}
+
+
+def _changed(controls: Controls) -> Controls:
+    rules_ = tuple(
+        replace(r, threshold=_CHANGED[r.rule_id][0], score=_CHANGED[r.rule_id][1]) if r.rule_id in _CHANGED else r
+        for r in controls.rules
+    )
+    return controls.with_(rules=rules_)
+
+
+@query("SRC3 R5 R1", " UNION ALL ".join(
+    f"SELECT '{r.rule_name}' AS rule_name, count(*) AS payments, (count(*) * {r.score})::BIGINT AS score FROM featured"
+    f" WHERE {r.feature} >= {r.threshold} HAVING count(*) > 0" for r in _changed(CONTROLS).rules
+), "featured")
 def rules_from_file(v: Views) -> DataFrame:
-    """The rule list read from a JSON file in the shared folder, joined to the payments it fired on."""
+    """Controls read from a JSON file with thresholds of its own, and its rule list joined by name to where they fired."""
     path = _target(v, "controls")
-    text = json.dumps(asdict(v.controls))
+    text = json.dumps(asdict(_changed(v.controls)))
     v.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
-    listed = files.read_rules(v.spark, path).select("rule_id", "score")
-    ruled = rules.apply_rules(v.featured, v.controls)
-    fired = ruled.select(F.explode(F.regexp_extract_all("rule_reasons", F.lit("R0[1-7]"), 0)).alias("rule_id"))
-    return fired.join(listed, "rule_id").groupBy("rule_id").agg(
+    document = json.loads(v.spark.read.text(path, wholetext=True).first()[0])
+    listed = files.read_rules(v.spark, path).select("rule_name", "score")
+    ruled = rules.apply_rules(v.featured, controls_from_dict(document))
+    fired = ruled.where("rule_reasons <> ''").select(F.explode(F.split("rule_reasons", r"\|")).alias("rule_name"))
+    return fired.join(listed, "rule_name").groupBy("rule_name").agg(
         F.count(F.lit(1)).alias("payments"), F.sum("score").cast("bigint").alias("score")
     )

@@ -1,4 +1,5 @@
 import datetime
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from riskweave.operators import aggregates, contracts, marts, measures, warehouse
 from riskweave.plans.views import Views
 from riskweave.schemas import WATCHLIST
-from riskweave.sources import files, sinks
+from riskweave.sources import files, publication, sinks
 from tests.conftest import TINY
 
 
@@ -169,3 +170,61 @@ def test_manifest_digest_ignores_order_and_layout(spark, tmp_path):
     exported = sinks.export_tables({"a": frame}, str(tmp_path)).first()
     assert exported.digest == manifest["a"].digest
     assert spark.read.csv(str(tmp_path / "a"), header=True).count() == 100
+
+
+def test_two_publishers_never_hide_each_other(spark, star, views, tmp_path):
+    """Both started from the same log: both versions are in it, in an order that no clock decides."""
+    root = str(tmp_path / "warehouse")
+    small = {name: star[name] for name in ("dim_risk_category", "dim_payment_channel")}
+    first = warehouse.publish(small, root)
+    with ThreadPool(6) as pool:
+        versions = pool.map(lambda _: warehouse.publish(small, root), range(6))
+    log = publication.entries(spark, f"{root}/published")
+    assert log == list(range(1, 8))
+    assert {publication.read(spark, f"{root}/published", n)["version"] for n in log} == {first, *versions}
+    assert warehouse.published(spark, root)["number"] == 7
+
+
+def test_a_load_built_on_an_older_version_fails(spark, star, tmp_path):
+    root = str(tmp_path / "warehouse")
+    small = {"dim_risk_category": star["dim_risk_category"]}
+    warehouse.publish(small, root, after=0)
+    second = warehouse.publish(small, root, after=1)
+    with pytest.raises(publication.PublicationConflict):
+        warehouse.publish(small, root, after=1)
+    assert warehouse.published(spark, root)["version"] == second
+
+
+def test_an_entry_is_made_once(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    assert publication.entries(spark, folder) == []
+    assert publication.put_if_absent(spark, folder, 1, {"version": "a"})
+    assert not publication.put_if_absent(spark, folder, 1, {"version": "b"})
+    assert publication.read(spark, folder, 1) == {"version": "a"} and publication.entries(spark, folder) == [1]
+
+
+def test_constraints_read_each_table_once(spark, star, tmp_path):
+    paths = {}
+    for name, frame in star.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        paths[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    plan = contracts.check_constraints(paths, warehouse.STAR_CONSTRAINTS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == len(star)
+
+
+def test_nulls_and_empty_tables_in_constraints(spark):
+    kinds = [
+        contracts.Constraint("primary", "p", "k"), contracts.Constraint("unique", "p", "u"), contracts.Constraint("not_null", "f", "k"),
+        contracts.Constraint("foreign", "f", "k", "p", "k"), contracts.Constraint("not_null", "p", "v"), contracts.Constraint("foreign", "f", "j", "p", "k"),
+    ]
+    tables = {
+        "p": spark.createDataFrame([(1, "a", None), (2, None, 1), (2, None, 1), (None, "b", 1)], "k int, u string, v int"),
+        "f": spark.createDataFrame([(1, 1), (None, None), (9, 2), (9, 1)], "k long, j long"),
+    }
+    found = {r.constraint: r.violations for r in contracts.check_constraints(tables, kinds).collect()}
+    assert found == {
+        "primary:p.k": 2, "unique:p.u": 0, "not_null:f.k": 1, "foreign:f.k->p.k": 2, "not_null:p.v": 1, "foreign:f.j->p.k": 0,
+    }
+    empty = {name: frame.limit(0) for name, frame in tables.items()}
+    assert {r.violations for r in contracts.check_constraints(empty, kinds).collect()} == {0}
+    assert contracts.check_constraints(empty, kinds).count() == len(kinds)
