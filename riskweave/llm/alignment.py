@@ -29,6 +29,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -45,10 +46,12 @@ from riskweave.session import materialise
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Chunks a worker remembers with their links.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: A pair of ids is one number: A's id times this, and B's id.
 WIDE = 1 << 20
-SLICE = 6 << 20
+SLICE = 3 << 20
+#: Numbers before a chunk's pairs: its tokens of A and B, groups, overlap links, shared-group links.
+HEAD = 5
 SEEN = "doc_id long, n_a long, n_b long, n_groups long, n_overlaps long, n_shared long, pairs array<long>, groups_sha256 string"
 
 
@@ -139,14 +142,36 @@ class Pair:
         by_id = {k: bytes(back[c] for c in entry) for entry, k in entries.items() if all(c in back for c in entry)}
         self.bytes = [by_id.get(k, b"") for k in range(max(by_id) + 1)], [piece_bytes(x) for x in names]
         self.lengths = tuple(np.array([len(x) for x in table], np.int64) for table in self.bytes)
-
-    def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
-        """Ids of chunks, which all begin with a space; B is not given that one."""
-        special = [any(s in t for s in self.special) for t in texts]
-        quick = iter(chunks.ids_of(self.quick, [t for t, s in zip(texts, special, strict=True) if not s]))
-        plain = iter(self.plain.encode_batch_fast([t for t, s in zip(texts, special, strict=True) if s], add_special_tokens=False))
-        a = [np.array(next(plain).ids, np.uint32) if s else np.frombuffer(next(quick), np.uint32) for s in special]
-        return a, self.pieces.encode([t[1:] for t in texts], num_threads=1)
+        self.flat = tuple(np.frombuffer(b"".join(table), np.uint8) for table in self.bytes)
+        self.text = tuple(pa.array([str(k) for k in range(len(table))], pa.large_string()) for table in self.bytes)
+
+    def ids(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+        """(ids of all chunks, how many each has) of A and B. Chunks begin with a space, which B is not given."""
+        special = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
+        if special:
+            own = set(special)
+            rest = iter(chunks.ids_of(self.quick, [t for k, t in enumerate(texts) if k not in own]))
+            odd = iter(self.plain.encode_batch_fast([texts[k] for k in special], add_special_tokens=False))
+            a = [np.array(next(odd).ids, np.uint32).tobytes() if k in own else next(rest) for k in range(len(texts))]
+        else:
+            a = chunks.ids_of(self.quick, texts)
+        b = self.pieces.encode([t[1:] for t in texts], num_threads=1)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(texts)) for x in (a, b))
+        flat_b = np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum()))
+        return (np.frombuffer(b"".join(a), np.uint32).astype(np.int64), n_a // 4), (flat_b, n_b)
+
+    def given_back(self, side: int, ids: np.ndarray, n: np.ndarray, bounds: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Which texts the bytes of their tokens equal; texts lie in ``data`` between ``bounds``."""
+        length = self.lengths[side][ids]
+        ends = np.concatenate(([0], np.cumsum(length)))[np.cumsum(n)]
+        good = np.diff(ends, prepend=0) == np.diff(bounds)
+        kept = np.repeat(good, n)
+        found = gather(ids[kept], self.lengths[side], self.flat[side])
+        size = np.diff(bounds)[good]
+        wrong = found != data[np.repeat(good, np.diff(bounds))]
+        if wrong.any():
+            good[np.flatnonzero(good)[np.searchsorted(np.cumsum(size), np.flatnonzero(wrong), "right")]] = False
+        return good
 
 
 def unicode_bytes() -> dict[str, int]:
@@ -185,42 +210,42 @@ def cut(column: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     return np.searchsorted(starts, bounds), found.dictionary_encode()
 
 
-def aligned(both: Pair, texts: list[str]) -> list[tuple | None]:
-    """(counts of A, B, groups, overlaps, shared; id pairs that end together; groups as text) of chunks.
+def aligned(both: Pair, texts: list[str]) -> list[bytes]:
+    """``HEAD`` counts, the id pairs that end together, and the groups as text, of each chunk as one value.
 
-    None for a chunk that its tokens do not give back.
+    Empty for a chunk that its tokens do not give back.
     """
-    ids_a, ids_b = both.ids(texts)
-    out: list[tuple | None] = [None] * len(texts)
-    name_a, name_b = both.bytes
-    good = [
-        k for k, t in enumerate(texts)
-        if b"".join([name_a[i] for i in ids_a[k].tolist()]) == (raw := t.encode()) == b"".join([name_b[i] for i in ids_b[k]]) and raw
-    ]
-    if not good:
+    if not texts:
+        return []
+    bounds, data = byte_view(pa.array(texts, pa.large_string()))
+    (a, n_a), (b, n_b) = both.ids(texts)
+    good = both.given_back(0, a, n_a, bounds, data) & both.given_back(1, b, n_b, bounds, data) & (np.diff(bounds) > 0)
+    out = [b""] * len(texts)
+    if not good.any():
         return out
-    a, b = np.concatenate([ids_a[k] for k in good]).astype(np.int64), np.concatenate([np.array(ids_b[k], np.int64) for k in good])
+    a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
     # The chunks lie one after another, so the matrices are those of one text.
     size_a, size_b = (table[x] for table, x in zip(both.lengths, (a, b), strict=True))
     link = overlaps(size_a, size_b)
     rows, ends_a, ends_b = link.rows, np.cumsum(size_a), np.cumsum(size_b)
     together = ends_a[rows] == ends_b[link.indices]
-    pairs = a[rows[together]] * WIDE + b[link.indices[together]]
+    pairs = (a[rows[together]] * WIDE + b[link.indices[together]]).tobytes()
     group_a, group_b, n = grouped(size_a, size_b)
     in_a, in_b = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)
-    text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    cut_a, cut_b = np.concatenate(([0], np.cumsum(in_a))).tolist(), np.concatenate(([0], np.cumsum(in_b))).tolist()
-    said = [f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}" for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]
-    ends = np.cumsum([len(texts[k].encode()) for k in good])
-    of_a, of_b = np.searchsorted(ends_a, ends, "right"), np.searchsorted(ends_b, ends, "right")
+    of_a, of_b = np.cumsum(n_a[good]), np.cumsum(n_b[good])
     of_group = group_a[of_a - 1] + 1
-    of_link = link.indptr[of_a]
     # Entries of the product of group incidences: of each group, all its A with all its B.
     of_shared = np.cumsum(in_a * in_b)[of_group - 1]
-    columns = [np.diff(x, prepend=0).tolist() for x in (of_a, of_b, of_group, of_link, of_shared)]
-    begin = 0
-    for k, counts, stop in zip(good, zip(*columns, strict=True), of_group.tolist(), strict=True):
-        out[k] = counts, pairs[begin:stop].tobytes(), ";".join(said[begin:stop]).encode()
+    counts = np.column_stack([np.diff(x, prepend=0) for x in (of_a, of_b, of_group, link.indptr[of_a], of_shared)]).astype("<i8").tobytes()
+    said = ["", ""]
+    for side, ids, own in ((0, a, in_a), (1, b, in_b)):
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(own))), pa.int32()), both.text[side].take(pa.array(ids)))
+        said[side] = pc.binary_join(lists, pa.scalar(",", pa.large_string()))
+    groups = pc.binary_join_element_wise(*said, pa.scalar("|", pa.large_string()))
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], of_group)), pa.int32()), groups), pa.scalar(";", pa.large_string()))
+    begin, head = 0, 8 * HEAD
+    for k, at, stop, text in zip(np.flatnonzero(good).tolist(), range(0, len(counts), head), of_group.tolist(), whole.to_pylist(), strict=True):
+        out[k] = counts[at : at + head] + pairs[8 * begin : 8 * stop] + text.encode()
         begin = stop
     return out
 
@@ -240,18 +265,21 @@ def align(docs: DataFrame, first: str = BYTES, second: str = PIECES) -> DataFram
             bounds, found = cut(batch["text"])
             values = known(found.dictionary.to_pylist())
             codes = found.indices.to_numpy(False)
-            none = (0,) * 5
-            counts = np.array([none if v is None else v[0] for v in values], np.int64).reshape(-1, 5)
-            said, linked = [v and v[2] for v in values], [b"" if v is None else v[1] for v in values]
-            bad = np.array([v is None for v in values], bool)
-            wrong = np.add.reduceat(bad[codes], bounds[:-1]) > 0 if len(codes) else np.zeros(0, bool)
+            bad = np.array([not v for v in values], bool)
+            values = [v or bytes(8 * HEAD) for v in values]
+            ends = np.cumsum(np.fromiter(map(len, values), np.int64, len(values)))
+            starts = np.concatenate(([0], ends[:-1]))
+            flat = np.frombuffer(b"".join(values), np.uint8)
+            counts = flat[starts[:, None] + np.arange(8 * HEAD)].copy().view("<i8")
+            wrong = np.add.reduceat(bad[codes], bounds[:-1]) > 0
             sums = np.add.reduceat(counts[codes], bounds[:-1], axis=0)
             sums[wrong] = 0
-            length = np.fromiter(map(len, linked), np.int64, len(linked)) // 8
-            pairs = gather(codes, length, np.frombuffer(b"".join(linked), np.int64))
-            place = np.concatenate(([0], np.cumsum(length[codes])))[bounds]
-            if wrong.any():
-                pairs = pairs[np.repeat(~wrong, np.diff(place))]
+            # Pairs of the chunks in their order, without those of texts that are not given back.
+            kept = codes[np.repeat(~wrong, np.diff(bounds))]
+            size = 8 * counts[kept, 2]
+            at = np.repeat(starts[kept] + 8 * HEAD - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            pairs = flat[at].view("<i8")
+            said = [v[n:] for v, n in zip(values, (8 * HEAD + 8 * counts[:, 2]).tolist(), strict=True)]
             digests, order = [], codes.tolist()
             for a, b, no in zip(bounds[:-1].tolist(), bounds[1:].tolist(), wrong.tolist(), strict=True):
                 digests.append("" if no else hashlib.sha256(b";".join([said[c] for c in order[a:b]])).hexdigest())
@@ -277,13 +305,14 @@ def links(docs: DataFrame, shared: bool = False, first: str = BYTES, second: str
         for batch in slices(batches, size=1 << 20):
             bounds, found = cut(batch["text"])
             names = found.dictionary.to_pylist()
-            ids, codes = both.ids(names), found.indices.to_numpy(False)
-            good = np.array([v is not None for v in aligned(both, names)], bool)
+            codes = found.indices.to_numpy(False)
+            ids = [np.split(x, np.cumsum(n)[:-1]) for x, n in both.ids(names)]
+            good = np.array([v != b"" for v in aligned(both, names)], bool)
             for k in range(batch.num_rows):
                 own = codes[bounds[k] : bounds[k + 1]]
                 if not good[own].all():
                     continue
-                a, b = (np.concatenate([np.array(ids[side][c], np.int64) for c in own]) for side in (0, 1))
+                a, b = (np.concatenate([ids[side][c] for c in own]) for side in (0, 1))
                 sizes = [table[x] for table, x in zip(both.lengths, (a, b), strict=True)]
                 link = shared_groups(*sizes) if shared else overlaps(*sizes)
                 rows = link.rows
