@@ -1,7 +1,7 @@
 """Case workflow: idempotent creation, review actions folded into state, audit trail.
 
-Actions are applied in the order of their unique ``action_id``. An action maps a status to a
-status, so any run of actions is summed up by where it takes each of the four statuses, and runs
+Actions are applied in the order of their unique ``action_id``. An alert with a bounded number of
+actions is folded in one aggregate. For busier ones, an action maps a status to a status, so any run of actions is summed up by where it takes each of the four statuses, and runs
 of runs likewise. Actions are laid out by alert and id, summed up over groups of a bounded number,
 these again, until every alert is one group; then every group's start is handed down to what it
 holds. So an alert with very many actions is folded in parallel, and no array is longer than a
@@ -139,9 +139,51 @@ def _started(groups: DataFrame, starts: DataFrame) -> DataFrame:
     return rows.select("alert_id", "x.at", "x.start")
 
 
+def _verdict(status: Column, action: Column) -> Column:
+    """Why an action is refused in a status, or null."""
+    allowed = F.lit(False)
+    for name, targets in TRANSITIONS.items():
+        allowed = allowed | ((status == name) & action["status"].isin(*targets))
+    moved = F.when(~F.coalesce(allowed, F.lit(False)), "INVALID_TRANSITION")
+    return F.coalesce(action["before_problem"], moved, action["after_problem"])
+
+
+def _folded_whole(known: DataFrame) -> DataFrame:
+    """(action_id, status_before, action_before, problem), an alert's actions in one aggregate."""
+    action = F.struct("action_id", "status", "before_problem", "after_problem")
+    alerts = known.groupBy("alert_id").agg(F.sort_array(F.collect_list(action)).alias("items"), F.first("case_status").alias("status"))
+    row = "struct<action_id:bigint,status_before:string,action_before:bigint,problem:string>"
+    kind = f"struct<status:string,last:bigint,seen:array<{row}>>"
+    begin = F.struct(F.col("status"), F.lit(None).alias("last"), F.array().alias("seen")).cast(kind)
+
+    def step(state: Column, item: Column) -> Column:
+        problem = _verdict(state["status"], item)
+        here = F.struct(
+            item["action_id"].alias("action_id"), state["status"].alias("status_before"),
+            state["last"].alias("action_before"), problem.alias("problem"),
+        )
+        return F.struct(
+            F.when(problem.isNull(), item["status"]).otherwise(state["status"]).alias("status"),
+            F.when(problem.isNull(), item["action_id"]).otherwise(state["last"]).alias("last"),
+            F.concat(state["seen"], F.array(here)).alias("seen"),
+        ).cast(kind)
+
+    return alerts.select(F.explode(F.aggregate("items", begin, step)["seen"]).alias("x")).select("x.*")
+
+
 def _folded(known: DataFrame, run_rows: int) -> DataFrame:
     """(action_id, status_before, action_before, problem) of actions on known alerts."""
     known = materialise(known)
+    busy = materialise(known.groupBy("alert_id").count().where(F.col("count") > run_rows).select("alert_id"))
+    if busy.isEmpty():
+        return _folded_whole(known)
+    short = known.join(busy, "alert_id", "left_anti").select(known.columns)
+    long = known.join(busy, "alert_id", "left_semi").select(known.columns)
+    return _folded_whole(short).unionByName(_folded_in_levels(long, run_rows))
+
+
+def _folded_in_levels(known: DataFrame, run_rows: int) -> DataFrame:
+    """The same for alerts with any number of actions: runs summed up, then runs of runs."""
     parts = max(1, -(-known.count() // PART_ROWS))
     laid = known.repartitionByRange(parts, "alert_id", "action_id").sortWithinPartitions("alert_id", "action_id")
     laid = materialise(laid.withColumn("at", F.monotonically_increasing_id()))
@@ -158,13 +200,10 @@ def _folded(known: DataFrame, run_rows: int) -> DataFrame:
     for groups in reversed(levels):
         starts = _started(groups, starts)
     rows = laid.join(starts, ["alert_id", "at"])
-    allowed = F.lit(False)
-    for status, targets in TRANSITIONS.items():
-        allowed = allowed | ((F.col("start.status") == status) & F.col("status").isin(*targets))
-    moved = F.when(~F.coalesce(allowed, F.lit(False)), "INVALID_TRANSITION")
+    action = F.struct("status", "before_problem", "after_problem")
     return rows.select(
         "action_id", F.col("start.status").alias("status_before"), F.col("start.last").alias("action_before"),
-        F.coalesce("before_problem", moved, "after_problem").alias("problem"),
+        _verdict(F.col("start.status"), action).alias("problem"),
     )
 
 

@@ -270,17 +270,56 @@ VISUALS: dict[str, dict[str, tuple[str, str, str]]] = {
 }
 
 
+def _grouped_once(tables: dict[str, DataFrame], frame: DataFrame, table: str, axes: list[tuple[str, str]], names: list[str]) -> DataFrame:
+    """(axis, group_value, base measures) of one fact by every axis, from one scan: a grouping set an axis.
+
+    Rows are merged by key before they meet their dimension. A key without a row there is left out.
+    """
+    by_dimension = [(d, c) for d, c in axes if d in DIMENSIONS and d != table]
+    keys = list(dict.fromkeys(DIMENSIONS[d][1] if (d, c) in by_dimension else c for d, c in axes))
+    grouped = frame.groupingSets([[F.col(k)] for k in keys], *keys).agg(F.grouping_id().alias("set"), *_partials(names))
+    # A set's id has a one for every key that it leaves out.
+    ids = {k: (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
+    value = F.coalesce(*(F.when(F.col("set") == ids[k], F.col(k).cast("string")) for k in keys))
+    merged = grouped.select("set", value.alias("value"), *[c for c in grouped.columns if c not in (*keys, "set")])
+    parts = []
+    own = [(d, c) for d, c in axes if (d, c) not in by_dimension]
+    if own:
+        axis = F.coalesce(*(F.when(F.col("set") == ids[c], F.lit(f"{d}.{c}")) for d, c in own))
+        parts.append(merged.withColumn("axis", axis).where("axis is not null").withColumnRenamed("value", "group_value"))
+    if by_dimension:
+        labels = reduce(DataFrame.unionByName, [
+            tables[d].select(
+                F.lit(ids[DIMENSIONS[d][1]]).cast("long").alias("set"), F.col(DIMENSIONS[d][0]).cast("string").alias("value"),
+                F.lit(f"{d}.{c}").alias("axis"), F.col(c).cast("string").alias("group_value"),
+            )
+            for d, c in by_dimension
+        ])
+        parts.append(merged.join(labels, ["set", "value"]).drop("value"))
+    # With both kinds the merged rows are read twice; a page asks for them by one exchange that Spark reuses.
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("axis", "group_value").agg(*_finals(names))
+
+
 def page_visuals(tables: dict[str, DataFrame], page: str, filters: Filters | None = None) -> DataFrame:
-    """All grouped visuals of a page as (visual, group_value, value) rows."""
-    parts = [
-        measure_by(tables, [measure], (table, column), filters).select(
-            F.lit(name).alias("visual"),
-            F.col("group_value").cast("string").alias("group_value"),
-            F.col(f"`{measure}`").alias("value"),
-        )
-        for name, (measure, table, column) in VISUALS[page].items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """All grouped visuals of a page as (visual, group_value, value) rows; each fact is scanned once."""
+    facts = filtered_facts(tables, filters or {})
+    wanted: dict[str, tuple[list, list]] = {}
+    for measure, dimension, column in VISUALS[page].values():
+        for name in base_measures([measure]):
+            axes, names = wanted.setdefault(MEASURES[name].table, ([], []))
+            axes += [(dimension, column)] * ((dimension, column) not in axes)
+            names += [name] * (name not in names)
+    results = [_grouped_once(tables, facts[t], t, axes, names) for t, (axes, names) in wanted.items()]
+    bases = [n for _, names in wanted.values() for n in names]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
+    # A group comes once a fact, so the largest of its values is the only one.
+    together = together.groupBy("axis", "group_value").agg(*(F.max(f"`{n}`").alias(n) for n in bases))
+    rows = F.explode(F.array(*(
+        F.struct(F.lit(name).alias("visual"), F.when(F.col("axis") == f"{d}.{c}", evaluate(measure)).alias("value"))
+        for name, (measure, d, c) in VISUALS[page].items()
+    )))
+    return together.select("group_value", rows.alias("v")).select("v.visual", "group_value", "v.value").where("value is not null")
 
 
 def amount_risk_points(transactions: DataFrame) -> DataFrame:

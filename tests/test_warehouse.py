@@ -228,3 +228,27 @@ def test_nulls_and_empty_tables_in_constraints(spark):
     empty = {name: frame.limit(0) for name, frame in tables.items()}
     assert {r.violations for r in contracts.check_constraints(empty, kinds).collect()} == {0}
     assert contracts.check_constraints(empty, kinds).count() == len(kinds)
+
+
+def test_a_page_scans_each_fact_once(spark, views, tmp_path):
+    """And gives what the measures give one visual at a time, filtered or not."""
+    tables = {}
+    for name, frame in views.marts.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    channel = tables["dim_payment_channel"].first()["payment_channel"]
+    for page, visuals in measures.VISUALS.items():
+        for filters in (None, {("dim_payment_channel", "payment_channel"): [channel]}):
+            whole = measures.page_visuals(tables, page, filters)
+            got = sorted((r.visual, str(r.group_value), round(r.value, 6)) for r in whole.collect())
+            want = sorted(
+                (name, str(r.group_value), round(r[measure], 6))
+                for name, (measure, table, column) in visuals.items()
+                for r in measures.measure_by(tables, [measure], (table, column), filters).collect()
+            )
+            assert got == want, page
+    plan = measures.page_visuals(tables, "executive")._jdf.queryExecution().executedPlan().toString()
+    whole = measures.page_visuals(tables, "executive")
+    whole.collect()
+    final = whole._jdf.queryExecution().executedPlan().toString()
+    assert final.split("Initial Plan")[0].count("fact_screening_alerts]") <= 1, plan
