@@ -282,23 +282,20 @@ def _grouped_once(tables: dict[str, DataFrame], frame: DataFrame, table: str, ax
     ids = {k: (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
     value = F.coalesce(*(F.when(F.col("set") == ids[k], F.col(k).cast("string")) for k in keys))
     merged = grouped.select("set", value.alias("value"), *[c for c in grouped.columns if c not in (*keys, "set")])
-    parts = []
-    own = [(d, c) for d, c in axes if (d, c) not in by_dimension]
-    if own:
-        axis = F.coalesce(*(F.when(F.col("set") == ids[c], F.lit(f"{d}.{c}")) for d, c in own))
-        parts.append(merged.withColumn("axis", axis).where("axis is not null").withColumnRenamed("value", "group_value"))
+    own = [(F.col("set") == ids[c], f"{d}.{c}") for d, c in axes if (d, c) not in by_dimension]
+    axis = F.coalesce(F.lit(None).cast("string"), *(F.when(here, F.lit(name)) for here, name in own))
+    rows = merged.withColumn("axis", axis).withColumn("group_value", F.col("value"))
     if by_dimension:
         labels = reduce(DataFrame.unionByName, [
             tables[d].select(
                 F.lit(ids[DIMENSIONS[d][1]]).cast("long").alias("set"), F.col(DIMENSIONS[d][0]).cast("string").alias("value"),
-                F.lit(f"{d}.{c}").alias("axis"), F.col(c).cast("string").alias("group_value"),
+                F.lit(f"{d}.{c}").alias("named"), F.col(c).cast("string").alias("label"),
             )
             for d, c in by_dimension
         ])
-        parts.append(merged.join(labels, ["set", "value"]).drop("value"))
-    # With both kinds the merged rows are read twice; a page asks for them by one exchange that Spark reuses.
-    rows = reduce(DataFrame.unionByName, parts)
-    return rows.groupBy("axis", "group_value").agg(*_finals(names))
+        rows = rows.join(labels, ["set", "value"], "left").withColumn("group_value", F.when(F.col("axis").isNull(), F.col("label")).otherwise(F.col("value")))
+        rows = rows.withColumn("axis", F.coalesce("axis", "named"))
+    return rows.where("axis is not null").groupBy("axis", "group_value").agg(*_finals(names))
 
 
 def page_visuals(tables: dict[str, DataFrame], page: str, filters: Filters | None = None) -> DataFrame:
@@ -310,6 +307,8 @@ def page_visuals(tables: dict[str, DataFrame], page: str, filters: Filters | Non
             axes, names = wanted.setdefault(MEASURES[name].table, ([], []))
             axes += [(dimension, column)] * ((dimension, column) not in axes)
             names += [name] * (name not in names)
+    if not filters and BRIDGE in wanted and all(d == BRIDGE for d, _ in wanted[BRIDGE][0]):
+        facts[BRIDGE] = tables[BRIDGE]  # its rows come from the alerts: without filters they need not be met again
     results = [_grouped_once(tables, facts[t], t, axes, names) for t, (axes, names) in wanted.items()]
     bases = [n for _, names in wanted.values() for n in names]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
