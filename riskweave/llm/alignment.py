@@ -47,9 +47,11 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Chunks a worker remembers with their links.
 REMEMBERED = 100_000
+#: Chunks whose matrices are made together.
+TOGETHER = 16_000
 #: A pair of ids is one number: A's id times this, and B's id.
 WIDE = 1 << 20
-SLICE = 3 << 20
+SLICE = 2 << 20
 #: Numbers before a chunk's pairs: its tokens of A and B, groups, overlap links, shared-group links.
 HEAD = 5
 SEEN = "doc_id long, n_a long, n_b long, n_groups long, n_overlaps long, n_shared long, pairs array<long>, groups_sha256 string"
@@ -253,7 +255,12 @@ def aligned(both: Pair, texts: list[str]) -> list[bytes]:
 @cache
 def remembered(first: str, second: str) -> Remembering:
     chunks.forget()
-    return Remembering(lambda new: aligned(pair(first, second), new), REMEMBERED)
+    both = pair(first, second)
+
+    def values(new: list[str]) -> list[bytes]:
+        return [v for k in range(0, len(new), TOGETHER) for v in aligned(both, new[k : k + TOGETHER])]
+
+    return Remembering(values, REMEMBERED)
 
 
 def align(docs: DataFrame, first: str = BYTES, second: str = PIECES) -> DataFrame:
@@ -267,19 +274,16 @@ def align(docs: DataFrame, first: str = BYTES, second: str = PIECES) -> DataFram
             codes = found.indices.to_numpy(False)
             bad = np.array([not v for v in values], bool)
             values = [v or bytes(8 * HEAD) for v in values]
-            ends = np.cumsum(np.fromiter(map(len, values), np.int64, len(values)))
-            starts = np.concatenate(([0], ends[:-1]))
-            flat = np.frombuffer(b"".join(values), np.uint8)
-            counts = flat[starts[:, None] + np.arange(8 * HEAD)].copy().view("<i8")
+            counts = np.frombuffer(b"".join([v[: 8 * HEAD] for v in values]), "<i8").reshape(-1, HEAD)
+            own = counts[:, 2]
+            bodies = [(8 * HEAD, 8 * (HEAD + n)) for n in own.tolist()]
+            linked = np.frombuffer(b"".join([v[i:j] for v, (i, j) in zip(values, bodies, strict=True)]), "<i8")
             wrong = np.add.reduceat(bad[codes], bounds[:-1]) > 0
-            sums = np.add.reduceat(counts[codes], bounds[:-1], axis=0)
+            sums = np.column_stack([np.add.reduceat(c[codes], bounds[:-1]) for c in counts.T])
             sums[wrong] = 0
             # Pairs of the chunks in their order, without those of texts that are not given back.
-            kept = codes[np.repeat(~wrong, np.diff(bounds))]
-            size = 8 * counts[kept, 2]
-            at = np.repeat(starts[kept] + 8 * HEAD - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            pairs = flat[at].view("<i8")
-            said = [v[n:] for v, n in zip(values, (8 * HEAD + 8 * counts[:, 2]).tolist(), strict=True)]
+            pairs = gather(codes[np.repeat(~wrong, np.diff(bounds))], own, linked)
+            said = [v[j:] for v, (_, j) in zip(values, bodies, strict=True)]
             digests, order = [], codes.tolist()
             for a, b, no in zip(bounds[:-1].tolist(), bounds[1:].tolist(), wrong.tolist(), strict=True):
                 digests.append("" if no else hashlib.sha256(b";".join([said[c] for c in order[a:b]])).hexdigest())
