@@ -11,6 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskweave.operators.cases import TRANSITIONS, action_problem, new_cases
+from riskweave.session import materialise
+from riskweave.sources import key_index
 
 
 def stored_cases(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
@@ -19,11 +21,21 @@ def stored_cases(spark: SparkSession, root: str, schema: StructType) -> DataFram
 
 
 def case_writer(root: str, schema: StructType):
-    """Batch function that adds alerts without a case; safe to repeat for the same batch."""
+    """Batch function that adds alerts without a case; safe to repeat for the same batch.
+
+    It reads the filters of all batches, and of the cases only the batches that may hold an alert.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        existing = stored_cases(batch.sparkSession, root, schema).where(F.col("batch") != batch_id)
-        fresh = new_cases(batch.dropDuplicates(["alert_id"]), existing)
+        spark = batch.sparkSession
+        alerts = materialise(batch.dropDuplicates(["alert_id"]))
+        known = key_index.filters(spark, f"{root}-keys").where(F.col("batch") != str(batch_id))
+        fresh = alerts
+        for held in key_index.batches_with(alerts, "alert_id", known):
+            # A filter is written before its batch, which may be missing after a break.
+            fresh = new_cases(fresh, stored_cases(spark, root, schema).where(F.col("batch") == int(held)))
+        fresh = materialise(fresh)
+        key_index.add(fresh, "alert_id", f"{root}-keys", str(batch_id))
         fresh.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
     return write
