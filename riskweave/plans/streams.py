@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskweave.plans.registry import day, query
 from riskweave.plans.views import Views
 from riskweave.schemas import TABLES
-from riskweave.session import shared_folder
+from riskweave.session import materialise, shared_folder
 from riskweave.streaming import cases as case_streams
 from riskweave.streaming.payments import daily_totals, drain_to_parquet, read_stream
 
@@ -65,3 +65,24 @@ def streamed_review_actions(v: Views) -> DataFrame:
         stream = read_stream(v.spark, source, actions.schema)
         drain_to_parquet(case_streams.fold_actions(stream), target, state)
     return v.spark.read.parquet(target)
+
+
+@query("X3 K3 K4", """
+SELECT f.action_id, f.alert_id, f.problem, coalesce(b.status, 'OPEN') AS status_before,
+       CASE WHEN f.problem IS NULL THEN a.status ELSE coalesce(b.status, 'OPEN') END AS status_after
+FROM fold f JOIN actions a USING (action_id)
+LEFT JOIN actions b ON b.action_id = f.previous_action
+WHERE f.action_id IS NOT NULL
+""", "fold", "actions")
+def streamed_review_actions_any_order(v: Views) -> DataFrame:
+    """Last steps arrive first: actions are held until the watermark has passed them, then folded in order."""
+    source, target, state = scratch(v, "actions"), scratch(v, "verdicts"), scratch(v, "state")
+    actions = materialise(v.review_actions)
+    # One action of no alert, much later, lets the watermark pass all others.
+    end = F.timestamp_micros(F.unix_micros("acted_at") + 50 * 86_400_000_000)
+    tick = actions.orderBy(F.desc("acted_at"), "action_id").limit(1).withColumns({"acted_at": end, "alert_id": F.lit("tick")})
+    for part in (actions.where("action_id % 10 > 2"), actions.where("action_id % 10 = 2"), actions.where("action_id % 10 = 1"), tick):
+        part.write.mode("append").parquet(source)
+        stream = read_stream(v.spark, source, actions.schema)
+        drain_to_parquet(case_streams.fold_actions_in_time(stream, "40 days"), target, state)
+    return v.spark.read.parquet(target).where("alert_id <> 'tick'")

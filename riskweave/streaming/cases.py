@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -94,3 +95,91 @@ def fold_actions(actions: DataFrame) -> DataFrame:
     return checked.groupBy("alert_id").applyInPandasWithState(
         _fold, VERDICT, STATE, "append", GroupStateTimeout.NoTimeout
     )
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HELD = "action_id bigint, at bigint, status string, before_problem string, after_problem string"
+
+
+class InTime(StatefulProcessor):
+    """Holds an alert's actions until the watermark has passed them, then folds them in action order.
+
+    Every action sets a timer at its own time. When one goes off, all actions that the watermark has
+    passed are folded and leave the state; what is later stays held. An alert's status is kept.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.status = handle.getValueState("status", "status string")
+        self.held = handle.getListState("held", HELD)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 (Spark's names)
+        passed, late = timerValues.getCurrentWatermarkInMs(), []
+        for frame in rows:
+            for row in _plain(frame[["action_id", "at", "status", "before_problem", "after_problem"]]):
+                if row[1] <= passed:
+                    late.append(row)
+                    continue
+                self.held.appendValue(row)
+                self.handle.registerTimer(row[1])
+        now = self.status.get()[0] if self.status.exists() else "OPEN"
+        yield _verdicts(key, [(row[0], now, now, row[3] or "OUT_OF_ORDER") for row in late])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = list(self.held.get()) if self.held.exists() else []
+        due = sorted((tuple(r) for r in held if r[1] <= passed), key=lambda r: r[0])
+        if not due:
+            return
+        status, out = self.status.get()[0] if self.status.exists() else "OPEN", []
+        for action, _, target, before, after in due:
+            problem = before or (None if target in TRANSITIONS[status] else "INVALID_TRANSITION") or after
+            out.append((action, status, status if problem else target, problem))
+            status = out[-1][2]
+        self.status.update((status,))
+        rest = [tuple(r) for r in held if r[1] > passed]
+        if rest:
+            self.held.put(rest)
+        else:
+            self.held.clear()
+        yield _verdicts(key, out)
+
+    def close(self) -> None:
+        pass
+
+
+def _plain(frame: pd.DataFrame) -> list[tuple]:
+    """Rows as tuples with None for what is missing."""
+    frame = frame.astype(object)
+    return [tuple(r) for r in frame.where(frame.notna(), None).to_numpy()]
+
+
+def _verdicts(key: tuple, rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(
+        [(action, key[0], before, after, problem) for action, before, after, problem in rows],
+        columns=["action_id", "alert_id", "status_before", "status_after", "problem"],
+    )
+
+
+def fold_actions_in_time(actions: DataFrame, delay: str) -> DataFrame:
+    """The verdicts of the batch fold on a stream whose actions may come in any order within ``delay``.
+
+    Ids of an alert's actions grow with their time. An action's verdict comes once the watermark, the
+    latest time seen less the delay, has passed it; later ones than that are refused as ``OUT_OF_ORDER``
+    or dropped by the watermark. Held actions and timers lie in the state store, so a restart from the
+    checkpoint goes on where it was.
+    """
+    spark = actions.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)  # what state with timers takes
+    before, after = action_problem()
+    checked = (
+        actions.withWatermark("acted_at", delay)
+        .withColumn("case_status", F.lit("OPEN"))
+        .withColumn("before_problem", before)
+        .withColumn("after_problem", after)
+        .withColumn("at", F.unix_millis("acted_at"))
+        .select("alert_id", "action_id", "acted_at", "at", "status", "before_problem", "after_problem")
+    )
+    return checked.groupBy("alert_id").transformWithStateInPandas(
+        statefulProcessor=InTime(), outputStructType=VERDICT, outputMode="Append", timeMode="EventTime",
+    )

@@ -49,3 +49,56 @@ def test_state_is_kept_and_late_actions_are_refused(spark, at, tmp_path):
     assert got == {
         2: ("OPEN", "IN_REVIEW", None), 1: ("IN_REVIEW", "IN_REVIEW", "OUT_OF_ORDER"), 3: ("IN_REVIEW", "CLOSED", None)
     }
+
+
+TICK = 10**6
+
+
+def in_time(spark, at, tmp_path, deliveries, delay="1 hour"):
+    """Verdicts after each delivery, the stream restarted from its checkpoint every time."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    seen = []
+    for rows in deliveries:
+        frame = spark.createDataFrame(rows, REVIEW_ACTIONS).coalesce(1)
+        frame.write.mode("append").parquet(source)
+        stream = payment_streams.read_stream(spark, source, REVIEW_ACTIONS)
+        payment_streams.drain_to_parquet(case_streams.fold_actions_in_time(stream, delay), out, state)
+        seen.append(sorted((r.action_id, r.status_before, r.status_after, r.problem) for r in spark.read.parquet(out).collect() if r.alert_id != "tick"))
+    return seen
+
+
+def action(at, n, alert, status, seconds, actor="ana", disposition=None, reason=None):
+    return (n, alert, status, actor, "notes", disposition, reason, at(seconds))
+
+
+def test_any_order_within_the_delay_gives_the_batch_verdicts(spark, at, tmp_path):
+    """Later steps first, another alert between, a restart after every delivery, nothing told too early."""
+    rows = [
+        action(at, 1, "A", "IN_REVIEW", 100), action(at, 2, "A", "ESCALATED", 200), action(at, 3, "A", "CLOSED", 300, disposition="CLEARED", reason="RC"),
+        action(at, 4, "A", "IN_REVIEW", 400), action(at, 5, "B", "CLOSED", 150, disposition="CLEARED", reason="RC"), action(at, 6, "B", "IN_REVIEW", 250),
+        action(at, 7, "B", "ESCALATED", 350, actor=" "), action(at, 8, "B", "ESCALATED", 450),
+    ]
+    order = [[2, 0, 5], [1, 7], [6, 3, 4]]
+    tick = [action(at, TICK, "tick", "IN_REVIEW", 10 * 3600)]
+    seen = in_time(spark, at, tmp_path, [*([rows[k] for k in part] for part in order), tick])
+    assert seen[:3] == [[], [], []]
+    from riskweave.operators import cases
+
+    start = open_cases(spark, at, "AB")
+    audit, refused = cases.apply_actions(start, spark.createDataFrame(rows, REVIEW_ACTIONS))
+    accepted = {r.action_id: (r.before_state.status, r.after_state.status) for r in audit.collect()}
+    problems = {r.action_id: r.problem for r in refused.collect()}
+    assert {n: (b, a) for n, b, a, p in seen[3] if p is None} == accepted
+    assert {n: p for n, _, _, p in seen[3] if p is not None} == problems
+    assert len(seen[3]) == len(rows)
+
+
+def test_actions_are_told_as_the_watermark_passes(spark, at, tmp_path):
+    deliveries = [
+        [action(at, 2, "A", "ESCALATED", 7_000), action(at, 1, "A", "IN_REVIEW", 10)],
+        [action(at, 3, "A", "CLOSED", 9_000, disposition="CLEARED", reason="RC")],
+        [action(at, TICK, "tick", "IN_REVIEW", 100_000)],
+    ]
+    seen = in_time(spark, at, tmp_path, deliveries)
+    assert seen[0] == seen[1] == [(1, "OPEN", "IN_REVIEW", None)]
+    assert seen[2] == [(1, "OPEN", "IN_REVIEW", None), (2, "IN_REVIEW", "ESCALATED", None), (3, "ESCALATED", "CLOSED", None)]
