@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators import evaluation, marts, models, ranking, sampling, statistics
+from riskweave.operators import daily_sketches, evaluation, marts, models, ranking, sampling, statistics
 from riskweave.operators.features import CATEGORICAL, FEATURES, NUMERIC, assert_no_leak
 from riskweave.operators.measures import measure_by
+from riskweave.operators.ranking import at_rank, running_totals
 from riskweave.plans.registry import query, r6, us
 from riskweave.plans.views import Views
+from riskweave.session import shared_folder
 
 _CELLS = """
   sum((investigation_label = 0 AND s < {t})::INT)::BIGINT AS tn, sum((investigation_label = 0 AND s >= {t})::INT)::BIGINT AS fp,
@@ -429,3 +433,51 @@ def preprocessing_with_gaps(v: Views) -> DataFrame:
         "account_age_days": F.when(F.col("account_age_days") % 3 != 0, F.col("account_age_days")),
         "payment_channel": F.when(F.col("payment_channel") != common, F.col("payment_channel")),
     }))
+
+
+# A span's exact values; the sketches only say whether they keep within their stated bounds.
+_SPANS = " UNION ALL ".join(
+    f"""SELECT '{name}' AS span, count(*) AS payments, count(DISTINCT customer_id) AS customers, true AS customers_within,
+  round(quantile_disc(amount, 0.5), 6) AS median, true AS median_within, true AS p99_within
+  FROM payments WHERE day(timestamp) BETWEEN {low} AND {high}"""
+    for name, low, high in (("week 1", 1, 7), ("week 2", 8, 14), ("first half", 1, 15), ("month", 1, 31))
+)
+
+
+@query("A8 A11 P16", _SPANS, "payments")
+def sketched_spans(v: Views) -> DataFrame:
+    """Daily sketches merged over spans of days, held against the exact results of the same spans."""
+    path = f"{shared_folder(v.spark)}/sketches-{uuid.uuid4().hex}"
+    daily_sketches.daily(v.payments, F.to_date("timestamp"), ["customer_id"], ["amount"]).write.parquet(path)
+    kept = v.spark.read.parquet(path)
+    spans = F.explode(F.array(*(
+        F.struct(F.lit(n).alias("span"), F.lit(a).alias("low"), F.lit(b).alias("high"))
+        for n, a, b in (("week 1", 1, 7), ("week 2", 8, 14), ("first half", 1, 15), ("month", 1, 31))
+    )))
+    inside = F.dayofmonth("day").between(F.col("s.low"), F.col("s.high"))
+    told = daily_sketches.merged(kept.withColumn("s", spans).where(inside), [F.col("s.span").alias("span")])
+    told = told.select(
+        "span", "rows", daily_sketches.distinct("customer_id").alias("n"),
+        *(daily_sketches.quantile("amount", q).alias(c) for c, q in (("q50", 0.5), ("q99", 0.99))),
+    )
+    day = F.to_date("timestamp").alias("day")
+    exact = v.payments.select(day, "customer_id", "amount").withColumn("s", spans).where(inside).select("s.span", "customer_id", "amount")
+    counts = exact.groupBy("span").agg(F.count(F.lit(1)).alias("payments"), F.count_distinct("customer_id").alias("customers"))
+    values = exact.groupBy("span", F.col("amount").alias("value")).agg(F.count(F.lit(1)).alias("n_value"))
+    ranked = running_totals(values, "value", ["n_value"], ["span"]).join(told, "span")
+
+    def within(column: str, q: float) -> Column:
+        """Ranks of the estimate: rows below it and up to it."""
+        below = F.sum(F.when(F.col("value") < F.col(column), F.col("n_value")).otherwise(0)) / F.max("n_value_total")
+        upto = F.sum(F.when(F.col("value") <= F.col(column), F.col("n_value")).otherwise(0)) / F.max("n_value_total")
+        return (below - q <= daily_sketches.RANK_BOUND) & (q - upto <= daily_sketches.RANK_BOUND)
+
+    middle = at_rank(F.ceil(F.col("n_value_total") * 0.5) - 1, "value", "n_value")
+    ranks = ranked.groupBy("span").agg(
+        middle.alias("median"), within("q50", 0.5).alias("median_within"), within("q99", 0.99).alias("p99_within")
+    )
+    off = F.abs(F.col("n") - F.col("customers")) <= daily_sketches.COUNT_BOUND * F.col("customers")
+    rows = counts.join(told.select("span", "n", "rows"), "span").join(ranks, "span")
+    return rows.select(
+        "span", F.col("rows").alias("payments"), "customers", off.alias("customers_within"), "median", "median_within", "p99_within"
+    )
