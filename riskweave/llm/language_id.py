@@ -12,7 +12,8 @@ Three kinds of evidence are multiplied for every language:
   contribution is taken out of the levels it is judged by.
 
 Shares and declarations are sums over all pages of the probabilities that text alone gives.
-Trigram frequencies are learnt from about ``TRAIN_ROWS`` labelled documents, chosen by hash.
+Trigram frequencies are learnt from about ``TRAIN_ROWS`` labelled documents of each language, chosen by
+hash; a language with fewer is read whole.
 
 A page without text, address or declaration is judged by the rest, in the end by the shares of all
 pages; ties go to the language first in alphabetical order. Null html and url count as empty.
@@ -37,7 +38,8 @@ BUCKETS = 1 << 14
 EVIDENCE = 60.0
 LEAN = 10.0
 SMOOTHING = 0.5
-TRAIN_ROWS = 8_000
+#: Documents of a language that its trigrams are counted on, about.
+TRAIN_ROWS = 4_000
 UNSEEN = ("script", "style", "noscript", "template")
 
 
@@ -107,9 +109,12 @@ def frequencies(docs: DataFrame, limit: int = TRAIN_ROWS) -> dict[str, np.ndarra
                 })
 
     docs = docs.select("doc_id", "text", "lang").filter("lang is not null")
-    share = limit / max(docs.count(), 1)
+    sizes = docs.groupBy("lang").agg(F.count("*").alias("size"))  # a row a language
+    # Each language has its own sample, so a rare one is whole where a common one is drawn from.
+    share = F.lit(float(limit)) / F.col("size")
     coin = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.filter(coin < share).select("text", "lang").mapInArrow(run, "lang string, bucket long, n long")
+    rows = docs.join(F.broadcast(sizes), "lang").filter(coin < share)
+    rows = rows.select("text", "lang").mapInArrow(run, "lang string, bucket long, n long")
     tables: dict[str, np.ndarray] = {}
     for r in rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():  # a row a bucket and language
         tables.setdefault(r.lang, np.zeros(BUCKETS))[r.bucket] = r.n

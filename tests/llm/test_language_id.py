@@ -112,3 +112,13 @@ def test_registered(spark):
     assert sorted(rows) == sorted(p.page_id for p in pages)
     right = [rows[p.page_id].lang == re.search(r'lang="(\w+)"', p.html)[1] for p in pages]
     assert np.mean(right) > 0.98
+
+
+def test_a_rare_language_keeps_its_model(spark):
+    """However many documents the others have: the sample is bounded for each language."""
+    rows = [(i, f"the quick brown fox number {i}", "en") for i in range(2_000)] + [(5_000 + i, "żółta gęś źdźbło", "pl") for i in range(2)]
+    model = L.frequencies(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 20)
+    assert sorted(model) == ["en", "pl"]
+    pages = spark.createDataFrame([(1, None, "<p>żółta gęś</p>"), (2, None, "<p>quick brown fox</p>")], "page_id long, url string, html string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.page_id: r.text_lang for r in L.identify(pages, docs, 20).collect()} == {1: "pl", 2: "en"}
