@@ -46,7 +46,7 @@ from riskweave.session import materialise
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Chunks a worker remembers with their links.
-REMEMBERED = 100_000
+REMEMBERED = 160_000
 #: Chunks whose matrices are made together.
 TOGETHER = 16_000
 #: A pair of ids is one number: A's id times this, and B's id.

@@ -147,10 +147,13 @@ class Remembering:
         if before:
             known.update((c, before[c]) for c in new if c in before)
             new = [c for c in new if c not in known]
-        found = dict(zip(new, self.function(new), strict=True))
-        long = {c: found.pop(c) for c in new if len(c) > LONGEST}
-        known.update(found)
-        return [known[c] if len(c) <= LONGEST else long[c] for c in chunks]
+        known.update(zip(new, self.function(new), strict=True))
+        out = list(map(known.__getitem__, chunks))
+        if max(map(len, new), default=0) > LONGEST:
+            for c in new:
+                if len(c) > LONGEST:
+                    del known[c]
+        return out
 
 
 @cache

@@ -183,3 +183,21 @@ def test_empty_tables(spark, edges):
     place = token_files.scratch(spark)
     token_files.write(none, place)
     assert token_files.load(spark, place).count() == 0
+
+
+def test_what_is_remembered_is_bounded_in_bytes():
+    """Long chunks are not kept, short ones up to a number, and answers are the same either way."""
+    asked = []
+
+    def double(new):
+        asked.extend(new)
+        return [c + c for c in new]
+
+    memory = chunks.Remembering(double, room=50)
+    long = "x" * (chunks.LONGEST + 1)
+    for k in range(40):
+        part = [f"c{k * 10 + n}" for n in range(10)] + [long, "often"]
+        assert memory(part) == [c + c for c in part]
+    assert asked.count(long) == 40 and asked.count("often") == 1
+    assert all(len(c) <= chunks.LONGEST for d in (memory.known, memory.before) for c in d)
+    assert len(memory.known) + len(memory.before) <= 2 * 50 + 40
