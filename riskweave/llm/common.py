@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +56,14 @@ def slices(
         yield joined(held)
 
 
+def give_back() -> None:
+    """Return memory that a worker's earlier tasks have freed to the system, where it can be told to."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only where the C library knows how
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     if len(batches) == 1:
         return batches[0]

@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm import chunks
-from riskweave.llm.common import checked, prepare, slices
+from riskweave.llm.common import checked, give_back, prepare, slices
 from riskweave.session import materialise
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
 LONGEST = 1024
+#: Bytes of text encoded at a time.
+SLICE = 5 << 20
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, place long"
 
 
@@ -52,7 +54,8 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, met = TaskContext.get().partitionId(), np.zeros(longest.bit_length(), np.int64)
-        for batch in slices(batches):
+        give_back()
+        for batch in slices(batches, size=SLICE):
             offsets, ids = chunks.encode(batch["text"], vocabulary, end)
             tokens = np.diff(offsets)
             plan = [lengths_of(int(n), longest) for n in tokens]
