@@ -118,3 +118,24 @@ def test_zero_expected_amount_gives_no_ratio(spark, at):
     )
     row = features.row_features(frame, Controls()).first()
     assert row.amount_ratio is None and row.high_risk_geo == 1 and row.night == 1
+
+
+def test_parts_of_payments_grow_with_them(spark, monkeypatch):
+    """What a task joins and sorts is bounded: parts follow the number of payments, on both joins."""
+    from riskweave import session
+    from riskweave.plans.views import Views
+    from tests.conftest import TINY
+
+    names = ["transaction_id", "velocity_1h", "adjacent_prior_24h", "new_counterparty"]
+    whole = Views(spark, TINY).featured.select(names).collect()
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of some size
+    try:
+        v = Views(spark, TINY)
+        rows = v.payments.count()
+        for frame in (v.payments, v.featured):
+            assert frame.rdd.getNumPartitions() >= rows // 50
+        assert sorted(map(tuple, v.featured.select(names).collect())) == sorted(map(tuple, whole))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
