@@ -102,3 +102,21 @@ def test_actions_are_told_as_the_watermark_passes(spark, at, tmp_path):
     seen = in_time(spark, at, tmp_path, deliveries)
     assert seen[0] == seen[1] == [(1, "OPEN", "IN_REVIEW", None)]
     assert seen[2] == [(1, "OPEN", "IN_REVIEW", None), (2, "IN_REVIEW", "ESCALATED", None), (3, "ESCALATED", "CLOSED", None)]
+
+
+def test_calls_follow_shards_not_alerts(spark, at, tmp_path):
+    """Alerts of one shard are told apart, with both folds; state has a row a shard, however many alerts."""
+    rows = [action(at, 10 * k + step, f"A{k}", status, 100 * k + step) for k in range(300) for step, status in ((1, "IN_REVIEW"), (2, "ESCALATED"))]
+    rows += [action(at, 3, "A0", "OPEN", 3), action(at, TICK, "tick", "IN_REVIEW", 10**6)]
+    want = {n: ("OPEN", "IN_REVIEW", None) if n % 10 == 1 else ("IN_REVIEW", "ESCALATED", None) for n, *_ in rows[:-2]}
+    want[3] = ("ESCALATED", "ESCALATED", "INVALID_TRANSITION")
+    spark.createDataFrame(rows, REVIEW_ACTIONS).write.parquet(str(tmp_path / "in"))
+    for name, fold in (
+        ("plain", lambda s: case_streams.fold_actions(s, shards=3)), ("timed", lambda s: case_streams.fold_actions_in_time(s, "1 hour", shards=3))
+    ):
+        stream = payment_streams.read_stream(spark, str(tmp_path / "in"), REVIEW_ACTIONS)
+        out, state = str(tmp_path / name), str(tmp_path / f"{name}-state")
+        payment_streams.drain_to_parquet(fold(stream), out, state)
+        got = {r.action_id: (r.status_before, r.status_after, r.problem) for r in spark.read.parquet(out).collect() if r.alert_id != "tick"}
+        assert got == want
+        assert spark.read.format("statestore").load(state).count() <= 3
