@@ -10,9 +10,10 @@ learned from.
 2. The ``CLASSES`` - 2 most frequent words are classes of their own, as is the end; all others are one
    class. A token's class is predicted from the classes of the two tokens before it: score
    s = (r[c1] C1 + r[c2] C2) . q[w] + b[w], with b starting at the class's log share.
-3. Training passes over all training tokens. In each of ``ROUNDS`` rounds, trainers (a task each) go on
-   from the same state, over their documents of that round, and their states are averaged by tokens.
-   Noise words of a minibatch are shared, so gradients are matrix products.
+3. Training passes over all training tokens ``PASSES`` times, whatever the table's size. In each of
+   ``ROUNDS`` rounds, trainers (a task each) go on from the same state, over their documents of that
+   round, and their states are averaged by tokens. Noise words of a minibatch are shared, so gradients
+   are matrix products.
 4. A token's probability is softmax(s) at its class times p0(word) / p0(class), so probabilities of all
    known words, the end and the one place for unknown words add up to one. Products r C1 q and r C2 q
    are tables over classes; the normaliser of a pair of context classes is a row of a batched matrix
@@ -47,11 +48,12 @@ CLASSES = 1_024
 SIZE = 32
 NOISE = 64
 BATCH = 4_096
+#: Tokens of a step of training.
+STEP = 1_024
 RATE = 0.05
 ROUNDS = 4
-#: Tokens that training goes over at least, by passing over a small corpus again, up to AGAIN times a round.
-LEAST = 8_000_000
-AGAIN = 8
+#: How often a round goes over its documents.
+PASSES = 1
 #: A trainer has so many tokens a round, if there are; no more trainers than TRAINERS.
 TRAINER = 250_000
 TRAINERS = 256
@@ -245,14 +247,12 @@ def contexts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def trained(rows: DataFrame, mass: np.ndarray, total: int) -> Model:
-    """The model after ``ROUNDS`` rounds over all training tokens."""
+    """The model after ``ROUNDS`` rounds, each over its share of the training documents."""
     model = Model.fresh(mass)
-    parts = ROUNDS if total >= LEAST else 1
-    again = 1 if total >= LEAST else min(AGAIN, -(-LEAST // (ROUNDS * max(total, 1))))
     share = np.where(np.isfinite(mass), 10.0**mass, 0)
     edges = np.cumsum(share) / share.sum()
     log_noise = np.log(NOISE * np.maximum(share / share.sum(), 1e-30)).astype(np.float32)
-    trainers = int(max(1, min(TRAINERS, total // parts // TRAINER)))
+    trainers = int(max(1, min(TRAINERS, total // ROUNDS // TRAINER)))
     learned = rows.filter("not held_out")
     segment = 1 << 14
     for turn in range(ROUNDS if total else 0):
@@ -263,10 +263,10 @@ def trained(rows: DataFrame, mass: np.ndarray, total: int) -> Model:
             source = np.random.default_rng([turn, TaskContext.get().partitionId()])
             for batch in batches:
                 _, word, c1, c2 = contexts(batch["classes"])
-                for _ in range(again):
+                for _ in range(PASSES):
                     order = source.permutation(len(word))
-                    for begin in range(0, len(word), BATCH):
-                        at = order[begin : begin + BATCH]
+                    for begin in range(0, len(word), STEP):
+                        at = order[begin : begin + STEP]
                         noise = np.minimum(np.searchsorted(edges, source.random(NOISE), "right"), CLASSES - 1)
                         own.learn(word[at], c1[at], c2[at], noise, log_noise)
                     met += len(word)
@@ -287,7 +287,7 @@ def trained(rows: DataFrame, mass: np.ndarray, total: int) -> Model:
                 "segment": pa.array(list(sums), pa.int64()), "sums": pa.array([v.tobytes() for v in sums.values()], pa.binary())
             })
 
-        share_of = learned.filter(F.pmod(F.xxhash64("row"), F.lit(parts)) == turn % parts).select("classes")
+        share_of = learned.filter(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == turn).select("classes")
         kind = "segment long, sums binary"
         states = share_of.coalesce(trainers).mapInArrow(run, kind)
         sums = states.repartition("segment").mapInArrow(add, kind).collect()  # the size of one state

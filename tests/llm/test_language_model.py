@@ -127,3 +127,14 @@ def test_registered(spark):
 def test_held_out_documents_gain(spark):
     rows = [r for r in queries.QUERIES["op11_language_model"](spark, SMALL).collect() if r.held_out]
     assert sum(r.score > r.base_score for r in rows) >= 0.9 * len(rows) > 50
+
+
+def test_training_is_the_same_at_every_size(spark):
+    """No number of tokens switches to another way of training."""
+    docs = spark.createDataFrame([(i, prose(i % 50, 40)) for i in range(120)], "doc_id long, text string").coalesce(2)
+    counts = language_model.counted(docs)
+    word, count = language_model.frequent(counts)
+    base = language_model.Base(word, count, int(count.sum()), len(word))
+    rows = language_model.encoded(docs, base)
+    states = [language_model.trained(rows, base.mass, total).state for total in (7_999_999, 8_000_000)]
+    assert np.array_equal(*states)
