@@ -68,8 +68,11 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 @stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: training sequences with their ids."""
-    return packing.pack(docs)
+    """Packing: training sequences with their ids.
+
+    The executors' heaps have grown by now, so the Python workers beside them hold little.
+    """
+    return packing.pack(docs, lean=True)
 
 
 STAGES = [

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -156,11 +156,11 @@ class Remembering:
         return out
 
 
-@cache
-def packed_ids(path: str) -> Remembering:
+@lru_cache(1)
+def packed_ids(path: str, room: int = REMEMBERED) -> Remembering:
     """Ids of chunks as 4-byte numbers; kept by the worker from task to task."""
     known = library(path)
-    return Remembering(lambda new: ids_of(known, new))
+    return Remembering(lambda new: ids_of(known, new), room)
 
 
 def forget() -> None:
@@ -178,10 +178,15 @@ def gather(codes: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarr
     return flat[np.arange(ends[-1]) + np.repeat(begins[codes] - ends + size, size)]
 
 
-def encode(column: pa.Array, path: str, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets of each text's ids, all ids as uint32), ``end`` appended to every text if given."""
+def encode(
+    column: pa.Array, path: str, end: int | None = None, room: int = REMEMBERED
+) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets of each text's ids, all ids as uint32), ``end`` appended to every text if given.
+
+    ``room``: how many distinct chunks are remembered.
+    """
     first, chunks, _ = cut(column, fold=folds(path), whole=not folds(path))
-    distinct = packed_ids(path)(chunks.dictionary.to_pylist())
+    distinct = packed_ids(path, room)(chunks.dictionary.to_pylist())
     lengths = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
     flat = np.frombuffer(b"".join(distinct), np.uint32)
     codes = chunks.indices.to_numpy(False)

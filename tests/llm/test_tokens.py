@@ -177,6 +177,25 @@ def test_registered_packing(spark, pieces):
     check_packing(queries.QUERIES["op8_packing"](spark, TINY).collect(), docs, pieces)
 
 
+def test_lean_packing_gives_the_same_rows(spark, edges, pieces):
+    """A lean worker cuts smaller slices and remembers less; what it returns is the same."""
+    long = spark.range(3_000).selectExpr("id + 1000 as doc_id", "repeat(concat('word', id, ' '), 300) as text")
+    docs = edges.select("doc_id", "text").unionByName(long).coalesce(1)
+    lean, usual = (packing.pack(docs, lean=x) for x in (True, False))
+    assert lean.count() == usual.count() and lean.exceptAll(usual).count() == 0
+
+
+def test_a_lean_worker_remembers_few_chunks():
+    words = pa.array([" ".join(f"word{k}x{i}" for i in range(600)) for k in range(20)])
+    few, many = (chunks.encode(words, packing.VOCABULARY, packing.END, room) for room in (1_000, chunks.REMEMBERED))
+    assert all((a == b).all() for a, b in zip(few, many, strict=True))
+    chunks.forget()
+    for k in range(len(words)):
+        chunks.encode(words[k : k + 1], packing.VOCABULARY, packing.END, 1_000)
+    memory = chunks.packed_ids(packing.VOCABULARY, 1_000)
+    assert 0 < len(memory.known) + len(memory.before) <= 2 * 1_600
+
+
 def test_empty_tables(spark, edges):
     none = edges.limit(0)
     assert transducer.count_tokens(none).count() == packing.pack(none).count() == 0
