@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from riskweave.operators import boosting
+from riskweave.operators import boosting, preprocessing
 from riskweave.operators.preprocessing import ExactPreprocessor
 
 GROWTH = boosting.Growth(rounds=6, depth=3, rate=0.3, rows=0.8, columns=0.7, seed=5)
@@ -108,6 +108,34 @@ def test_bins_of_many_values_are_cut_at_exact_ranks(spark, monkeypatch):
         assert got.tolist() == want.tolist()
 
 
+def test_histograms_add_up_row_by_row():
+    source, growth = np.random.default_rng(9), boosting.Growth(rows=0.7, depth=3)
+    n, offsets = 500, np.array([0, 4, 6, 13])
+    bins = np.column_stack([source.integers(0, s, n) for s in np.diff(offsets)]).astype(np.uint8)
+    label, draw = source.integers(0, 2, n).astype(float), source.integers(0, 2**63, n).astype(np.uint64)
+    block = boosting.Block(0, bins, label, np.where(label == 1, 3.0, 1.0), draw, source.normal(size=n))
+    tree = boosting.new_tree()  # 0 splits into 1, a leaf, and 2, which splits into 3 and 4
+    tree |= {"feature": [2, -1, 0, -1, -1], "bin": [3, -1, 1, -1, -1], "left": [1, -1, 3, -1, -1], "right": [2, -1, 4, -1, -1]}
+    want = np.zeros((2, 2, 13))
+    for r in np.flatnonzero(boosting.drawn(draw, 4, growth)):
+        if bins[r, 2] > 3:
+            p = 1 / (1 + np.exp(-block.margin[r]))
+            for f in range(3):
+                at = int(bins[r, 0] > 1), offsets[f] + bins[r, f]
+                want[0][at] += block.weight[r] * (p - label[r])
+                want[1][at] += block.weight[r] * p * (1 - p)
+    assert boosting.histogram(block, tree, [3, 4], offsets, 4, growth) == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
+def test_ranks_with_one_range_are_counted_once(spark, monkeypatch):
+    """An odd number of values has one middle rank; so has an even number until the ranks part."""
+    passes, stacked = [], preprocessing._stacked
+    monkeypatch.setattr(preprocessing, "_stacked", lambda frame, ranges, labels: passes.append(ranges) or stacked(frame, ranges, labels))
+    frame = spark.createDataFrame([(float(k), float(k % 2)) for k in range(8)], "a double, b double")
+    assert ExactPreprocessor(numeric=["a", "b"], categorical=[]).fit(frame).learned["medians"] == [3.5, 0.5]
+    assert [len(ranges) for ranges in passes] == [2]
+
+
 def test_one_class_and_one_row(spark):
     frame = spark.createDataFrame([(1, 0.5, 0.0)], "id long, a double, y double")
     frame = frame.withColumn("features", array_to_vector(F.array("a"))).withColumn("draw", F.xxhash64("id"))

@@ -59,6 +59,21 @@ def test_running_totals_do_not_depend_on_the_ranges(spark, range_values):
         assert r.n_before == sum(v < r.v for v in mine) and r.n_total == len(mine)
 
 
+def test_scores_are_computed_once_to_be_ranked(spark):
+    """A row's score is costly: leaving out rows without a rank must not compute it again."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        calls.add(1)
+        return None if x == 3 else float("nan") if x == 4 else x / 10
+
+    frame = spark.range(60).selectExpr("id % 6 AS x", "id % 2 AS y").repartition(3)
+    groups = evaluation.score_groups(frame.withColumn("p", F.udf(counted, "double")("x")), "y", "p")
+    got = {r.score: (r.pos, r.neg, r.pos_before, r.neg_total) for r in ranking.running_totals(groups, "score", ["pos", "neg"]).collect()}
+    assert got == {0.0: (0, 10, 0, 20), 0.1: (10, 0, 0, 20), 0.2: (0, 10, 10, 20), 0.5: (10, 0, 10, 20)}
+    assert calls.value == 60
+
+
 def test_percentiles_interpolate(spark):
     frame = spark.createDataFrame([(float(x),) for x in (1, 2, 2, 10)], "v double")
     row = ranking.exact_percentiles(frame, "v", {"p0": 0, "p50": 0.5, "p90": 0.9, "p100": 1}).first()
