@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import chunks, graph
-from riskweave.llm.common import checked, prepare, runs, slices
+from riskweave.llm.common import checked, give_back, prepare, runs, slices
 from riskweave.llm.shingles import common, mixed, shingle_sets
 from riskweave.session import materialise
 
@@ -53,7 +53,7 @@ BLOCK = 1_024
 BESIDE = 32
 LEAF = 16
 #: Bytes of text hashed at a time.
-HASHED = 2 << 20
+HASHED = 1 << 20
 
 
 def needed(a, b):
@@ -91,6 +91,7 @@ def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks.forget()
+        give_back()
         seen = set()
         for batch in slices(batches, size=HASHED):
             n, digests, points, firsts = [], [], [], []
@@ -132,6 +133,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks.forget()
+        give_back()
         for batch in slices(batches, size=HASHED):
             sets = shingle_sets(batch["text"])
             yield pa.RecordBatch.from_pydict({"shingle": pa.array(np.concatenate(sets).view(np.int64))})

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import chunks
-from riskweave.llm.common import byte_view, prepare, slices
+from riskweave.llm.common import byte_view, give_back, prepare, slices
 from riskweave.llm.shingles import BASE, BYTES, INVERSE, powers
 from riskweave.session import materialise
 
@@ -35,6 +35,8 @@ TRAIN_ROWS = 20_000
 TREES = 20
 DEPTH = 3
 LASSO = 0.002
+#: Bytes of text measured at a time; the arrays made of them take some 30 times as many.
+SLICE = 1 << 20
 STATISTICS = (
     "log_bytes", "log_words", "word_length", "capitals", "digits", "signs", "marks", "bangs", "high_bytes",
     "distinct_words", "top_word", "repeats", "line_words", "distinct_lines", "marked_words", "stops",
@@ -99,22 +101,24 @@ def line_hashes(bounds: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
     return [hashes[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
-def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """(doc_id, text statistics) of every row; if ``whole``, also text, and its other columns in ``_row``."""
+def measure(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """The work of one task of ``measured``."""
+    chunks.forget()
+    give_back()
+    for batch in slices(batches, size=SLICE):
+        found = {k: pa.array(v) for k, v in statistics(batch["text"]).items()}
+        carried = {c: batch[c] for c in ("text", "_row") if whole}
+        yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"].cast(pa.int64())} | found | carried)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks.forget()
-        for batch in slices(batches, size=4 << 20):
-            found = {k: pa.array(v) for k, v in statistics(batch["text"]).items()}
-            carried = {c: batch[c] for c in ("text", "_row") if whole}
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"].cast(pa.int64())} | found | carried)
 
+def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """(doc_id, text statistics) of every row; if ``whole``, also text, and its other columns in ``_row``."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")] if whole else []
     rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_none"), *others).alias("_row"))
     schema = "doc_id long, " + ", ".join(f"{name} double" for name in STATISTICS)
     if whole:
         schema += f", text string, _row {rows.schema['_row'].dataType.simpleString()}"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(partial(measure, whole=whole), schema)
 
 
 @dataclass(frozen=True)

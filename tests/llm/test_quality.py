@@ -1,5 +1,6 @@
 """The rule ensemble: statistics, compiled rules, held-out accuracy, odd rows."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -78,3 +79,17 @@ def test_training_rows_are_bounded(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
     found = quality.measured(docs).withColumn("label", quality.F.col("doc_id") % 2)
     assert quality.fit(found, trees=2, limit=50) == quality.fit(found.repartition(7), trees=2, limit=50)
+
+
+def test_a_worker_measures_little_text_at_a_time():
+    """What a task holds beside its input is bounded: the executors' heaps have grown when a pipeline runs again."""
+    texts = [prose(k, 700) for k in range(1_600)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    assert batch["text"].nbytes > 6 << 20
+    tracemalloc.start()
+    found = [b.drop_columns(["doc_id"]) for b in quality.measure(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = quality.statistics(batch["text"])
+    assert peak < 60 << 20
+    assert pa.Table.from_batches(found).to_pydict() == {k: v.tolist() for k, v in whole.items()}
