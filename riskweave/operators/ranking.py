@@ -3,7 +3,8 @@
 Rows are first merged to distinct values, which also dissolves hot values. The values are then
 range-partitioned, about ``RANGE_VALUES`` to a range, every range is ranked on its own, and the
 totals of the earlier ranges (one row per range) are added. The ranges only balance the work:
-results do not depend on where they are cut.
+results do not depend on where they are cut. Shorter ranges can be asked for; they are made while
+there are at most ``SHORT_RANGES`` of them, as each is a task, and get longer beyond.
 
 Null and NaN values have no rank: they are left out of ranks, counts and totals.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from riskweave.session import materialise
 
 RANGE_VALUES = 200_000
+SHORT_RANGES = 200
 
 
 def ranked_value(frame: DataFrame, value: str) -> Column:
@@ -38,7 +40,8 @@ def running_totals(
     # Filtered only once written: a filter on computed values would compute them a second time.
     kept = materialise(groups)
     kept = kept.where(ranked_value(kept, value))
-    ranges = max(1, -(-kept.count() // range_values))
+    values = kept.count()
+    ranges = max(1, min(-(-values // range_values), max(SHORT_RANGES, -(-values // RANGE_VALUES))))
     cut = materialise(kept.repartitionByRange(ranges, *by, value).withColumn("range", F.spark_partition_id()))
     per_range = cut.groupBy(*by, "range").agg(*[F.sum(c).alias(c) for c in counts])
     earlier = W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)

@@ -59,6 +59,16 @@ def test_running_totals_do_not_depend_on_the_ranges(spark, range_values):
         assert r.n_before == sum(v < r.v for v in mine) and r.n_total == len(mine)
 
 
+def test_short_ranges_do_not_become_ever_more_tasks(spark, monkeypatch):
+    cut, materialise = [], ranking.materialise
+    monkeypatch.setattr(ranking, "SHORT_RANGES", 7)
+    monkeypatch.setattr(ranking, "materialise", lambda frame: cut.append(materialise(frame)) or cut[-1])
+    groups = spark.range(300).select(F.col("id").alias("value"), F.lit(2).cast("long").alias("n"))
+    rows = ranking.running_totals(groups, "value", ["n"], range_values=5).collect()
+    assert cut[-1].agg(F.count_distinct("range")).first()[0] <= 7
+    assert sorted((r.value, r.n_before, r.n_total) for r in rows) == [(v, 2 * v, 600) for v in range(300)]
+
+
 def test_scores_are_computed_once_to_be_ranked(spark):
     """A row's score is costly: leaving out rows without a rank must not compute it again."""
     calls = spark.sparkContext.accumulator(0)
