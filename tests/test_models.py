@@ -21,6 +21,38 @@ def run(frame):
     return models.train_and_compare(frame, QUICK)
 
 
+def test_rows_that_keep_their_place_give_the_same_forest(frame):
+    prepared = models.prepare(frame)
+    learner = models.learner(models.FOREST, QUICK, 1.0)
+    weighted = prepared.vectors.withColumn("weight", models.balanced_weight(prepared.negatives, prepared.positives))
+    kept, walked = (learner.copy({learner.cacheNodeIds: kept}).fit(weighted) for kept in (True, False))
+    prepared.vectors.unpersist()
+    assert learner.getCacheNodeIds()
+    # The first line names the model.
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
+def test_one_set_of_training_rows_is_kept_at_a_time(frame, monkeypatch):
+    """Vectors lie on disk, and learners that keep all their rows are fitted one after the other."""
+    now, most, levels, fit = [], [], [], models.Prepared.fit
+
+    def watched(self, *args):
+        now.append(self)
+        most.append(len(now))
+        levels.append(self.vectors.storageLevel)
+        try:
+            return fit(self, *args)
+        finally:
+            now.remove(self)
+
+    monkeypatch.setattr(models.Prepared, "fit", watched)
+    halves = [frame.where(F.xxhash64("transaction_id") % 2 == k) for k in (0, 1)]
+    fitted = models.fit_models(halves, [models.LOGISTIC, models.FOREST], QUICK)
+    assert [set(found) for found in fitted] == [{models.LOGISTIC, models.FOREST}] * 2
+    assert most == [1] * 4
+    assert all(level.useDisk and not level.useMemory for level in levels)
+
+
 def test_comparison_invariants(run):
     rows = {r.model: r for r in run.comparison.collect()}
     assert set(rows) == {models.LOGISTIC, models.FOREST, models.BOOSTED}
