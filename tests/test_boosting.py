@@ -127,6 +127,15 @@ def test_histograms_add_up_row_by_row():
     assert boosting.histogram(block, tree, [3, 4], offsets, 4, growth) == pytest.approx(want, rel=1e-12, abs=1e-12)
 
 
+def test_a_features_bins_lie_together(spark):
+    frame, x, y, _ = table(spark, 6, 200, 2)
+    edges = boosting.bin_edges([frame], 5)[0]
+    found = boosting.blocks(frame, "y", "draw", (1.0, 2.0), 0, edges, 0.0).collect()
+    assert sum(len(b.label) for b in found) == 200 and all(b.bins.T.flags.c_contiguous for b in found)
+    want = np.column_stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)])
+    assert sorted(map(tuple, np.vstack([b.bins for b in found]))) == sorted(map(tuple, want))
+
+
 def test_ranks_with_one_range_are_counted_once(spark, monkeypatch):
     """An odd number of values has one middle rank; so has an even number until the ranks part."""
     passes, stacked = [], preprocessing._stacked
